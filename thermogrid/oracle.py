@@ -1,0 +1,122 @@
+"""DuckDB text of the derived inputs, for the SQL oracle of ``__spark_entry__``.
+
+Each fixture is a CTE over the pre-registered test tables; ``with_fixtures``
+puts the ones a query needs (and what they depend on) in front of it.
+"""
+
+from __future__ import annotations
+
+FIXTURES: dict[str, tuple[tuple[str, ...], str]] = {
+    "readings": ((), """
+        select event_id, cast(ts as timestamp) as ts, 'S' || cast(user_id as varchar) as name,
+               ((user_id * 7919) % 3600 - 1800) / 10.0::double as lon,
+               ((user_id * 104729) % 1800 - 900) / 10.0::double as lat,
+               cast(hour(ts) as integer) as hour,
+               value - 50 as temp
+        from events"""),
+    "messages": (("readings",), """
+        select concat_ws(':', name, cast(lon as varchar), cast(lat as varchar), cast(hour as varchar)) as key,
+               cast(temp as varchar) as value, 'currentTemp' as topic, 0 as "partition",
+               event_id as "offset", ts as "timestamp"
+        from readings"""),
+    "bad_messages": (("readings",), """
+        select case when event_id % 50 = 0 then concat_ws(':', name, cast(lon as varchar), cast(lat as varchar))
+                    when event_id % 50 = 2 then concat_ws(':', 'New', name, cast(lon as varchar),
+                                                          cast(lat as varchar), cast(hour as varchar))
+                    else concat_ws(':', name, cast(lon as varchar), cast(lat as varchar), cast(hour as varchar))
+               end as key,
+               case when event_id % 50 = 1 then 'n/a' else cast(temp as varchar) end as value,
+               event_id as "offset"
+        from readings"""),
+    "weather_json": (("readings",), """
+        select event_id, '{"name":"' || name || '","main":{"temp":' || cast(temp as varchar)
+               || '},"coord":{"lon":' || cast(lon as varchar) || ',"lat":' || cast(lat as varchar)
+               || '},"dt":' || cast(1704067200 + event_id * 60 as varchar) || '}' as body
+        from readings"""),
+    "registry": ((), """
+        select c_custkey as seq, c_custkey as id,
+               ((c_custkey * 7919) % 3600 - 1800) / 10.0::double as lon,
+               ((c_custkey * 104729) % 1800 - 900) / 10.0::double as lat
+        from customer"""),
+    "call_log": ((), """
+        select timestamp '2024-01-01 00:00:00' + (event_id // 50) * interval '1' second as ts, event_id,
+               'C' || cast(user_id % 10 as varchar) as client,
+               event_id // 4 as request_id, cast(event_id % 4 + 1 as integer) as attempt,
+               cast(case when (event_id * 7919) % 10 < 7 then 200
+                         when (event_id * 7919) % 10 < 9 then 500 end as integer) as status
+        from events"""),
+    # decoded and parsed messages (P4/P5): the good rows only
+    "parsed": (("messages",), """
+        select regexp_extract(key, '^(.*):([^:]*)$', 1) as city_and_loc,
+               try_cast(regexp_extract(key, '^(.*):([^:]*):([^:]*):([^:]*)$', 4) as integer) as "time",
+               cast(try_cast(value as double) as float) as temperature,
+               "timestamp", "partition", "offset"
+        from messages
+        where regexp_full_match(key, '^(.*):([^:]*):([^:]*):([^:]*)$')
+          and try_cast(regexp_extract(key, '^(.*):([^:]*):([^:]*):([^:]*)$', 2) as double) is not null
+          and try_cast(regexp_extract(key, '^(.*):([^:]*):([^:]*):([^:]*)$', 3) as double) is not null
+          and try_cast(regexp_extract(key, '^(.*):([^:]*):([^:]*):([^:]*)$', 4) as integer) is not null
+          and try_cast(value as double) is not null"""),
+    # A2: newest row per (city_and_loc, time)
+    "current": (("parsed",), """
+        select city_and_loc, "time", arg_max(temperature, ("timestamp", "partition", "offset")) as temperature
+        from parsed group by city_and_loc, "time\""""),
+    "city_means": (("current",), """
+        select city_and_loc, avg(cast(temperature as double)) as avg_temp
+        from current group by city_and_loc"""),
+    # Station key to name / lon / lat
+    "stations": (("city_means",), """
+        select city_and_loc,
+               regexp_extract(city_and_loc, '^(.*):([^:]*):([^:]*)$', 1) as name,
+               try_cast(regexp_extract(city_and_loc, '^(.*):([^:]*):([^:]*)$', 2) as double) as lon,
+               try_cast(regexp_extract(city_and_loc, '^(.*):([^:]*):([^:]*)$', 3) as double) as lat,
+               avg_temp
+        from city_means"""),
+    "event_days": (("readings",), """
+        select distinct cast(dayofyear(ts) - 1 as integer) as day_number from readings"""),
+    "climatology": (("event_days",), """
+        select day_number, i - 89.5 as latitude, j - 179.5 as longitude,
+               case when (i * 31 + j) % 97 = 0 then null
+                    else 28 - 0.006::double * (i - 89.5) * (i - 89.5) + 0.25::double * ((i * 13 + j * 7 + day_number) % 11)
+               end as climatology
+        from (select day_number, cast(cell // 360 as integer) as i, cast(cell % 360 as integer) as j
+              from (select day_number, unnest(range(0, 64800)) as cell from event_days))"""),
+}
+
+
+def mask_sql(scale: float) -> str:
+    rows, cols = int(round(180 * scale)), int(round(360 * scale))
+    s = float(scale)
+    return f"""
+        select cast(id // {cols} as integer) as r, cast(id % {cols} as integer) as c,
+               ((floor(floor((id // {cols}) / {s}) / 10) * 7 + floor(floor((id % {cols}) / {s}) / 10) * 3) % 10) < 6 as land
+        from range(0, {rows * cols}) t(id)"""
+
+
+def _order(names: list[str]) -> list[str]:
+    out: list[str] = []
+
+    def visit(n: str) -> None:
+        if n in out:
+            return
+        for d in FIXTURES[n][0]:
+            visit(d)
+        out.append(n)
+
+    for n in names:
+        visit(n)
+    return out
+
+
+def with_fixtures(sql: str, *names: str, extra: dict[str, str] | None = None) -> str:
+    """Prefix ``sql`` with the CTEs of ``names`` (dependencies first), then ``extra``."""
+    parts = [f"{n} as ({FIXTURES[n][1]}\n)" for n in _order(list(names))]
+    parts += [f"{k} as ({v}\n)" for k, v in (extra or {}).items()]
+    if not parts:
+        return sql
+    return "with " + ",\n".join(parts) + "\n" + sql
+
+
+def r6(expr: str) -> str:
+    """The round6 rule of the oracle: a tiny offset, then six decimals."""
+    return f"round(({expr}) + 0.00000013, 6)"
