@@ -14,10 +14,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from thermogrid.sources import testbed as tb
+from thermogrid import oracle as O
 from thermogrid.oracle import with_fixtures as W, r6
+from thermogrid.operators import climatology as cl
+from thermogrid.operators import grid as gr
 from thermogrid.operators import readings as rd
+from thermogrid.plans import anomaly as an
 
+# Oracle settings (FIXTURES.md section 3): day 14, scale 1 (180 x 360) grids,
+# sigma 2 for the blur, a 90 x 180 grid for the blur alone.
 ORACLE_DAY = 14
+SCALE = 1.0
+BLUR_SCALE = 0.5
+SIGMA = 2.0
+TILE = 16
 
 
 def _r6(c):
@@ -87,6 +97,137 @@ def q_unpack_city(spark, sf):
     return rd.unpack_city(rd.mean_by_city(_current(spark, sf))).select("city_and_loc", "name", "lon", "lat")
 
 
+def _means(spark, sf):
+    return rd.mean_by_city(_current(spark, sf))
+
+
+def _points(spark, sf, scale):
+    return an.station_points(_means(spark, sf), scale)
+
+
+def _near(spark, sf, scale):
+    rows, cols = gr.grid_shape(scale)
+    return gr.nearest_points(_points(spark, sf, scale), rows, cols, TILE)
+
+
+# ---------------------------------------------------------------- grid
+
+def q_to_grid(spark, sf):
+    return _points(spark, sf, 5.0).select("pid", _r6("x"), _r6("y"))
+
+
+def q_point_stats(spark, sf):
+    st = rd.point_stats(_points(spark, sf, 5.0))
+    return st.select("n_points", *[_r6(c) for c in st.columns if c != "n_points"])
+
+
+def q_nearest_grid(spark, sf):
+    return _near(spark, sf, SCALE).select("r", "c", "pid", _r6("v"), _r6("d2"))
+
+
+def q_flip_rows(spark, sf):
+    rows, _ = gr.grid_shape(SCALE)
+    return gr.flip_rows(_near(spark, sf, SCALE), rows).select("r", "c", _r6("v"))
+
+
+def q_gaussian_blur(spark, sf):
+    rows, cols = gr.grid_shape(BLUR_SCALE)
+    g = gr.gaussian_blur(_near(spark, sf, BLUR_SCALE), rows, cols, SIGMA)
+    return g.select("r", "c", _r6("v"))
+
+
+def q_land_masked(spark, sf):
+    m = gr.apply_land_mask(_near(spark, sf, SCALE).select("r", "c", "v"), tb.land_mask(spark, SCALE))
+    return m.select("r", "c", _r6("v"))
+
+
+def q_current_model(spark, sf):
+    cur = an.current_model(_means(spark, sf), tb.land_mask(spark, SCALE), SCALE, SIGMA, TILE)
+    return cur.select("r", "c", _r6("v"))
+
+
+def q_reference_grid(spark, sf):
+    clim = cl.climatology_for_day(tb.climatology(spark, sf), ORACLE_DAY)
+    out = cl.upsample_reference(clim, tb.land_mask(spark, SCALE), SCALE)
+    return out.select("r", "c", _r6("v"), "taps")
+
+
+def q_reference_model(spark, sf):
+    ref = an.reference_model(tb.climatology(spark, sf), tb.land_mask(spark, SCALE), ORACLE_DAY, SCALE)
+    return ref.select("r", "c", _r6("v"), "taps")
+
+
+def q_grid_difference(spark, sf):
+    mask = tb.land_mask(spark, SCALE)
+    cur = an.current_model(_means(spark, sf), mask, SCALE, SIGMA, TILE)
+    ref = an.reference_model(tb.climatology(spark, sf), mask, ORACLE_DAY, SCALE)
+    d = gr.grid_difference(cur, ref)
+    return d.select("r", "c", _r6("cur"), _r6("ref"), _r6("diff"))
+
+
+def q_anomaly_map(spark, sf):
+    m = an.anomaly_map(_means(spark, sf), tb.climatology(spark, sf), tb.land_mask(spark, SCALE),
+                       ORACLE_DAY, SCALE, SIGMA, TILE)
+    return m.select("r", "c", _r6("cur"), _r6("ref"), _r6("diff"), _r6("clipped"), "level")
+
+
+def q_heatmap_cells(spark, sf):
+    m = an.anomaly_map(_means(spark, sf), tb.climatology(spark, sf), tb.land_mask(spark, SCALE),
+                       ORACLE_DAY, SCALE, SIGMA, TILE)
+    return m.select("r", "c", _r6("diff"), _r6("clipped"), "level")
+
+
+def q_anomaly_empty(spark, sf):
+    # the map as of a moment before the first reading: no station, so the
+    # current model is all zeros and unmasked
+    m = tb.messages(spark, sf).where(F.col("timestamp") < F.lit("2024-01-01 00:00:00").cast("timestamp"))
+    means = rd.mean_by_city(rd.latest_by_key(rd.decode_reading(m)))
+    out = an.anomaly_map(means, tb.climatology(spark, sf), tb.land_mask(spark, SCALE), ORACLE_DAY, SCALE,
+                         SIGMA, TILE)
+    return out.select("r", "c", _r6("cur"), _r6("ref"), _r6("diff"))
+
+
+def q_reference_days(spark, sf):
+    out = an.reference_models(tb.climatology(spark, sf), tb.land_mask(spark, SCALE), [0, ORACLE_DAY], SCALE)
+    return out.select("day_number", "r", "c", _r6("v"), "taps")
+
+
+def q_station_anomaly(spark, sf):
+    from thermogrid.operators import stations as stn
+    ref = tb.climatology(spark, sf)
+    out = stn.station_anomaly(rd.unpack_city(_means(spark, sf)), ref, tb.land_mask(spark, SCALE),
+                              ORACLE_DAY, SCALE)
+    return out.select("city_and_loc", "r", "c", _r6("avg_temp"), _r6("ref"), _r6("anomaly"))
+
+
+# ---------------------------------------------------------------- climatology
+
+def q_day_index(spark, sf):
+    from thermogrid.functions.columns import day_index
+    return tb.readings(spark, sf).select("event_id", day_index("ts").alias("day_number"))
+
+
+def q_climatology_scan(spark, sf):
+    return tb.climatology(spark, sf)
+
+
+def q_climatology_clean(spark, sf):
+    return cl.drop_missing(tb.climatology(spark, sf))
+
+
+def q_climatology_day(spark, sf):
+    return cl.climatology_for_day(tb.climatology(spark, sf), ORACLE_DAY)
+
+
+def q_day_check(spark, sf):
+    clim = cl.require_day(tb.climatology(spark, sf), ORACLE_DAY)
+    return cl.distinct_days(clim)
+
+
+def q_unpivot_grid(spark, sf):
+    return cl.unpivot_grid(cl.to_lines(tb.climatology(spark, sf)))
+
+
 ORACLE: dict[str, str] = {}
 
 ORACLE["readings_messages"] = W("""
@@ -143,6 +284,75 @@ ORACLE["mean_by_city"] = W(f"select city_and_loc, {r6('avg_temp')} as avg_temp f
 ORACLE["unpack_city"] = W("select city_and_loc, name, lon, lat from stations", "stations")
 
 
+_PTS5 = {"pts": O.points_sql(5.0)}
+_PTS1 = {"pts": O.points_sql(SCALE)}
+_NEAR1 = {**_PTS1, "near": O.nearest_sql(SCALE)}
+_MASK1 = {"mask": O.mask_sql(SCALE)}
+_CUR1 = {**_NEAR1, **_MASK1, **O.blur_ctes("near", SCALE, SIGMA, "cb"),
+         "cur": "select m.r, m.c, case when m.land then b.v end as v from mask m left join cb_out b using (r, c)"}
+_REF1 = {**_MASK1, "landcells": "select r, c from mask where land",
+         **O.reference_ctes(SCALE, ORACLE_DAY, "landcells"),
+         "ref": "select m.r, m.c, o.val as v, coalesce(o.taps, 0) as taps from mask m left join rf_out o using (r, c)"}
+_GRID = ("stations", "climatology")
+
+ORACLE["to_grid"] = W(f"select pid, {r6('x')} as x, {r6('y')} as y from pts", "stations", extra=_PTS5)
+ORACLE["point_stats"] = W(f"""
+    select count(*) as n_points, {r6('min(x)')} as min_x, {r6('max(x)')} as max_x, {r6('min(y)')} as min_y,
+           {r6('max(y)')} as max_y, {r6('min(v)')} as min_v, {r6('max(v)')} as max_v from pts""",
+                          "stations", extra=_PTS5)
+ORACLE["nearest_grid"] = W(f"select r, c, pid, {r6('v')} as v, {r6('d2')} as d2 from near", "stations",
+                           extra=_NEAR1)
+ORACLE["flip_rows"] = W(f"select cast({int(180 * SCALE) - 1} - r as integer) as r, c, {r6('v')} as v from near",
+                        "stations", extra=_NEAR1)
+ORACLE["gaussian_blur"] = W(f"select r, c, {r6('v')} as v from bb_out", "stations",
+                            extra={"pts": O.points_sql(BLUR_SCALE), "near": O.nearest_sql(BLUR_SCALE),
+                                   **O.blur_ctes("near", BLUR_SCALE, SIGMA, "bb")})
+ORACLE["land_masked"] = W(f"""
+    select n.r, n.c, {r6('case when m.land then n.v end')} as v from near n left join mask m using (r, c)""",
+                          "stations", extra={**_NEAR1, **_MASK1})
+ORACLE["current_model"] = W(f"select r, c, {r6('v')} as v from cur", "stations", extra=_CUR1)
+ORACLE["reference_grid"] = W(f"select r, c, {r6('val')} as v, taps from rf_out", *_GRID, extra=_REF1)
+ORACLE["reference_model"] = W(f"select r, c, {r6('v')} as v, taps from ref", *_GRID, extra=_REF1)
+ORACLE["grid_difference"] = W(f"""
+    select a.r, a.c, {r6('a.v')} as cur, {r6('b.v')} as ref, {r6('a.v - b.v')} as diff
+    from cur a left join ref b using (r, c)""", *_GRID, extra={**_CUR1, **_REF1})
+_MAP = f"""
+    select a.r, a.c, a.v as cur, b.v as ref, a.v - b.v as diff,
+           least(greatest(a.v - b.v, -10.0), 10.0) as clipped,
+           cast(least(255, floor((least(greatest(a.v - b.v, -10.0), 10.0) + 10.0) / 20.0 * 256.0)) as integer) as level
+    from cur a left join ref b using (r, c)"""
+ORACLE["anomaly_map"] = W(f"""
+    select r, c, {r6('cur')} as cur, {r6('ref')} as ref, {r6('diff')} as diff, {r6('clipped')} as clipped, level
+    from amap""", *_GRID, extra={**_CUR1, **_REF1, "amap": _MAP})
+ORACLE["heatmap_cells"] = W(f"""
+    select r, c, {r6('diff')} as diff, {r6('clipped')} as clipped, level from amap""",
+                            *_GRID, extra={**_CUR1, **_REF1, "amap": _MAP})
+ORACLE["anomaly_empty"] = W(f"""
+    select m.r, m.c, {r6('0.0::double')} as cur, {r6('b.v')} as ref, {r6('0.0::double - b.v')} as diff
+    from mask m left join ref b using (r, c)""", *_GRID, extra=_REF1)
+_REF0 = {"landcells": "select r, c from mask where land", **O.reference_ctes(SCALE, 0, "landcells", prefix="r0")}
+ORACLE["reference_days"] = W(f"""
+    select {ORACLE_DAY} as day_number, m.r, m.c, {r6('o.val')} as v, coalesce(o.taps, 0) as taps
+    from mask m left join rf_out o using (r, c)
+    union all
+    select 0 as day_number, m.r, m.c, {r6('o.val')} as v, coalesce(o.taps, 0) as taps
+    from mask m left join r0_out o using (r, c)""", *_GRID, extra={**_REF1, **_REF0})
+ORACLE["station_anomaly"] = W(f"""
+    select s.city_and_loc, s.r, s.c, {r6('s.avg_temp')} as avg_temp, {r6('f.v')} as ref,
+           {r6('s.avg_temp - f.v')} as anomaly
+    from (select city_and_loc, avg_temp, cast(floor({SCALE} * (90.0 - lat)) as integer) as r,
+                 cast(floor({SCALE} * (lon + 180.0)) as integer) as c from stations) s
+    left join ref f using (r, c)""", *_GRID, extra=_REF1)
+
+ORACLE["day_index"] = W("select event_id, cast(dayofyear(ts) - 1 as integer) as day_number from readings",
+                        "readings")
+ORACLE["climatology_scan"] = W("select * from climatology", "climatology")
+ORACLE["climatology_clean"] = W(
+    "select * from climatology where climatology is not null and not isnan(climatology)", "climatology")
+ORACLE["climatology_day"] = W(f"select * from climatology where day_number = {ORACLE_DAY}", "climatology")
+ORACLE["day_check"] = W("select distinct day_number from climatology", "climatology")
+ORACLE["unpivot_grid"] = W("select * from climatology", "climatology")
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "readings_messages": q_readings_messages,
     "parse_weather": q_parse_weather,
@@ -155,6 +365,26 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "city_temperature": q_city_temperature,
     "mean_by_city": q_mean_by_city,
     "unpack_city": q_unpack_city,
+    "to_grid": q_to_grid,
+    "point_stats": q_point_stats,
+    "nearest_grid": q_nearest_grid,
+    "flip_rows": q_flip_rows,
+    "gaussian_blur": q_gaussian_blur,
+    "land_masked": q_land_masked,
+    "current_model": q_current_model,
+    "reference_grid": q_reference_grid,
+    "reference_model": q_reference_model,
+    "grid_difference": q_grid_difference,
+    "anomaly_map": q_anomaly_map,
+    "heatmap_cells": q_heatmap_cells,
+    "anomaly_empty": q_anomaly_empty,
+    "reference_days": q_reference_days,
+    "day_index": q_day_index,
+    "climatology_scan": q_climatology_scan,
+    "climatology_clean": q_climatology_clean,
+    "climatology_day": q_climatology_day,
+    "day_check": q_day_check,
+    "unpivot_grid": q_unpivot_grid,
 }
 
 

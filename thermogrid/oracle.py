@@ -75,9 +75,10 @@ FIXTURES: dict[str, tuple[tuple[str, ...], str]] = {
     "event_days": (("readings",), """
         select distinct cast(dayofyear(ts) - 1 as integer) as day_number from readings"""),
     "climatology": (("event_days",), """
-        select day_number, i - 89.5 as latitude, j - 179.5 as longitude,
+        select day_number, i - 89.5::double as latitude, j - 179.5::double as longitude,
                case when (i * 31 + j) % 97 = 0 then null
-                    else 28 - 0.006::double * (i - 89.5) * (i - 89.5) + 0.25::double * ((i * 13 + j * 7 + day_number) % 11)
+                    else 28 - 0.006::double * (i - 89.5::double) * (i - 89.5::double)
+                         + 0.25::double * ((i * 13 + j * 7 + day_number) % 11)
                end as climatology
         from (select day_number, cast(cell // 360 as integer) as i, cast(cell % 360 as integer) as j
               from (select day_number, unnest(range(0, 64800)) as cell from event_days))"""),
@@ -120,3 +121,102 @@ def with_fixtures(sql: str, *names: str, extra: dict[str, str] | None = None) ->
 def r6(expr: str) -> str:
     """The round6 rule of the oracle: a tiny offset, then six decimals."""
     return f"round(({expr}) + 0.00000013, 6)"
+
+
+# ------------------------------------------------------------ grid oracles
+
+def grid_dims(scale: float) -> tuple[int, int]:
+    return int(round(180 * scale)), int(round(360 * scale))
+
+
+def mirror_sql(expr: str, n: int) -> str:
+    m = f"((({expr}) % {2 * n}) + {2 * n}) % {2 * n}"
+    return f"(case when {m} >= {n} then {2 * n - 1} - {m} else {m} end)"
+
+
+def points_sql(scale: float) -> str:
+    s = float(scale)
+    return f"""
+        select city_and_loc as pid, {s} * (90.0 - lat) as x, {s} * (lon + 180.0) as y, avg_temp as v
+        from stations"""
+
+
+def nearest_sql(scale: float, pts: str = "pts") -> str:
+    """Brute force: every cell against every point, smallest (d2, pid)."""
+    rows, cols = grid_dims(scale)
+    return f"""
+        select r, c, arg_min(pid, (d2, pid)) as pid, arg_min(v, (d2, pid)) as v, min(d2) as d2
+        from (select g.r, g.c, p.pid, p.v, (g.r - p.x) * (g.r - p.x) + (g.c - p.y) * (g.c - p.y) as d2
+              from (select cast(id // {cols} as integer) as r, cast(id % {cols} as integer) as c
+                    from range(0, {rows * cols}) t(id)) g
+              cross join (select pid, x, y, v from {pts}) p)
+        group by r, c"""
+
+
+def blur_ctes(src: str, scale: float, sigma: float, prefix: str = "bl") -> dict[str, str]:
+    """Separable Gaussian blur in SQL: tap table joins, mirrored edges."""
+    rows, cols = grid_dims(scale)
+    radius = int(4.0 * float(sigma) + 0.5)
+    s2 = float(sigma) * float(sigma)
+    return {
+        f"{prefix}_taps": f"""
+        select k, exp(-0.5 / {s2} * k * k) / sum(exp(-0.5 / {s2} * k * k)) over () as w
+        from range({-radius}, {radius + 1}) t(k)""",
+        f"{prefix}_p1": f"""
+        select g.r, g.c, sum(t.w * s.v) as v
+        from {src} g cross join {prefix}_taps t
+        join {src} s on s.c = g.c and s.r = {mirror_sql('g.r + t.k', rows)}
+        group by g.r, g.c""",
+        f"{prefix}_out": f"""
+        select g.r, g.c, sum(t.w * s.v) as v
+        from {prefix}_p1 g cross join {prefix}_taps t
+        join {prefix}_p1 s on s.r = g.r and s.c = {mirror_sql('g.c + t.k', cols)}
+        group by g.r, g.c""",
+    }
+
+
+def keys_sql(t: str) -> str:
+    a = f"abs({t})"
+    return (f"(case when {a} <= 1 then 1.5 * {a} * {a} * {a} - 2.5 * {a} * {a} + 1 "
+            f"when {a} < 2 then -0.5 * {a} * {a} * {a} + 2.5 * {a} * {a} - 4.0 * {a} + 2.0 else 0.0 end)")
+
+
+def reference_ctes(scale: float, day: int, cells: str, shift: int = 1, prefix: str = "rf",
+                   clim: str = "climatology") -> dict[str, str]:
+    """Lattice upsampling (J5) of day ``day`` at the cells of ``cells`` (r, c):
+    16 taps -> cubic, 4 -> bilinear, else nearest tap, null outside the lattice."""
+    s = float(scale)
+    return {
+        f"{prefix}_lat": f"""
+        select cast(round(latitude + 89.5) as integer) as i, cast(round(longitude + 179.5) as integer) as j,
+               climatology as val
+        from {clim} where day_number = {int(day)} and climatology is not null and not isnan(climatology)""",
+        f"{prefix}_cells": f"""
+        select r, c, u, v, cast(floor(u) as integer) as i0, cast(floor(v) as integer) as j0,
+               u - floor(u) as fu, v - floor(v) as fv
+        from (select r, c, ({90.0 * s - shift} - r) / {s} + 89.5 as u, c / {s} - 180.0 + 179.5 as v from {cells})""",
+        f"{prefix}_taps": """
+        select cast(t // 4 - 1 as integer) as m, cast(t % 4 - 1 as integer) as n from range(0, 16) x(t)""",
+        f"{prefix}_agg": f"""
+        select g.r, g.c, any_value(g.u) as u, any_value(g.v) as v,
+               count(l.val) as n16,
+               sum({keys_sql('g.fu - t.m')} * {keys_sql('g.fv - t.n')} * l.val) as cubic,
+               count(l.val) filter (where t.m in (0, 1) and t.n in (0, 1)) as n4,
+               sum(case when t.m = 0 and t.n = 0 then (1 - g.fu) * (1 - g.fv) * l.val
+                        when t.m = 0 and t.n = 1 then (1 - g.fu) * g.fv * l.val
+                        when t.m = 1 and t.n = 0 then g.fu * (1 - g.fv) * l.val
+                        when t.m = 1 and t.n = 1 then g.fu * g.fv * l.val end) as bil,
+               max(l.val) filter (where t.m = (case when g.fu >= 0.5 then 1 else 0 end)
+                                  and t.n = (case when g.fv >= 0.5 then 1 else 0 end)) as near
+        from {prefix}_cells g cross join {prefix}_taps t
+        left join {prefix}_lat l on l.i = g.i0 + t.m and l.j = g.j0 + t.n
+        group by g.r, g.c""",
+        f"{prefix}_out": f"""
+        select r, c,
+               case when not (u >= 0 and u <= 179 and v >= 0 and v <= 359) then null
+                    when n16 = 16 then cubic when n4 = 4 then bil else near end as val,
+               cast(case when not (u >= 0 and u <= 179 and v >= 0 and v <= 359) then 0
+                         when n16 = 16 then 16 when n4 = 4 then 4 when near is not null then 1 else 0 end
+                    as integer) as taps
+        from {prefix}_agg""",
+    }
