@@ -228,6 +228,93 @@ def q_unpivot_grid(spark, sf):
     return cl.unpivot_grid(cl.to_lines(tb.climatology(spark, sf)))
 
 
+# ---------------------------------------------------------------- stations
+
+NUM_EVEN = 500
+NUM_FILL = 1000
+PICK_SEED = 7
+RANDOM_N = 100
+WORKERS = 7
+KEYS = 3
+# our own four-entry city cache (name -> [lon, lat]) for the geocode check
+CITY_CACHE_JSON = '{"S8": [10.5, 20.25], "S46": [-3.0, 51.5], "S7": [139.75, 35.5], "S16": [-70.25, -33.5]}'
+
+
+def _stn():
+    from thermogrid.operators import stations as stn
+    return stn
+
+
+def q_coord_bucket(spark, sf):
+    return _stn().coord_bucket(tb.registry(spark, sf)).select("seq", "id", "lat_b", "lon_b")
+
+
+def q_ids_by_bucket(spark, sf):
+    return _stn().ids_by_bucket(tb.registry(spark, sf))
+
+
+def q_bucket_lookup(spark, sf):
+    st = _stn()
+    req = st.coord_bucket(rd.unpack_city(_means(spark, sf))).select("city_and_loc", "lat_b", "lon_b")
+    return st.bucket_lookup(req, tb.registry(spark, sf)).select("city_and_loc", "lat_b", "lon_b", "id", "seq")
+
+
+def q_even_pick(spark, sf):
+    return _stn().even_pick(tb.registry(spark, sf), NUM_EVEN)
+
+
+def q_fill_pick(spark, sf):
+    return _stn().pick_ids(tb.registry(spark, sf), NUM_FILL, PICK_SEED)
+
+
+def q_random_pick(spark, sf):
+    return _stn().random_pick(tb.registry(spark, sf), RANDOM_N, PICK_SEED)
+
+
+def q_assign_chunks(spark, sf):
+    return _stn().assign_chunks(tb.registry(spark, sf), WORKERS).select("seq", "id", "rn", "worker")
+
+
+def q_assign_round_robin(spark, sf):
+    return _stn().assign_round_robin(tb.registry(spark, sf), KEYS).select("seq", "id", "rn", "worker")
+
+
+def q_geocode(spark, sf):
+    from thermogrid.sources.files import city_cache_from_text
+    names = rd.unpack_city(_means(spark, sf)).select("name", "lon", "lat")
+    cache = city_cache_from_text(spark, CITY_CACHE_JSON)
+    return _stn().geocode(names, cache, prefer="cache").select("name", "lon", "lat", "src")
+
+
+# ---------------------------------------------------------------- call log
+
+def _cl():
+    from thermogrid.operators import calllog as c
+    return c
+
+
+def q_ok_responses(spark, sf):
+    return _cl().successful_responses(tb.call_log(spark, sf)).select(
+        "event_id", "client", "request_id", "attempt", "status")
+
+
+def q_calls_per_minute(spark, sf):
+    return _cl().calls_per_minute(tb.call_log(spark, sf))
+
+
+def q_failure_counts(spark, sf):
+    return _cl().failure_counts(tb.call_log(spark, sf))
+
+
+def q_quota_admission(spark, sf):
+    return _cl().quota_admission(tb.call_log(spark, sf), cap=60).select(
+        "event_id", "client", "minute", "rank", "admitted_minute", "delay_min")
+
+
+def q_first_success(spark, sf):
+    return _cl().first_success(tb.call_log(spark, sf), 3)
+
+
 ORACLE: dict[str, str] = {}
 
 ORACLE["readings_messages"] = W("""
@@ -353,6 +440,86 @@ ORACLE["climatology_day"] = W(f"select * from climatology where day_number = {OR
 ORACLE["day_check"] = W("select distinct day_number from climatology", "climatology")
 ORACLE["unpivot_grid"] = W("select * from climatology", "climatology")
 
+_BUCK = {"bk": """select seq, id, cast(trunc(lat) as integer) as lat_b, cast(trunc(lon) as integer) as lon_b
+                   from registry"""}
+
+
+def _even_sql(num_ids):
+    per_lat = int(num_ids / 181) + 1
+    inc = int(361 / per_lat)
+    return f"""
+        select 1 as phase, cast(lat_b as bigint) as ord1, cast(slot as bigint) as ord2,
+               arg_min(id, (lon_b, -seq)) as id, arg_min(seq, (lon_b, -seq)) as seq, lat_b, min(lon_b) as lon_b
+        from (select *, cast(floor((lon_b + 180) / {inc}) as integer) as slot from bk
+              where lat_b between -90 and 90 and lon_b between -180 and 180)
+        group by lat_b, slot"""
+
+
+def _md5(seed):
+    return f"md5(cast(id as varchar) || ':' || '{seed}')"
+
+
+ORACLE["coord_bucket"] = W("select * from bk", "registry", extra=_BUCK)
+ORACLE["ids_by_bucket"] = W("""
+    select lat_b, lon_b, row_number() over (partition by lat_b, lon_b order by seq) - 1 as pos,
+           count(*) over (partition by lat_b, lon_b) as n, seq, id from bk""", "registry", extra=_BUCK)
+ORACLE["bucket_lookup"] = W("""
+    select s.city_and_loc, s.lat_b, s.lon_b, t.id, t.seq
+    from (select city_and_loc, cast(trunc(lat) as integer) as lat_b, cast(trunc(lon) as integer) as lon_b
+          from stations) s
+    left join (select lat_b, lon_b, arg_max(id, seq) as id, max(seq) as seq from bk group by lat_b, lon_b) t
+    using (lat_b, lon_b)""", "registry", "stations", extra=_BUCK)
+ORACLE["even_pick"] = W("select * from ev", "registry", extra={**_BUCK, "ev": _even_sql(NUM_EVEN)})
+ORACLE["fill_pick"] = W(f"""
+    select * from ev
+    union all
+    select 2 as phase, cast(rnd as bigint) as ord1, cast(lat_b as bigint) as ord2, id, seq, lat_b, lon_b
+    from (select *, row_number() over (order by rnd, lat_b) as pos
+          from (select *, row_number() over (partition by lat_b order by {_md5(PICK_SEED)}, seq) as rnd
+                from bk where lat_b between -90 and 89 and lon_b between -180 and 180
+                  and seq not in (select seq from ev)))
+    where pos <= {NUM_FILL} - (select count(*) from ev)""", "registry", extra={**_BUCK, "ev": _even_sql(NUM_FILL)})
+ORACLE["random_pick"] = W(f"""
+    select id from (select id from registry order by {_md5(PICK_SEED)}, id limit {RANDOM_N - 1})
+    union all select cast(6255152 as bigint) as id""", "registry")
+ORACLE["assign_chunks"] = W(f"""
+    select seq, id, rn, cast(rn // (n // {WORKERS} + 1) as integer) as worker
+    from (select seq, id, row_number() over (order by seq) - 1 as rn, count(*) over () as n from registry)""",
+                            "registry")
+ORACLE["assign_round_robin"] = W(f"""
+    select seq, id, rn, cast(rn % {KEYS} as integer) as worker
+    from (select seq, id, row_number() over (order by seq) - 1 as rn from registry)""", "registry")
+ORACLE["geocode"] = W("""
+    select s.name, coalesce(c.lon, s.lon) as lon, coalesce(c.lat, s.lat) as lat,
+           case when c.lon is not null and c.lat is not null then 'cache'
+                when s.lon is not null and s.lat is not null then 'key' end as src
+    from stations s left join (values ('S8', 10.5::double, 20.25::double), ('S46', -3.0, 51.5),
+                                      ('S7', 139.75, 35.5), ('S16', -70.25, -33.5)) c(city, lon, lat)
+    on s.name = c.city""", "stations")
+ORACLE["station_anomaly"] = ORACLE.pop("station_anomaly")
+
+ORACLE["ok_responses"] = W("""
+    select event_id, client, request_id, attempt, status from call_log where status = 200""", "call_log")
+ORACLE["calls_per_minute"] = W("""
+    select client, epoch_ms(date_trunc('minute', ts)) // 1000 as minute_start, count(*) as n
+    from call_log group by 1, 2""", "call_log")
+ORACLE["failure_counts"] = W("""
+    select client, count(*) as calls, count(*) filter (where status is null) as failed,
+           count(*) filter (where status = 200) as ok
+    from call_log group by client""", "call_log")
+ORACLE["quota_admission"] = W("""
+    select event_id, client, minute, rank, cast((rank + cm) // 60 as bigint) as admitted_minute,
+           cast((rank + cm) // 60 - minute as bigint) as delay_min
+    from (select *, max(minute * 60 - rank) over (partition by client order by ts, event_id
+                                                 rows between unbounded preceding and current row) as cm
+          from (select event_id, client, ts, epoch_ms(ts) // 60000 as minute,
+                       row_number() over (partition by client order by ts, event_id) - 1 as rank
+                from call_log))""", "call_log")
+ORACLE["first_success"] = W("""
+    select request_id, min(attempt) as attempt, arg_min(event_id, (attempt, event_id)) as event_id,
+           arg_min(client, (attempt, event_id)) as client
+    from call_log where status = 200 and attempt <= 3 group by request_id""", "call_log")
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "readings_messages": q_readings_messages,
     "parse_weather": q_parse_weather,
@@ -385,12 +552,28 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "climatology_day": q_climatology_day,
     "day_check": q_day_check,
     "unpivot_grid": q_unpivot_grid,
+    "station_anomaly": q_station_anomaly,
+    "coord_bucket": q_coord_bucket,
+    "ids_by_bucket": q_ids_by_bucket,
+    "bucket_lookup": q_bucket_lookup,
+    "even_pick": q_even_pick,
+    "fill_pick": q_fill_pick,
+    "random_pick": q_random_pick,
+    "assign_chunks": q_assign_chunks,
+    "assign_round_robin": q_assign_round_robin,
+    "geocode": q_geocode,
+    "ok_responses": q_ok_responses,
+    "calls_per_minute": q_calls_per_minute,
+    "failure_counts": q_failure_counts,
+    "quota_admission": q_quota_admission,
+    "first_success": q_first_success,
 }
 
 
 def entry(spark: SparkSession) -> DataFrame:
-    """Flagship on sf0.001: the per-station mean (minimum slice)."""
-    return q_mean_by_city(spark, "/root/testdata/sf0.001")
+    """Flagship on sf0.001: the anomaly map (messages -> latest -> means ->
+    nearest -> blur -> mask, climatology -> lattice cubic, difference)."""
+    return q_anomaly_map(spark, "/root/testdata/sf0.001")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
