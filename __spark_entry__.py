@@ -315,6 +315,20 @@ def q_first_success(spark, sf):
     return _cl().first_success(tb.call_log(spark, sf), 3)
 
 
+# ---------------------------------------------------------------- streaming twins
+
+def q_mean_last_24h(spark, sf):
+    from thermogrid.streaming.ingest import mean_last_24h_batch
+    good = rd.decode_reading(tb.messages(spark, sf))
+    return mean_last_24h_batch(good).select("city_and_loc", "window_start", _r6("avg_temp"), "n")
+
+
+def q_stream_latest(spark, sf):
+    # the stateful stream (T3) run to completion over the messages, read back
+    from thermogrid.streaming.ingest import run_latest_stream_once
+    return run_latest_stream_once(spark, tb.messages(spark, sf))
+
+
 ORACLE: dict[str, str] = {}
 
 ORACLE["readings_messages"] = W("""
@@ -520,6 +534,13 @@ ORACLE["first_success"] = W("""
            arg_min(client, (attempt, event_id)) as client
     from call_log where status = 200 and attempt <= 3 group by request_id""", "call_log")
 
+ORACLE["mean_last_24h"] = W(f"""
+    select city_and_loc, cast((h - k) * 3600 as bigint) as window_start,
+           {r6('avg(cast(temperature as double))')} as avg_temp, count(*) as n
+    from (select *, epoch_ms("timestamp") // 3600000 as h from parsed) p cross join range(0, 24) t(k)
+    group by 1, 2""", "parsed")
+ORACLE["stream_latest"] = W("select * from current", "current")
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "readings_messages": q_readings_messages,
     "parse_weather": q_parse_weather,
@@ -567,6 +588,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "failure_counts": q_failure_counts,
     "quota_admission": q_quota_admission,
     "first_success": q_first_success,
+    "mean_last_24h": q_mean_last_24h,
+    "stream_latest": q_stream_latest,
 }
 
 
