@@ -111,7 +111,8 @@ def interpolate(df: DataFrame, out: str = "ref") -> DataFrame:
     """Value from the joined taps ``t0..t15`` at fractional position (_u, _v).
 
     16 taps: cubic convolution; else the 4 bilinear taps; else the nearest
-    tap; else null. Outside the lattice extent: null. Adds ``out`` and
+    existing one of those 4 corners; else null. Outside the lattice extent:
+    null. Adds ``out`` and
     ``taps`` (16, 4, 1 or 0). The eight kernel weights are projected once in
     their own step, which keeps the generated code small.
     """
@@ -131,11 +132,18 @@ def interpolate(df: DataFrame, out: str = "ref") -> DataFrame:
             one = tap[a * 4 + b].isNotNull().cast("int")
             n16 = one if n16 is None else n16 + one
     t00, t01, t10, t11 = tap[5], tap[6], tap[9], tap[10]
-    n4 = (t00.isNotNull().cast("int") + t01.isNotNull().cast("int") + t10.isNotNull().cast("int")
-          + t11.isNotNull().cast("int"))
-    bil = ((1 - fu) * (1 - fv) * t00 + (1 - fu) * fv * t01 + fu * (1 - fv) * t10 + fu * fv * t11)
-    near = (F.when(fu >= 0.5, F.when(fv >= 0.5, t11).otherwise(t10))
-            .otherwise(F.when(fv >= 0.5, t01).otherwise(t00)))
+    # bilinear square: a corner with weight 0 (cell on a lattice line) is not needed
+    n4 = None
+    bil = None
+    for wgt, t in (((1 - fu) * (1 - fv), t00), ((1 - fu) * fv, t01), (fu * (1 - fv), t10), (fu * fv, t11)):
+        ok = (t.isNotNull() | (wgt == 0)).cast("int")
+        part = F.when(wgt == 0, F.lit(0.0)).otherwise(wgt * t)
+        n4 = ok if n4 is None else n4 + ok
+        bil = part if bil is None else bil + part
+    # nearest existing corner of the cell, ties to the smaller (m, n)
+    near = F.least(*[F.when(t.isNotNull(), F.struct(((fu - m) * (fu - m) + (fv - n) * (fv - n)).alias("d"),
+                                                   F.lit(m).alias("m"), F.lit(n).alias("n"), t.alias("val")))
+                     for m, n, t in ((0, 0, t00), (0, 1, t01), (1, 0, t10), (1, 1, t11))])["val"]
     inside = ((F.col("_u") >= 0) & (F.col("_u") <= NLAT - 1) & (F.col("_v") >= 0) & (F.col("_v") <= NLON - 1))
     x = x.select("*", n16.alias("_n16"), n4.alias("_n4"), cubic.alias("_cubic"), bil.alias("_bil"),
                  near.alias("_near"), inside.alias("_in"))

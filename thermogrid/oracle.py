@@ -184,8 +184,11 @@ def keys_sql(t: str) -> str:
 def reference_ctes(scale: float, day: int, cells: str, shift: int = 1, prefix: str = "rf",
                    clim: str = "climatology") -> dict[str, str]:
     """Lattice upsampling (J5) of day ``day`` at the cells of ``cells`` (r, c):
-    16 taps -> cubic, 4 -> bilinear, else nearest tap, null outside the lattice."""
+    16 taps -> cubic, 4 -> bilinear, else nearest existing corner, null outside
+    the lattice."""
     s = float(scale)
+    bw = ("((case when t.m = 1 then g.fu else 1 - g.fu end) * "
+          "(case when t.n = 1 then g.fv else 1 - g.fv end))")
     return {
         f"{prefix}_lat": f"""
         select cast(round(latitude + 89.5) as integer) as i, cast(round(longitude + 179.5) as integer) as j,
@@ -201,13 +204,12 @@ def reference_ctes(scale: float, day: int, cells: str, shift: int = 1, prefix: s
         select g.r, g.c, any_value(g.u) as u, any_value(g.v) as v,
                count(l.val) as n16,
                sum({keys_sql('g.fu - t.m')} * {keys_sql('g.fv - t.n')} * l.val) as cubic,
-               count(l.val) filter (where t.m in (0, 1) and t.n in (0, 1)) as n4,
-               sum(case when t.m = 0 and t.n = 0 then (1 - g.fu) * (1 - g.fv) * l.val
-                        when t.m = 0 and t.n = 1 then (1 - g.fu) * g.fv * l.val
-                        when t.m = 1 and t.n = 0 then g.fu * (1 - g.fv) * l.val
-                        when t.m = 1 and t.n = 1 then g.fu * g.fv * l.val end) as bil,
-               max(l.val) filter (where t.m = (case when g.fu >= 0.5 then 1 else 0 end)
-                                  and t.n = (case when g.fv >= 0.5 then 1 else 0 end)) as near
+               count(*) filter (where t.m in (0, 1) and t.n in (0, 1)
+                                and (l.val is not null or {bw} = 0)) as n4,
+               sum(case when t.m in (0, 1) and t.n in (0, 1) then
+                          (case when {bw} = 0 then 0.0 else {bw} * l.val end) end) as bil,
+               arg_min(l.val, ((g.fu - t.m) * (g.fu - t.m) + (g.fv - t.n) * (g.fv - t.n), t.m, t.n))
+                 filter (where t.m in (0, 1) and t.n in (0, 1) and l.val is not null) as near
         from {prefix}_cells g cross join {prefix}_taps t
         left join {prefix}_lat l on l.i = g.i0 + t.m and l.j = g.j0 + t.n
         group by g.r, g.c""",
