@@ -27,7 +27,7 @@ ORACLE_DAY = 14
 SCALE = 1.0
 BLUR_SCALE = 0.5
 SIGMA = 2.0
-TILE = 16
+TILE = 8
 
 
 def _r6(c):

@@ -11,12 +11,14 @@ from __future__ import annotations
 import math
 
 import numpy as np
+from pyspark import StorageLevel
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from thermogrid.functions.columns import grid_x, grid_y
+from thermogrid.session import work_partitions
 
 
 def grid_shape(scale: float) -> tuple[int, int]:
@@ -75,7 +77,7 @@ def _max_d2(x, y, r0, r1, c0, c1):
     return dx * dx + dy * dy
 
 
-def nearest_points(points: DataFrame, rows: int, cols: int, tile: int = 16) -> DataFrame:
+def nearest_points(points: DataFrame, rows: int, cols: int, tile: int = 8) -> DataFrame:
     """For every cell the nearest point (planar), exact: ``r, c, pid, v, d2``.
 
     Ties go to the smallest ``pid``. No cross join and no all-pairs step:
@@ -95,8 +97,8 @@ def nearest_points(points: DataFrame, rows: int, cols: int, tile: int = 16) -> D
     Points sharing a position keep the smallest ``pid`` (the only one that can
     win). Points further than one grid size outside the grid raise an error.
     """
-    if tile < 1:
-        raise ValueError("tile must be >= 1")
+    if tile < 1 or tile & (tile - 1):
+        raise ValueError("tile must be a power of two")
     L = _levels(rows, cols, tile)
     x, y = F.col("x"), F.col("y")
     guard = F.when((x >= -rows) & (x <= 2 * rows) & (y >= -cols) & (y <= 2 * cols), F.lit(True)).otherwise(
@@ -105,6 +107,11 @@ def nearest_points(points: DataFrame, rows: int, cols: int, tile: int = 16) -> D
            .where(guard)
            .groupBy("x", "y").agg(F.min(F.struct("pid", "v")).alias("p"))
            .select(F.col("p.pid").alias("pid"), "x", "y", F.col("p.v").alias("v")))
+    # The point set (one row per station position) feeds several branches of
+    # the plan; keep it once instead of recomputing its whole upstream (scan,
+    # decode, latest, mean) per branch. Lineage is kept, so a lost executor
+    # only recomputes its blocks.
+    pts = pts.persist(StorageLevel.MEMORY_AND_DISK)
 
     # copies of each point into the 3x3 block around its tile, at every level
     k = F.col("k")
@@ -141,25 +148,31 @@ def nearest_points(points: DataFrame, rows: int, cols: int, tile: int = 16) -> D
                    F.expr("shiftright(lc, lvl)").alias("tc")))
 
     lr0, lr1, lc0, lc1 = _rect(F.col("lr"), F.col("lc"), F.lit(tile), rows, cols)
+    # The candidate rows are few bytes but each fans out to a whole leaf of
+    # cells: partition them by leaf with a count that follows the cells (AQE
+    # would coalesce them by bytes into one task). The leaf bound is a window
+    # over that partitioning, and the per-cell aggregate below reuses it too.
+    nparts = work_partitions(points.sparkSession, rows * cols, 25_000)
     pairs = (res.join(cand, ["lvl", "tr", "tc"])
-             .select("lr", "lc", "pid", "x", "y", "v",
+             .select((F.col("lr") * nlc + F.col("lc")).alias("leaf"), "lr", "lc", "pid", "x", "y", "v",
                      _min_d2(x, y, lr0, lr1, lc0, lc1).alias("mind2"),
-                     _max_d2(x, y, lr0, lr1, lc0, lc1).alias("maxd2")))
-    leaf_ub = pairs.groupBy("lr", "lc").agg(F.min("maxd2").alias("leaf_ub"))
-    keep = (pairs.join(leaf_ub, ["lr", "lc"])
+                     _max_d2(x, y, lr0, lr1, lc0, lc1).alias("maxd2"))
+             .repartition(nparts, "leaf"))
+    keep = (pairs.withColumn("leaf_ub", F.min("maxd2").over(Window.partitionBy("leaf")))
             .where(F.col("mind2") <= F.col("leaf_ub"))
-            .select("lr", "lc", "pid", "x", "y", "v"))
+            .select("leaf", "lr", "lc", "pid", "x", "y", "v"))
 
-    # cells of each leaf against its candidates
+    # cells of each leaf against its candidates; per cell the minimum of
+    # (d2, pid), grouped within the leaf partitioning (no further shuffle)
     nr = F.least(F.lit(tile), F.lit(rows) - F.col("lr") * tile)
     nc = F.least(F.lit(tile), F.lit(cols) - F.col("lc") * tile)
-    cells = keep.select("lr", "lc", "pid", "x", "y", "v", nc.alias("nc"),
+    cells = keep.select("leaf", "lr", "lc", "pid", "x", "y", "v", nc.alias("nc"),
                         F.explode(F.sequence(F.lit(0), nr * nc - 1)).alias("j"))
     r = (F.col("lr") * tile + (F.col("j") / F.col("nc")).cast("long")).cast("int")
     c = (F.col("lc") * tile + F.pmod(F.col("j"), F.col("nc"))).cast("int")
     d2 = (r - x) * (r - x) + (c - y) * (c - y)
-    best = (cells.select(r.alias("r"), c.alias("c"), F.struct(d2.alias("d2"), "pid", "v").alias("b"))
-            .groupBy("r", "c").agg(F.min("b").alias("b")))
+    best = (cells.select("leaf", r.alias("r"), c.alias("c"), F.struct(d2.alias("d2"), "pid", "v").alias("b"))
+            .groupBy("leaf", "r", "c").agg(F.min("b").alias("b")))
     return best.select("r", "c", F.col("b.pid").alias("pid"), F.col("b.v").alias("v"), F.col("b.d2").alias("d2"))
 
 
@@ -182,7 +195,7 @@ def _mirror(idx: np.ndarray, n: int) -> np.ndarray:
     return np.where(m >= n, 2 * n - 1 - m, m)
 
 
-def _line_pass(df: DataFrame, line: str, pos: str, n: int, w: np.ndarray) -> DataFrame:
+def _line_pass(df: DataFrame, line: str, pos: str, n: int, w: np.ndarray, n_lines: int) -> DataFrame:
     radius = (len(w) - 1) // 2
     src = _mirror(np.arange(-radius, n + radius), n)
 
@@ -196,7 +209,10 @@ def _line_pass(df: DataFrame, line: str, pos: str, n: int, w: np.ndarray) -> Dat
 
     schema = T.StructType([T.StructField(line, T.IntegerType()), T.StructField(pos, T.IntegerType()),
                            T.StructField("v", T.DoubleType())])
-    return df.select(line, pos, "v").groupBy(line).applyInPandas(smooth, schema)
+    # one line is n cells of compute; spread lines by count, not by bytes
+    nparts = work_partitions(df.sparkSession, n_lines * n, 50_000)
+    return (df.select(line, pos, "v").repartition(nparts, line)
+            .groupBy(line).applyInPandas(smooth, schema))
 
 
 def gaussian_blur(grid: DataFrame, rows: int, cols: int, sigma: float, truncate: float = 4.0) -> DataFrame:
@@ -210,8 +226,8 @@ def gaussian_blur(grid: DataFrame, rows: int, cols: int, sigma: float, truncate:
     w = gaussian_weights(sigma, truncate)
     g = grid.select(F.col("r").cast("int").alias("r"), F.col("c").cast("int").alias("c"),
                     F.col("v").cast("double").alias("v"))
-    down = _line_pass(g, "c", "r", rows, w)
-    return _line_pass(down, "r", "c", cols, w).select("r", "c", "v")
+    down = _line_pass(g, "c", "r", rows, w, cols)
+    return _line_pass(down, "r", "c", cols, w, rows).select("r", "c", "v")
 
 
 # -------------------------------------------------------------- mask, diff

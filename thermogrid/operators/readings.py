@@ -12,8 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from thermogrid.functions.columns import (CITY_PATTERN, KEY_PATTERN, as_text, encode_key,
-                                          hour_of_day)
+from thermogrid.functions.columns import as_text, encode_key, hour_of_day
 
 # The parts of the weather service response that are used.
 WEATHER_SCHEMA = T.StructType([
@@ -59,23 +58,28 @@ def parse_weather(df: DataFrame, body: str = "body") -> DataFrame:
 
 
 def _parsed(df: DataFrame, key: str, value: str) -> DataFrame:
-    k = as_text(key)
-    v = as_text(value)
-    lon_s = F.regexp_extract(k, KEY_PATTERN, 2)
-    lat_s = F.regexp_extract(k, KEY_PATTERN, 3)
-    hour_s = F.regexp_extract(k, KEY_PATTERN, 4)
-    key_ok = (k.rlike(KEY_PATTERN) & lon_s.try_cast("double").isNotNull()
-              & lat_s.try_cast("double").isNotNull())
-    time = hour_s.try_cast("int")
-    temp = v.try_cast("double")
-    reason = (F.when(k.isNull() | ~key_ok, F.lit("key"))
+    # One split per key; the last three fields are hour, lat and lon, and the
+    # station key is everything before the last ':' (so names may hold ':').
+    # Same rule as the anchored pattern KEY_PATTERN, without regex matching.
+    x = df.withColumn("_k", as_text(key)).withColumn("_v", as_text(value))
+    x = x.withColumn("_p", F.split(F.col("_k"), ":", -1))
+    n = F.size("_p")
+    hour_s = F.element_at("_p", -1)
+    lat_s = F.element_at("_p", -2)
+    lon_s = F.element_at("_p", -3)
+    key_ok = (n >= 4) & lon_s.try_cast("double").isNotNull() & lat_s.try_cast("double").isNotNull()
+    key_ok = F.coalesce(key_ok, F.lit(False))
+    time = F.when(n >= 4, hour_s).try_cast("int")
+    temp = F.col("_v").try_cast("double")
+    reason = (F.when(~key_ok, F.lit("key"))
               .when(time.isNull(), F.lit("hour"))
               .when(temp.isNull(), F.lit("value")))
-    return (df.withColumn("_k", k).withColumn("_v", v)
-            .withColumn("city_and_loc", F.regexp_extract(k, r"^(.*):([^:]*)$", 1))
+    city = F.expr("substring(_k, 1, length(_k) - length(element_at(_p, -1)) - 1)")
+    return (x.withColumn("city_and_loc", F.when(n >= 4, city))
             .withColumn("time", time)
             .withColumn("temperature", temp.cast("float"))
-            .withColumn("reason", reason))
+            .withColumn("reason", reason)
+            .drop("_p"))
 
 
 def decode_reading(df: DataFrame, key: str = "key", value: str = "value") -> DataFrame:
@@ -109,11 +113,19 @@ def city_temperature(current: DataFrame) -> DataFrame:
 
 
 def unpack_city(df: DataFrame, key: str = "city_and_loc") -> DataFrame:
-    """``name:lon:lat`` to name and double lon/lat; names with ':' survive."""
-    k = F.col(key)
-    return (df.withColumn("name", F.regexp_extract(k, CITY_PATTERN, 1))
-            .withColumn("lon", F.regexp_extract(k, CITY_PATTERN, 2).try_cast("double"))
-            .withColumn("lat", F.regexp_extract(k, CITY_PATTERN, 3).try_cast("double")))
+    """``name:lon:lat`` to name and double lon/lat; names with ':' survive.
+
+    The same last-fields rule as the pattern CITY_PATTERN, done with one split.
+    """
+    p = F.split(F.col(key), ":", -1)
+    ok = F.size(p) >= 3
+    lon_s = F.element_at(p, -2)
+    lat_s = F.element_at(p, -1)
+    name = F.expr(f"substring({key}, 1, length({key}) - length(element_at(split({key}, ':', -1), -1))"
+                  f" - length(element_at(split({key}, ':', -1), -2)) - 2)")
+    return (df.withColumn("name", F.when(ok, name))
+            .withColumn("lon", F.when(ok, lon_s).try_cast("double"))
+            .withColumn("lat", F.when(ok, lat_s).try_cast("double")))
 
 
 def latest_by_key(df: DataFrame, keys=("city_and_loc", "time"),

@@ -17,7 +17,7 @@ def station_points(means: DataFrame, scale: float) -> DataFrame:
     return gr.to_points(rd.unpack_city(means), scale)
 
 
-def smoothed_model(means: DataFrame, scale: float, sigma: float, tile: int = 16) -> DataFrame:
+def smoothed_model(means: DataFrame, scale: float, sigma: float, tile: int = 8) -> DataFrame:
     """Nearest-neighbour field of the station means, blurred (no mask yet)."""
     rows, cols = gr.grid_shape(scale)
     near = gr.nearest_points(station_points(means, scale), rows, cols, tile)
@@ -35,7 +35,7 @@ def _masked(mask: DataFrame, smooth: DataFrame) -> DataFrame:
 
 
 def current_model(means: DataFrame, mask: DataFrame, scale: float, sigma: float = 20.0,
-                  tile: int = 16) -> DataFrame:
+                  tile: int = 8) -> DataFrame:
     """Station means -> points -> nearest -> blur -> land mask: ``r, c, v``."""
     out = _masked(mask, smoothed_model(means, scale, sigma, tile))
     return out.select("r", "c", F.col("cur").alias("v"))
@@ -53,7 +53,7 @@ def reference_model(clim: DataFrame, mask: DataFrame, day: int, scale: float, re
 
 
 def anomaly_map(means: DataFrame, clim: DataFrame, mask: DataFrame, day: int, scale: float,
-                sigma: float = 20.0, tile: int = 16, ref_row_shift: int = 1, check: bool = True,
+                sigma: float = 20.0, tile: int = 8, ref_row_shift: int = 1, check: bool = True,
                 lo: float = -10.0, hi: float = 10.0) -> DataFrame:
     """X3 (+P14): ``r, c, cur, ref, diff, clipped, level`` for every cell.
 

@@ -21,6 +21,10 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # The JVM does not JIT-compile methods above 8000 bytes of bytecode; a
+    # fused stage beyond that runs interpreted (several times slower). Above
+    # this size Spark keeps per-operator generated code instead.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.ui.enabled": "false",
 }
 
@@ -75,3 +79,27 @@ def is_local_path(path: str) -> bool:
 def ensure_dir(path: str) -> None:
     if is_local_path(path):
         os.makedirs(path.replace("file:", ""), exist_ok=True)
+
+
+def parallelism(spark: SparkSession) -> int:
+    return max(1, int(spark.sparkContext.defaultParallelism))
+
+
+def work_partitions(spark: SparkSession, units: int, per_partition: int) -> int:
+    """Partitions for compute-heavy work of ``units`` items (cells, lines).
+
+    Byte-size based coalescing (AQE) would put a small-but-expensive input in
+    one task; this count follows the work instead, at most twice the cores.
+    """
+    want = max(1, -(-int(units) // max(1, int(per_partition))))
+    return max(1, min(2 * parallelism(spark), want))
+
+
+def spread_small_scan(df):
+    """Give a scan with fewer partitions than cores (one small file, one row
+    group) one partition per core. A large input already has many splits and
+    is returned unchanged, so this never adds a shuffle at scale."""
+    n = parallelism(df.sparkSession)
+    if df.rdd.getNumPartitions() < n:
+        return df.repartition(n)
+    return df

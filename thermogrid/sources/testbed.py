@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from thermogrid.functions.columns import TOPIC, encode_key
+from thermogrid.session import spread_small_scan
 
 # Fixed values of the derivations (see FIXTURES.md): station positions from
 # multiplicative hashes of the id, climatology on a 1 degree lattice.
@@ -22,7 +23,7 @@ LATTICE_COLS = 360
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread_small_scan(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
 
 
 def _lon(idcol):
@@ -120,13 +121,18 @@ def climatology(spark: SparkSession, sf_dir: str) -> DataFrame:
     not a join.
     """
     days = event_days(spark, sf_dir)
-    n = LATTICE_ROWS * LATTICE_COLS
+    # expand in two steps (day -> lattice rows, spread over the cores -> cells)
+    # so that one day is not generated in a single task
+    lat_rows = days.select("day_number", F.explode(F.sequence(F.lit(0), F.lit(LATTICE_ROWS - 1))).alias("li"))
+    cells = (spread_small_scan(lat_rows)
+             .select("day_number", "li", F.explode(F.sequence(F.lit(0), F.lit(LATTICE_COLS - 1))).alias("lj"))
+             .select("day_number", (F.col("li") * LATTICE_COLS + F.col("lj")).alias("cell")))
     lat_i = F.expr(f"cast(cell div {LATTICE_COLS} as int)")
     lon_j = F.expr(f"cast(cell % {LATTICE_COLS} as int)")
     lat = lat_i - F.lit(89.5)
     val = (F.lit(28.0) - F.lit(0.006) * lat * lat
            + F.lit(0.25) * F.pmod(lat_i * 13 + lon_j * 7 + F.col("day_number"), F.lit(11)))
-    return (days.select("day_number", F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("cell"))
+    return (cells
             .select("day_number", lat.alias("latitude"), (lon_j - F.lit(179.5)).alias("longitude"),
                     F.when(F.pmod(lat_i * 31 + lon_j, F.lit(97)) == 0, F.lit(None).cast("double"))
                     .otherwise(val).alias("climatology")))
