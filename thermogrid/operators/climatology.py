@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from thermogrid.session import work_partitions
+
 LAT0 = -89.5   # latitude of lattice row 0
 LON0 = -179.5  # longitude of lattice column 0
 NLAT = 180
@@ -87,7 +89,10 @@ def neighbourhoods(clim_day: DataFrame, value: str = "climatology") -> DataFrame
     n = F.pmod(t, F.lit(4)) - 1
     spread = pts.select("val", "i", "j", F.explode(F.sequence(F.lit(0), F.lit(15))).alias("t")).select(
         (F.col("i") - m).alias("i0"), (F.col("j") - n).alias("j0"), "t", "val")
-    return spread.groupBy("i0", "j0").agg(
+    # few bytes but 16 aggregates per row: partition by the work (lattice
+    # cells), not by bytes, so the regrouping does not collapse into one task
+    nparts = work_partitions(clim_day.sparkSession, NLAT * NLON * 16, 100_000)
+    return spread.repartition(nparts, "i0", "j0").groupBy("i0", "j0").agg(
         *[F.max(F.when(t == k, F.col("val"))).alias(f"t{k}") for k in range(16)])
 
 

@@ -11,14 +11,13 @@ from __future__ import annotations
 import math
 
 import numpy as np
-from pyspark import StorageLevel
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from thermogrid.functions.columns import grid_x, grid_y
-from thermogrid.session import work_partitions
+from thermogrid.session import checkpoint_root, work_partitions
 
 
 def grid_shape(scale: float) -> tuple[int, int]:
@@ -108,10 +107,13 @@ def nearest_points(points: DataFrame, rows: int, cols: int, tile: int = 8) -> Da
            .groupBy("x", "y").agg(F.min(F.struct("pid", "v")).alias("p"))
            .select(F.col("p.pid").alias("pid"), "x", "y", F.col("p.v").alias("v")))
     # The point set (one row per station position) feeds several branches of
-    # the plan; keep it once instead of recomputing its whole upstream (scan,
-    # decode, latest, mean) per branch. Lineage is kept, so a lost executor
-    # only recomputes its blocks.
-    pts = pts.persist(StorageLevel.MEMORY_AND_DISK)
+    # the plan, each pruning other columns, so Spark cannot reuse one exchange
+    # for all of them and would recompute the whole upstream (scan, decode,
+    # latest, mean) per branch. Write it once to the shared checkpoint folder
+    # (spark.checkpoint.dir): the lineage is cut, a lost executor costs nothing,
+    # and no executor memory is held (a refresh loop does not accumulate caches).
+    checkpoint_root(points.sparkSession)
+    pts = pts.checkpoint(eager=True)
 
     # copies of each point into the 3x3 block around its tile, at every level
     k = F.col("k")

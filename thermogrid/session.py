@@ -26,6 +26,8 @@ DEFAULT_CONF = {
     # this size Spark keeps per-operator generated code instead.
     "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.ui.enabled": "false",
+    # remove checkpoint files once the DataFrame that wrote them is gone
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -99,7 +101,10 @@ def spread_small_scan(df):
     """Give a scan with fewer partitions than cores (one small file, one row
     group) one partition per core. A large input already has many splits and
     is returned unchanged, so this never adds a shuffle at scale."""
+    from pyspark.sql import functions as F
     n = parallelism(df.sparkSession)
     if df.rdd.getNumPartitions() < n:
-        return df.repartition(n)
+        # hash of the whole row: deterministic on retry without the local sort
+        # that round-robin partitioning needs for that
+        return df.repartition(n, F.xxhash64(*df.columns))
     return df
