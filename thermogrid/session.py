@@ -104,7 +104,8 @@ def spread_small_scan(df):
     from pyspark.sql import functions as F
     n = parallelism(df.sparkSession)
     if df.rdd.getNumPartitions() < n:
-        # hash of the whole row: deterministic on retry without the local sort
-        # that round-robin partitioning needs for that
-        return df.repartition(n, F.xxhash64(*df.columns))
+        # Hash of the row's position in the scan: it reads no data column (so
+        # column pruning still reaches the file), is the same on a retry (the
+        # scan order is fixed) and needs no local sort, unlike round robin.
+        return df.repartition(n, F.monotonically_increasing_id())
     return df
