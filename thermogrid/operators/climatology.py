@@ -106,10 +106,8 @@ def cell_lattice_coords(df: DataFrame, scale: float, ref_row_shift: int = 1) ->
     s = float(scale)
     lat = (F.lit(90.0 * s - ref_row_shift) - F.col("r")) / F.lit(s)
     lon = F.col("c") / F.lit(s) - F.lit(180.0)
-    u = lat - F.lit(LAT0)
-    v = lon - F.lit(LON0)
-    return (df.withColumn("_u", u).withColumn("_v", v)
-            .withColumn("i0", F.floor("_u").cast("int")).withColumn("j0", F.floor("_v").cast("int")))
+    x = df.select("*", (lat - F.lit(LAT0)).alias("_u"), (lon - F.lit(LON0)).alias("_v"))
+    return x.select("*", F.floor("_u").cast("int").alias("i0"), F.floor("_v").cast("int").alias("j0"))
 
 
 def interpolate(df: DataFrame, out: str = "ref") -> DataFrame:
@@ -117,13 +115,11 @@ def interpolate(df: DataFrame, out: str = "ref") -> DataFrame:
 
     16 taps: cubic convolution; else the 4 bilinear taps; else the nearest
     existing one of those 4 corners; else null. Outside the lattice extent:
-    null. Adds ``out`` and
-    ``taps`` (16, 4, 1 or 0). The eight kernel weights are projected once in
-    their own step, which keeps the generated code small.
+    null. Adds ``out`` and ``taps`` (16, 4, 1 or 0). The kernel weights are
+    projected once in their own step, which keeps the generated code small.
     """
-    fu = F.col("_u") - F.col("i0")
-    fv = F.col("_v") - F.col("j0")
-    x = df.withColumn("_fu", fu).withColumn("_fv", fv)
+    keep = [c for c in df.columns if c not in ("_u", "_v", "i0", "j0") and not (c[:1] == "t" and c[1:].isdigit())]
+    x = df.select("*", (F.col("_u") - F.col("i0")).alias("_fu"), (F.col("_v") - F.col("j0")).alias("_fv"))
     x = x.select("*", *[_keys(F.col("_fu") - m).alias(f"_wu{m + 1}") for m in (-1, 0, 1, 2)],
                  *[_keys(F.col("_fv") - n).alias(f"_wv{n + 1}") for n in (-1, 0, 1, 2)])
     fu, fv = F.col("_fu"), F.col("_fv")
@@ -150,16 +146,14 @@ def interpolate(df: DataFrame, out: str = "ref") -> DataFrame:
                                                    F.lit(m).alias("m"), F.lit(n).alias("n"), t.alias("val")))
                      for m, n, t in ((0, 0, t00), (0, 1, t01), (1, 0, t10), (1, 1, t11))])["val"]
     inside = ((F.col("_u") >= 0) & (F.col("_u") <= NLAT - 1) & (F.col("_v") >= 0) & (F.col("_v") <= NLON - 1))
-    x = x.select("*", n16.alias("_n16"), n4.alias("_n4"), cubic.alias("_cubic"), bil.alias("_bil"),
+    x = x.select(*keep, n16.alias("_n16"), n4.alias("_n4"), cubic.alias("_cubic"), bil.alias("_bil"),
                  near.alias("_near"), inside.alias("_in"))
     val = (F.when(~F.col("_in"), F.lit(None).cast("double"))
            .when(F.col("_n16") == 16, F.col("_cubic")).when(F.col("_n4") == 4, F.col("_bil"))
            .otherwise(F.col("_near")))
     taps = (F.when(~F.col("_in"), F.lit(0)).when(F.col("_n16") == 16, F.lit(16))
             .when(F.col("_n4") == 4, F.lit(4)).when(F.col("_near").isNotNull(), F.lit(1)).otherwise(F.lit(0)))
-    return (x.withColumn(out, val).withColumn("taps", taps.cast("int"))
-            .drop("_fu", "_fv", "_n16", "_n4", "_cubic", "_bil", "_near", "_in",
-                  *[f"_wu{i}" for i in range(4)], *[f"_wv{i}" for i in range(4)]))
+    return x.select(*keep, val.alias(out), taps.cast("int").alias("taps"))
 
 
 def add_reference(cells: DataFrame, clim_day: DataFrame, scale: float, ref_row_shift: int = 1,
@@ -172,12 +166,12 @@ def add_reference(cells: DataFrame, clim_day: DataFrame, scale: float, ref_row_s
     """
     nb = neighbourhoods(clim_day)
     x = cell_lattice_coords(cells, scale, ref_row_shift)
-    x = x.join(F.broadcast(nb), ["i0", "j0"], "left")
-    x = interpolate(x, out)
+    x = interpolate(x.join(F.broadcast(nb), ["i0", "j0"], "left"), out)
     if land:
-        x = (x.withColumn(out, F.when(F.col(land), F.col(out)))
-             .withColumn("taps", F.when(F.col(land), F.col("taps")).otherwise(F.lit(0))))
-    return x.drop("_u", "_v", "i0", "j0", *[f"t{k}" for k in range(16)])
+        keep = [c for c in x.columns if c not in (out, "taps")]
+        x = x.select(*keep, F.when(F.col(land), F.col(out)).alias(out),
+                     F.when(F.col(land), F.col("taps")).otherwise(F.lit(0)).alias("taps"))
+    return x
 
 
 def upsample_reference(clim_day: DataFrame, cells: DataFrame, scale: float, ref_row_shift: int = 1) -> DataFrame:

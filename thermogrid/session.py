@@ -100,7 +100,10 @@ def work_partitions(spark: SparkSession, units: int, per_partition: int) -> int:
 def spread_small_scan(df):
     """Give a scan with fewer partitions than cores (one small file, one row
     group) one partition per core. A large input already has many splits and
-    is returned unchanged, so this never adds a shuffle at scale."""
+    is returned unchanged, so this never adds a shuffle at scale.
+
+    Only for a plain file scan: counting the partitions of a plan with a
+    shuffle would run that shuffle (adaptive execution) while building."""
     from pyspark.sql import functions as F
     n = parallelism(df.sparkSession)
     if df.rdd.getNumPartitions() < n:

@@ -124,7 +124,8 @@ def climatology(spark: SparkSession, sf_dir: str) -> DataFrame:
     # expand in two steps (day -> lattice rows, spread over the cores -> cells)
     # so that one day is not generated in a single task
     lat_rows = days.select("day_number", F.explode(F.sequence(F.lit(0), F.lit(LATTICE_ROWS - 1))).alias("li"))
-    cells = (spread_small_scan(lat_rows)
+    nparts = max(1, spark.sparkContext.defaultParallelism)
+    cells = (lat_rows.repartition(nparts, "day_number", "li")
              .select("day_number", "li", F.explode(F.sequence(F.lit(0), F.lit(LATTICE_COLS - 1))).alias("lj"))
              .select("day_number", (F.col("li") * LATTICE_COLS + F.col("lj")).alias("cell")))
     lat_i = F.expr(f"cast(cell div {LATTICE_COLS} as int)")
