@@ -9,25 +9,22 @@ from conftest import SF01
 
 
 def _walk_even(reg_rows, num_ids):
-    """The reference's bucket walk, written as a loop over (seq, id, lon, lat) rows."""
-    buckets = {}
-    for seq, id_, lon, lat in sorted(reg_rows):
-        buckets.setdefault(int(lat), {}).setdefault(int(lon), []).append(id_)
-    per_lat = int(num_ids / 181) + 1
-    inc = int(361 / per_lat)
+    """Brute-force statement of the even pick: for every latitude -90..90 and
+    every longitude window [start, start+inc) with start = -180, -180+inc, ...
+    <= 180, the window's lowest-longitude bucket with ids gives its id of
+    highest file order; results ordered by latitude, then window."""
+    inc = int(361 / (int(num_ids / 181) + 1))
+    rows = [(int(lat), int(lon), seq, id_) for seq, id_, lon, lat in reg_rows]
     out = []
     for lat in range(-90, 91):
-        for lon in range(-180, 181, inc):
-            t, got = lon, None
-            while got is None and t < lon + inc:
-                ids = buckets.get(lat, {}).get(t)
-                if ids:
-                    got = ids.pop()
-                    if not ids:
-                        buckets[lat].pop(t)
-                t += 1
-            if got is not None:
-                out.append(got)
+        at_lat = [r for r in rows if r[0] == lat]
+        start = -180
+        while start <= 180:
+            window = [r for r in at_lat if start <= r[1] < start + inc]
+            if window:
+                lo = min(r[1] for r in window)
+                out.append(max((r for r in window if r[1] == lo), key=lambda r: r[2])[3])
+            start += inc
     return out
 
 

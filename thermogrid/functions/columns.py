@@ -78,10 +78,3 @@ def heat_level(diff, lo: float = HEAT_LO, hi: float = HEAT_HI) -> Column:
     """0..255 position on the clipped colour scale (null stays null)."""
     scaled = F.floor((heat_clip(diff, lo, hi) - F.lit(lo)) / F.lit(hi - lo) * F.lit(256.0))
     return F.least(F.lit(255), scaled.cast("int"))
-
-
-def mirror_index(i, n: int) -> Column:
-    """Index reflected into [0, n) with the edge value repeated (d c b a | a b c d)."""
-    period = 2 * n
-    m = F.pmod(col(i), F.lit(period))
-    return F.when(m >= n, F.lit(period - 1) - m).otherwise(m)

@@ -23,13 +23,6 @@ WEATHER_SCHEMA = T.StructType([
     T.StructField("dt", T.LongType()),
 ])
 
-CURRENT_SCHEMA = T.StructType([
-    T.StructField("city_and_loc", T.StringType(), False),
-    T.StructField("time", T.IntegerType(), False),
-    T.StructField("temperature", T.FloatType(), True),
-])
-
-
 def encode_reading(df: DataFrame, name="name", lon="lon", lat="lat", hour="hour", temp="temp",
                    as_bytes: bool = True) -> DataFrame:
     """A reading to a message key ``name:lon:lat:hour`` and value ``temp``.

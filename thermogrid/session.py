@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -74,15 +73,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def is_local_path(path: str) -> bool:
-    return path.startswith("/") or path.startswith("file:")
-
-
-def ensure_dir(path: str) -> None:
-    if is_local_path(path):
-        os.makedirs(path.replace("file:", ""), exist_ok=True)
-
-
 def parallelism(spark: SparkSession) -> int:
     return max(1, int(spark.sparkContext.defaultParallelism))
 

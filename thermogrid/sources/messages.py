@@ -37,7 +37,13 @@ def read_readings_stream(spark: SparkSession, fmt: str = "kafka", path: str | No
         opts.setdefault("startingOffsets", "latest")
         for k, v in opts.items():
             r = r.option(k, v)
-        return r.load()
+        try:
+            return r.load()
+        except Exception as e:  # noqa: BLE001
+            if "kafka" in str(e).lower() and ("not find" in str(e).lower() or "failed to find" in str(e).lower()):
+                raise RuntimeError("the Kafka source needs the spark-sql-kafka connector on the class path; "
+                                   "use a file format (fmt='parquet' or 'json') otherwise") from e
+            raise
     if not path:
         raise ValueError("a file source needs a path")
     r = spark.readStream.format(fmt).schema(schema or MESSAGE_SCHEMA)
