@@ -593,14 +593,30 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 
+def _utc(spark: SparkSession) -> None:
+    # hours, days and epoch minutes are defined in UTC (FIXTURES.md section 3),
+    # whatever session the caller brings
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def _pinned(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        _utc(spark)
+        return fn(spark, sf_dir)
+    run.__name__ = fn.__name__
+    run.__doc__ = fn.__doc__
+    return run
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship on sf0.001: the anomaly map (messages -> latest -> means ->
     nearest -> blur -> mask, climatology -> lattice cubic, difference)."""
+    _utc(spark)
     return q_anomaly_map(spark, "/root/testdata/sf0.001")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(QUERIES)
+    return {k: _pinned(v) for k, v in QUERIES.items()}
 
 
 def oracle_sql() -> dict[str, str]:
