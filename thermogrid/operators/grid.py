@@ -160,8 +160,23 @@ def nearest_points(points: DataFrame, rows: int, cols: int, tile: int = 8) -> Da
                      _min_d2(x, y, lr0, lr1, lc0, lc1).alias("mind2"),
                      _max_d2(x, y, lr0, lr1, lc0, lc1).alias("maxd2"))
              .repartition(nparts, "leaf"))
-    keep = (pairs.withColumn("leaf_ub", F.min("maxd2").over(Window.partitionBy("leaf")))
-            .where(F.col("mind2") <= F.col("leaf_ub"))
+    # Two exact prunings per leaf, both window aggregates inside the leaf
+    # partitioning: (1) a point whose nearest distance to the leaf exceeds the
+    # smallest farthest distance never wins; (2) with p the point of smallest
+    # farthest distance, the cells where q is at least as close as p form a
+    # half-plane, which meets the leaf's rectangle only if it holds one of its
+    # corners, so q is dropped when p is strictly closer at all four corners.
+    leaf = Window.partitionBy("leaf")
+    best = F.min(F.struct("maxd2", "pid", F.col("x").alias("bx"), F.col("y").alias("by"))).over(leaf)
+    ranked = pairs.select("*", best.alias("_b")).where(F.col("mind2") <= F.col("_b.maxd2"))
+    bx, by = F.col("_b.bx"), F.col("_b.by")
+    corner_ok = None
+    for cr in (lr0, lr1):
+        for cc in (lc0, lc1):
+            dq = (cr - x) * (cr - x) + (cc - y) * (cc - y)
+            dp = (cr - bx) * (cr - bx) + (cc - by) * (cc - by)
+            corner_ok = (dq <= dp) if corner_ok is None else (corner_ok | (dq <= dp))
+    keep = (ranked.where((F.col("pid") == F.col("_b.pid")) | corner_ok)
             .select("leaf", "lr", "lc", "pid", "x", "y", "v"))
 
     # cells of each leaf against its candidates; per cell the minimum of
