@@ -109,3 +109,18 @@ def test_map_refresh_runs_only_with_rows(spark, tmp):
                              os.path.join(tmp, "ck"), available_now=True)
     q.awaitTermination()
     assert spark.read.parquet(out).count() == 36 * 72
+
+
+def test_ingest_compacts_and_view_is_unchanged(spark, tmp):
+    msgs = tb.messages(spark, SF001)
+    src, store, ckpt = (os.path.join(tmp, x) for x in ("in", "store", "ckpt"))
+    for i in range(4):   # four files -> four micro-batches
+        write_readings(_as_bytes(msgs.where(F.col("offset") % 4 == i)), "parquet", os.path.join(src, f"p{i}"))
+    stream = read_readings_stream(spark, "parquet", src, recursiveFileLookup="true", maxFilesPerTrigger=1)
+    ig.start_ingest(stream, store, ckpt, available_now=True, compact_every=2).awaitTermination()
+    assert os.path.isdir(os.path.join(store, "snapshot", "upto=2"))
+    got = {(r.city_and_loc, r.time): r.temperature for r in cs.read_current(spark, store).collect()}
+    log = spark.read.parquet(os.path.join(store, "log"))
+    exp = {(r.city_and_loc, r.time): r.temperature
+           for r in rd.latest_by_key(log, order=("batch_id", "timestamp", "partition", "offset")).collect()}
+    assert got == exp and len(got) > 0

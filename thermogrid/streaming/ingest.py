@@ -21,7 +21,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from thermogrid.operators.readings import decode_reading, quarantine_bad
 from thermogrid.session import scratch_path
-from thermogrid.sources.current_store import upsert_current
+from thermogrid.sources.current_store import compact_current, upsert_current
 
 
 def _trigger(writer, trigger: str | None, available_now: bool):
@@ -32,10 +32,19 @@ def _trigger(writer, trigger: str | None, available_now: bool):
     return writer
 
 
+def _maybe_compact(spark: SparkSession, path: str, batch_id: int, every: int | None) -> None:
+    # A 1 s trigger adds 86,400 batch folders a day; folding them into a
+    # snapshot every ``every`` batches keeps the latest view's reads short.
+    if every and batch_id > 0 and batch_id % int(every) == 0:
+        compact_current(spark, path)
+
+
 def start_ingest(messages: DataFrame, path: str, checkpoint: str | None = None, trigger: str | None = "1 second",
-                 available_now: bool = False, query_name: str | None = None) -> StreamingQuery:
+                 available_now: bool = False, query_name: str | None = None,
+                 compact_every: int | None = 600) -> StreamingQuery:
     """T1+T2: decode each micro-batch, write good rows to ``path/log`` and bad
-    rows to ``path/quarantine`` (both per batch id, overwrite = idempotent)."""
+    rows to ``path/quarantine`` (both per batch id, overwrite = idempotent);
+    every ``compact_every`` batches the log is folded into a snapshot."""
     spark = messages.sparkSession
     checkpoint = checkpoint or scratch_path(spark, "ingest-checkpoint")
 
@@ -49,6 +58,7 @@ def start_ingest(messages: DataFrame, path: str, checkpoint: str | None = None,
              .write.mode("overwrite").parquet(f"{path.rstrip('/')}/quarantine/batch_id={int(batch_id)}"))
         finally:
             batch.unpersist()
+        _maybe_compact(batch.sparkSession, path, batch_id, compact_every)
 
     w = messages.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
     if query_name:
@@ -72,13 +82,15 @@ def latest_state_stream(messages: DataFrame) -> DataFrame:
 
 
 def start_latest_state(messages: DataFrame, path: str, checkpoint: str | None = None,
-                       trigger: str | None = "1 second", available_now: bool = False) -> StreamingQuery:
+                       trigger: str | None = "1 second", available_now: bool = False,
+                       compact_every: int | None = 600) -> StreamingQuery:
     """T3 written through ``foreachBatch`` into the current store."""
     spark = messages.sparkSession
     checkpoint = checkpoint or scratch_path(spark, "latest-checkpoint")
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         upsert_current(batch, batch_id, path)
+        _maybe_compact(batch.sparkSession, path, batch_id, compact_every)
 
     w = (latest_state_stream(messages).writeStream.outputMode("update").foreachBatch(sink)
          .option("checkpointLocation", checkpoint))
