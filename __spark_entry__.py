@@ -592,6 +592,24 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_latest": q_stream_latest,
 }
 
+# The corpus operators and the pipeline are an optional part: without their
+# folder the other queries stand alone.
+try:
+    from thermogrid.llm import queries as _corpus
+except ImportError:
+    pass
+else:
+    QUERIES.update(_corpus.QUERIES)
+    ORACLE.update(_corpus.ORACLE)
+try:
+    import corpus_pipeline as _pipeline
+except ImportError:
+    pass
+else:
+    QUERIES["pipeline"] = _pipeline.run
+    if _pipeline.ORACLE_SQL:
+        ORACLE["pipeline"] = _pipeline.ORACLE_SQL
+
 
 def _utc(spark: SparkSession) -> None:
     # hours, days and epoch minutes are defined in UTC (FIXTURES.md section 3),
