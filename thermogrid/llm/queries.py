@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from thermogrid.llm import byte_bpe, decontam, lang_id, url_filter
+from thermogrid.llm import byte_bpe, decontam, embed_dedup, lang_id, secrets_scan, url_filter
 from thermogrid.llm.common import table
 
 
@@ -15,6 +15,10 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.op2_decontamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets_scan.op5_secret_scans(table(spark, sf_dir, "documents"))
+
+
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.op6_url_filters(table(spark, sf_dir, "pages"))
 
@@ -23,18 +27,25 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lang_id.op7_language_id(table(spark, sf_dir, "documents"))
 
 
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embed_dedup.op9_embedding_neardup(table(spark, sf_dir, "embeddings"))
+
+
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.op10_byte_bpe(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_decontamination": op2,
+    "op5_secret_scans": op5,
     "op6_url_filters": op6,
     "op7_language_id": op7,
+    "op9_embedding_neardup": op9,
     "op10_byte_bpe": op10,
 }
 
 ORACLE: dict[str, str] = {
     "op2_decontamination": decontam.OP2_SQL,
     "op6_url_filters": url_filter.OP6_SQL,
+    "op9_embedding_neardup": embed_dedup.OP9_SQL,
 }
