@@ -7,10 +7,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from thermogrid.llm import byte_bpe, decontam, embed_dedup, lang_id, secrets_scan, url_filter
+from thermogrid.llm import byte_bpe, decontam, embed_dedup, lang_id, order_minhash, secrets_scan, url_filter
 from thermogrid.llm.common import table
 
 
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return order_minhash.op1_minhash_neardup(table(spark, sf_dir, "documents"))
+
+
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.op2_decontamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -36,6 +40,7 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_minhash_neardup": op1,
     "op2_decontamination": op2,
     "op5_secret_scans": op5,
     "op6_url_filters": op6,
