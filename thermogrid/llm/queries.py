@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from thermogrid.llm import byte_bpe, decontam, embed_dedup, lang_id, order_minhash, secrets_scan, url_filter
+from thermogrid.llm import byte_bpe, decontam, embed_dedup, lang_id, order_minhash, quality_lm, secrets_scan, url_filter
 from thermogrid.llm.common import table
 
 
@@ -19,6 +19,10 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.op2_decontamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_lm.op4_quality_classifier(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets_scan.op5_secret_scans(table(spark, sf_dir, "documents"))
 
@@ -42,6 +46,7 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_neardup": op1,
     "op2_decontamination": op2,
+    "op4_quality_classifier": op4,
     "op5_secret_scans": op5,
     "op6_url_filters": op6,
     "op7_language_id": op7,
