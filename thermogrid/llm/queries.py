@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from thermogrid.llm import byte_bpe, decontam, embed_dedup, lang_id, order_minhash, quality_lm, secrets_scan, url_filter
+from thermogrid.llm import byte_bpe, decontam, embed_dedup, lang_id, lattice_lm, order_minhash, quality_lm, secrets_scan, url_filter
 from thermogrid.llm.common import table
 
 
@@ -35,6 +35,10 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lang_id.op7_language_id(table(spark, sf_dir, "documents"))
 
 
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lattice_lm.op8_lm_scoring(table(spark, sf_dir, "documents"))
+
+
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embed_dedup.op9_embedding_neardup(table(spark, sf_dir, "embeddings"))
 
@@ -50,6 +54,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_secret_scans": op5,
     "op6_url_filters": op6,
     "op7_language_id": op7,
+    "op8_lm_scoring": op8,
     "op9_embedding_neardup": op9,
     "op10_byte_bpe": op10,
 }
