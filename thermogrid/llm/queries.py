@@ -7,7 +7,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from thermogrid.llm import byte_bpe, decontam, embed_dedup, lang_id, lattice_lm, order_minhash, quality_lm, secrets_scan, url_filter
+from thermogrid.llm import (byte_bpe, decontam, embed_dedup, lang_id, lattice_lm, order_minhash, quality_lm,
+                            secrets_scan, suffix_dedup, url_filter)
 from thermogrid.llm.common import table
 
 
@@ -19,6 +20,10 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.op2_decontamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.op3_suffix_dedup(table(spark, sf_dir, "documents"))
+
+
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_lm.op4_quality_classifier(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -50,6 +55,7 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_neardup": op1,
     "op2_decontamination": op2,
+    "op3_suffix_dedup": op3,
     "op4_quality_classifier": op4,
     "op5_secret_scans": op5,
     "op6_url_filters": op6,
