@@ -71,18 +71,32 @@ def q_latest_by_key(spark, sf):
     return _current(spark, sf)
 
 
+def _through_store(spark, batches):
+    """Micro-batches into a fresh store, folded once on the way, read back."""
+    from thermogrid.session import scratch_path
+    from thermogrid.sources import current_store as cs
+    path = scratch_path(spark, "store")
+    for i, batch in enumerate(batches):
+        cs.upsert_current(batch, i, path)
+        if i == 1:
+            cs.compact_current(spark, path)
+    return cs.read_current(spark, path)
+
+
 def q_current_table(spark, sf):
-    # the keyed table as the ingest builds it from a dirty feed (bad rows set aside)
+    # a dirty feed (bad rows set aside) in three batches by offset: store, fold, read back
     good = rd.decode_reading(tb.bad_messages(spark, sf))
-    return rd.latest_by_key(good, order=("offset",))
+    top = good.agg(F.max("offset")).first()[0] or 0
+    cut = [0, top // 3, 2 * top // 3, top + 1]
+    return _through_store(spark, [good.where((F.col("offset") >= lo) & (F.col("offset") < hi))
+                                  for lo, hi in zip(cut, cut[1:])])
 
 
 def q_upsert_latest(spark, sf):
-    # batch twin of the stream: micro-batch id = day of the message, newest batch wins
-    m = tb.messages(spark, sf).withColumn("batch_id", F.datediff(F.col("timestamp").cast("date"),
-                                                                  F.lit("2024-01-01").cast("date")))
-    good = rd.decode_reading(m)
-    return rd.latest_by_key(good, order=("batch_id", "timestamp", "partition", "offset"))
+    # one batch per third of the month (by day), each overwriting what came before
+    good = rd.decode_reading(tb.messages(spark, sf))
+    day = F.dayofmonth("timestamp")
+    return _through_store(spark, [good.where(day <= 10), good.where((day > 10) & (day <= 20)), good.where(day > 20)])
 
 
 def q_city_temperature(spark, sf):
@@ -346,35 +360,36 @@ ORACLE["hour_of_day"] = W("""
     from weather_json group by 1""", "weather_json")
 
 _BAD_PARSE = """
-    select "offset", key, value,
-           regexp_full_match(key, '^(.*):([^:]*):([^:]*):([^:]*)$')
-             and try_cast(regexp_extract(key, '^(.*):([^:]*):([^:]*):([^:]*)$', 2) as double) is not null
-             and try_cast(regexp_extract(key, '^(.*):([^:]*):([^:]*):([^:]*)$', 3) as double) is not null as key_ok,
-           try_cast(regexp_extract(key, '^(.*):([^:]*):([^:]*):([^:]*)$', 4) as integer) as "time",
-           try_cast(value as double) as temp,
-           regexp_extract(key, '^(.*):([^:]*)$', 1) as city_and_loc
-    from bad_messages"""
+    select "offset", key, value, city_and_loc, "time", try_cast(temp as float) as temperature,
+           case when not (parts and lon is not null and lat is not null) then 'key'
+                when not (lon between -180 and 180 and lat between -90 and 90) then 'coord'
+                when "time" is null or "time" not between 0 and 23 then 'hour'
+                when temp is null or not coalesce(isfinite(try_cast(temp as float)), false) then 'value' end as reason
+    from (select "offset", key, value, coalesce(regexp_full_match(key, '^(.*):([^:]*):([^:]*):([^:]*)$'), false) as parts,
+                 try_cast(regexp_extract(key, '^(.*):([^:]*):([^:]*):([^:]*)$', 2) as double) as lon,
+                 try_cast(regexp_extract(key, '^(.*):([^:]*):([^:]*):([^:]*)$', 3) as double) as lat,
+                 try_cast(regexp_extract(key, '^(.*):([^:]*):([^:]*):([^:]*)$', 4) as integer) as "time",
+                 try_cast(value as double) as temp,
+                 regexp_extract(key, '^(.*):([^:]*)$', 1) as city_and_loc
+          from bad_messages)"""
 
 ORACLE["decode_reading"] = W("""
-    select "offset", city_and_loc, "time", cast(temp as float) as temperature
-    from bp where key_ok and "time" is not null and temp is not null""", "bad_messages", extra={"bp": _BAD_PARSE})
+    select "offset", city_and_loc, "time", temperature from bp where reason is null""",
+                             "bad_messages", extra={"bp": _BAD_PARSE})
 
 ORACLE["bad_readings"] = W("""
-    select "offset", key, value,
-           case when not key_ok then 'key' when "time" is null then 'hour' else 'value' end as reason
-    from bp where not (key_ok and "time" is not null and temp is not null)""",
+    select "offset", key, value, reason from bp where reason is not null""",
                            "bad_messages", extra={"bp": _BAD_PARSE})
 
 ORACLE["latest_by_key"] = W("select * from current", "current")
 
 ORACLE["current_table"] = W("""
-    select city_and_loc, "time", arg_max(cast(temp as float), "offset") as temperature
-    from bp where key_ok and "time" is not null and temp is not null
-    group by city_and_loc, "time\"""", "bad_messages", extra={"bp": _BAD_PARSE})
+    select city_and_loc, "time", arg_max(temperature, "offset") as temperature
+    from bp where reason is null group by city_and_loc, "time\"""", "bad_messages", extra={"bp": _BAD_PARSE})
 
 ORACLE["upsert_latest"] = W("""
     select city_and_loc, "time",
-           arg_max(temperature, (cast(cast("timestamp" as date) - date '2024-01-01' as integer),
+           arg_max(temperature, (case when day("timestamp") <= 10 then 0 when day("timestamp") <= 20 then 1 else 2 end,
                                  "timestamp", "partition", "offset")) as temperature
     from parsed group by city_and_loc, "time\"""", "parsed")
 
@@ -419,8 +434,9 @@ ORACLE["grid_difference"] = W(f"""
     from cur a left join ref b using (r, c)""", *_GRID, extra={**_CUR1, **_REF1})
 _MAP = f"""
     select a.r, a.c, a.v as cur, b.v as ref, a.v - b.v as diff,
-           least(greatest(a.v - b.v, -10.0), 10.0) as clipped,
-           cast(least(255, floor((least(greatest(a.v - b.v, -10.0), 10.0) + 10.0) / 20.0 * 256.0)) as integer) as level
+           case when a.v - b.v is not null then least(greatest(a.v - b.v, -10.0), 10.0) end as clipped,
+           case when a.v - b.v is not null then
+             cast(least(255, floor((least(greatest(a.v - b.v, -10.0), 10.0) + 10.0) / 20.0 * 256.0)) as integer) end as level
     from cur a left join ref b using (r, c)"""
 ORACLE["anomaly_map"] = W(f"""
     select r, c, {r6('cur')} as cur, {r6('ref')} as ref, {r6('diff')} as diff, {r6('clipped')} as clipped, level
@@ -592,6 +608,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_latest": q_stream_latest,
 }
 
+CORE = tuple(QUERIES)  # the engine's own operators, each with an oracle
+
 # The corpus operators and the pipeline are an optional part: without their
 # folder the other queries stand alone.
 try:

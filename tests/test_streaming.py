@@ -54,7 +54,7 @@ def test_ingest_restart_no_loss_no_duplicates(spark, tmp):
 
 def test_latest_state_stream_equals_batch(spark):
     msgs = tb.messages(spark, SF001)
-    got = {(r.city_and_loc, r.time): r.temperature for r in ig.run_latest_stream_once(spark, msgs, 4).collect()}
+    got = {(r.city_and_loc, r.time): r.temperature for r in ig.run_latest_stream_once(spark, msgs, 300).collect()}
     exp = {(r.city_and_loc, r.time): r.temperature for r in rd.latest_by_key(rd.decode_reading(msgs)).collect()}
     assert got == exp
 
@@ -124,3 +124,73 @@ def test_ingest_compacts_and_view_is_unchanged(spark, tmp):
     exp = {(r.city_and_loc, r.time): r.temperature
            for r in rd.latest_by_key(log, order=("batch_id", "timestamp", "partition", "offset")).collect()}
     assert got == exp and len(got) > 0
+
+
+def _reading(key, value, offset):
+    import datetime as dt
+    return (key.encode(), value.encode(), "t", 0, offset, dt.datetime(2024, 1, 1) + dt.timedelta(seconds=offset))
+
+
+def _feed(spark, src, name, rows):
+    spark.createDataFrame(rows, MESSAGE_SCHEMA).coalesce(1).write.parquet(os.path.join(src, name))
+    return read_readings_stream(spark, "parquet", src, recursiveFileLookup="true", maxFilesPerTrigger=1)
+
+
+def test_restart_without_explicit_checkpoint_keeps_newer_readings(spark, tmp):
+    src, store = os.path.join(tmp, "in"), os.path.join(tmp, "store")
+    for i in range(3):
+        stream = _feed(spark, src, f"p{i}", [_reading("A:1.0:2.0:0", f"{10 + i}.0", i)])
+        ig.start_ingest(stream, store, available_now=True).awaitTermination()
+    assert cs.compact_current(spark, store) >= 2
+    ig.start_ingest(_feed(spark, src, "p9", [_reading("A:1.0:2.0:0", "99.0", 9)]), store, available_now=True).awaitTermination()
+    assert [r.temperature for r in cs.read_current(spark, store).collect()] == [99.0]
+
+
+def test_fresh_checkpoint_on_a_used_store_is_refused(spark, tmp):
+    import pytest
+    src, store = os.path.join(tmp, "in"), os.path.join(tmp, "store")
+    stream = _feed(spark, src, "p0", [_reading("A:1.0:2.0:0", "1.0", 0)])
+    ig.start_ingest(stream, store, available_now=True).awaitTermination()
+    for start in (ig.start_ingest, ig.start_latest_state):
+        with pytest.raises(ValueError):
+            start(stream, store, os.path.join(tmp, "other"), available_now=True)
+
+
+def test_log_without_a_good_row_folds(spark, tmp):
+    src, store = os.path.join(tmp, "in"), os.path.join(tmp, "store")
+    for i in range(3):
+        stream = _feed(spark, src, f"p{i}", [_reading("broken", "x", i)])
+        ig.start_ingest(stream, store, available_now=True, compact_every=1).awaitTermination()
+    assert cs.read_current(spark, store).count() == 0
+    assert cs.compact_current(spark, store) == max(cs.store_snapshots(spark, store))
+    ig.start_ingest(_feed(spark, src, "p9", [_reading("A:1.0:2.0:0", "5.0", 9)]), store, available_now=True,
+                    compact_every=1).awaitTermination()
+    assert [r.temperature for r in cs.read_current(spark, store).collect()] == [5.0]
+    assert spark.read.parquet(os.path.join(store, "quarantine")).count() == 3
+
+
+def test_folded_batches_are_deleted_after_the_next_fold(spark, tmp):
+    path = os.path.join(tmp, "current")
+    for i in range(6):
+        b = spark.createDataFrame([("k", 1, float(i)), (f"k{i}", 1, 0.0)], "city_and_loc string, time int, temperature float")
+        cs.upsert_current(b, i, path)
+        if i % 2:
+            assert cs.compact_current(spark, path) == i
+    assert cs.store_batches(spark, path) == [4, 5] and cs.store_snapshots(spark, path) == [3, 5]
+    got = {r.city_and_loc: r.temperature for r in cs.read_current(spark, path).collect()}
+    assert got == {"k": 5.0, **{f"k{i}": 0.0 for i in range(6)}}
+
+
+def test_map_refresh_quarantines_and_folds(spark, tmp):
+    src, store, out = (os.path.join(tmp, x) for x in ("in", "store", "map"))
+    for i in range(3):
+        _feed(spark, src, f"p{i}", [_reading("A:1.0:2.0:0", "7.0", i), _reading("A:1.0:2.0:0", "n/a", i)])
+    stream = read_readings_stream(spark, "parquet", src, recursiveFileLookup="true", maxFilesPerTrigger=1)
+
+    def build(sp, path):
+        return cs.read_current(sp, path).select(F.lit(0).alias("r"), F.lit(0).alias("c"), F.col("temperature").alias("diff"))
+
+    ig.start_map_refresh(stream, store, build, out, available_now=True, compact_every=2).awaitTermination()
+    assert spark.read.parquet(os.path.join(store, "quarantine")).count() == 3
+    assert cs.store_snapshots(spark, store) == [2]
+    assert [r["diff"] for r in spark.read.parquet(out).collect()] == [7.0]

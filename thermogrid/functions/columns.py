@@ -25,9 +25,13 @@ def col(c) -> Column:
 
 
 def encode_key(name, lon, lat, hour) -> Column:
-    """Name, lon, lat, hour joined with ':' (numbers in their shortest text)."""
-    return F.concat_ws(KEY_SEP, col(name), col(lon).cast("string"), col(lat).cast("string"),
-                       col(hour).cast("string"))
+    """Name, lon, lat, hour joined with ':' (numbers in their shortest text).
+
+    Null when a part is null: a shorter key would read as another one.
+    """
+    sep = F.lit(KEY_SEP)
+    return F.concat(col(name), sep, col(lon).cast("string"), sep, col(lat).cast("string"), sep,
+                    col(hour).cast("string"))
 
 
 def as_text(c) -> Column:
@@ -71,10 +75,14 @@ def trunc_int(c) -> Column:
 
 
 def heat_clip(diff, lo: float = HEAT_LO, hi: float = HEAT_HI) -> Column:
-    return F.least(F.greatest(col(diff), F.lit(lo)), F.lit(hi))
+    """Clipped to [lo, hi]; null and NaN (no value) give null. ``greatest`` alone
+    would skip a null and rank NaN above every number."""
+    d = col(diff)
+    return F.when(d.isNotNull() & ~F.isnan(d), F.least(F.greatest(d, F.lit(lo)), F.lit(hi)))
 
 
 def heat_level(diff, lo: float = HEAT_LO, hi: float = HEAT_HI) -> Column:
-    """0..255 position on the clipped colour scale (null stays null)."""
-    scaled = F.floor((heat_clip(diff, lo, hi) - F.lit(lo)) / F.lit(hi - lo) * F.lit(256.0))
-    return F.least(F.lit(255), scaled.cast("int"))
+    """0..255 position on the clipped colour scale (null and NaN give null)."""
+    clipped = heat_clip(diff, lo, hi)
+    scaled = F.floor((clipped - F.lit(lo)) / F.lit(hi - lo) * F.lit(256.0))
+    return F.when(clipped.isNotNull(), F.least(F.lit(255), scaled.cast("int")))

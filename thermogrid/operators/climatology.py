@@ -37,8 +37,8 @@ def distinct_days(df: DataFrame) -> DataFrame:
 
 def require_day(df: DataFrame, day: int) -> DataFrame:
     """Fail when ``day`` has no rows (a one-row probe, pruned to the day)."""
-    if not 0 <= int(day) <= 365:
-        raise ValueError(f"day {day} outside 0..365")
+    if not 0 <= int(day) <= 364:
+        raise ValueError(f"day {day} outside 0..364")
     if climatology_for_day(df, day).limit(1).count() == 0:
         raise ValueError(f"day {day} not in the climatology")
     return df
@@ -91,7 +91,7 @@ def neighbourhoods(clim_day: DataFrame, value: str = "climatology") -> DataFrame
         (F.col("i") - m).alias("i0"), (F.col("j") - n).alias("j0"), "t", "val")
     # few bytes but 16 aggregates per row: partition by the work (lattice
     # cells), not by bytes, so the regrouping does not collapse into one task
-    nparts = work_partitions(clim_day.sparkSession, NLAT * NLON * 16, 100_000)
+    nparts = work_partitions(NLAT * NLON * 16, 100_000)
     return spread.repartition(nparts, "i0", "j0").groupBy("i0", "j0").agg(
         *[F.max(F.when(t == k, F.col("val"))).alias(f"t{k}") for k in range(16)])
 

@@ -154,7 +154,7 @@ def nearest_points(points: DataFrame, rows: int, cols: int, tile: int = 8) -> Da
     # cells: partition them by leaf with a count that follows the cells (AQE
     # would coalesce them by bytes into one task). The leaf bound is a window
     # over that partitioning, and the per-cell aggregate below reuses it too.
-    nparts = work_partitions(points.sparkSession, rows * cols, 25_000)
+    nparts = work_partitions(rows * cols, 25_000)
     pairs = (res.join(cand, ["lvl", "tr", "tc"])
              .select((F.col("lr") * nlc + F.col("lc")).alias("leaf"), "lr", "lc", "pid", "x", "y", "v",
                      _min_d2(x, y, lr0, lr1, lc0, lc1).alias("mind2"),
@@ -227,7 +227,7 @@ def _line_pass(df: DataFrame, line: str, pos: str, n: int, w: np.ndarray, n_line
     schema = T.StructType([T.StructField(line, T.IntegerType()), T.StructField(pos, T.IntegerType()),
                            T.StructField("v", T.DoubleType())])
     # one line is n cells of compute; spread lines by count, not by bytes
-    nparts = work_partitions(df.sparkSession, n_lines * n, 50_000)
+    nparts = work_partitions(n_lines * n, 50_000)
     return (df.select(line, pos, "v").repartition(nparts, line)
             .groupBy(line).applyInPandas(smooth, schema))
 

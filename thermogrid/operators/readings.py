@@ -60,17 +60,23 @@ def _parsed(df: DataFrame, key: str, value: str) -> DataFrame:
     hour_s = F.element_at("_p", -1)
     lat_s = F.element_at("_p", -2)
     lon_s = F.element_at("_p", -3)
-    key_ok = (n >= 4) & lon_s.try_cast("double").isNotNull() & lat_s.try_cast("double").isNotNull()
-    key_ok = F.coalesce(key_ok, F.lit(False))
+    lon, lat = lon_s.try_cast("double"), lat_s.try_cast("double")
+    sure = lambda c: F.coalesce(c, F.lit(False))
+    key_ok = sure((n >= 4) & lon.isNotNull() & lat.isNotNull())
+    # NaN ranks above every number, so it fails both bounds like an infinity
+    coord_ok = sure(lon.between(-180, 180) & lat.between(-90, 90))
     time = F.when(n >= 4, hour_s).try_cast("int")
     temp = F.col("_v").try_cast("double")
+    stored = temp.cast("float")  # as stored: a double beyond the float range is infinite
+    value_ok = sure(~F.isnan(stored) & (F.abs(stored) < F.lit(float("inf"))))
     reason = (F.when(~key_ok, F.lit("key"))
-              .when(time.isNull(), F.lit("hour"))
-              .when(temp.isNull(), F.lit("value")))
+              .when(~coord_ok, F.lit("coord"))
+              .when(~sure(time.between(0, 23)), F.lit("hour"))
+              .when(~value_ok, F.lit("value")))
     city = F.expr("substring(_k, 1, length(_k) - length(element_at(_p, -1)) - 1)")
     return (x.withColumn("city_and_loc", F.when(n >= 4, city))
             .withColumn("time", time)
-            .withColumn("temperature", temp.cast("float"))
+            .withColumn("temperature", stored)
             .withColumn("reason", reason)
             .drop("_p"))
 
@@ -87,9 +93,10 @@ def decode_reading(df: DataFrame, key: str = "key", value: str = "value") -> Dat
 def quarantine_bad(df: DataFrame, key: str = "key", value: str = "value"):
     """Split messages into (good, bad).
 
-    A key must end in ``:<lon>:<lat>:<hour>`` with numeric lon/lat and an
-    integer hour, and the value must be a number. Bad rows keep the raw key and
-    value as text and a ``reason`` ('key', 'hour' or 'value').
+    A key must end in ``:<lon>:<lat>:<hour>`` with numeric lon/lat inside
+    [-180, 180] x [-90, 90] and an hour 0..23, and the value must be a finite
+    number. Bad rows keep the raw key and value as text and a ``reason``: 'key'
+    (does not parse, or null), 'coord', 'hour' or 'value'.
     """
     p = _parsed(df, key, value)
     good = (p.where(F.col("reason").isNull())
@@ -121,15 +128,41 @@ def unpack_city(df: DataFrame, key: str = "city_and_loc") -> DataFrame:
             .withColumn("lat", F.when(ok, lat_s).try_cast("double")))
 
 
-def latest_by_key(df: DataFrame, keys=("city_and_loc", "time"),
-                  order=("timestamp", "partition", "offset"), value: str = "temperature") -> DataFrame:
+# Digits of the packed order (38 in all): microseconds since 1970 up to the
+# year 5138, partitions below 100,000, offsets below 10**16.
+ORDER_DIGITS = {"timestamp": 17, "partition": 5, "offset": 16, "batch_id": 16}
+
+
+def packed_order(df: DataFrame, order) -> F.Column:
+    """Whole-number order columns as one decimal(38, 0), most significant
+    first. A value that is null, negative or too long for its digits fails the job."""
+    parts = []
+    for c in order:
+        n = ORDER_DIGITS[c]
+        v = F.unix_micros(c) if df.schema[c].dataType.typeName().startswith("timestamp") else F.col(c).cast("long")
+        if df.schema[c].dataType.typeName() == "timestamp_ntz":
+            v = F.unix_micros(F.col(c).cast("timestamp"))
+        text = F.when((v >= 0) & (v < F.lit(10 ** n)), F.lpad(v.cast("string"), n, "0")).otherwise(
+            F.raise_error(F.concat(F.lit(f"{c} outside 0..10^{n}: "), F.coalesce(v.cast("string"), F.lit("null")))))
+        parts.append(text)
+    return F.concat(*parts).cast("decimal(38,0)")
+
+
+def latest_by_key(df: DataFrame, keys=("city_and_loc", "time"), order=("timestamp", "partition", "offset"),
+                  value: str = "temperature", packed: bool = False) -> DataFrame:
     """A2: newest value per key, last write wins (the keyed upsert).
 
-    ``max(struct(order..., value))`` is an ordinary aggregate with a partial
-    (map-side) step: each task keeps one row per key before the shuffle, so a
-    key holding a third of all rows costs no more than any other.
+    An ordinary aggregate with a partial (map-side) step: each task keeps one
+    row per key before the shuffle, so a key holding a third of all rows costs
+    no more than any other. The order is compared as a struct, which takes any
+    types but makes Spark sort each task's rows; with ``packed`` it is one
+    decimal (bounds in ``packed_order``; at most 38 digits), whose fixed width lets the
+    hash aggregate keep the newest row in place.
     """
     order = [c for c in order if c in df.columns]
+    if packed:
+        newest = F.max_by(F.col(value), packed_order(df, order))
+        return df.groupBy(*keys).agg(newest.alias(value))
     newest = F.max(F.struct(*[F.col(c) for c in order], F.col(value).alias("_val")))
     return (df.groupBy(*keys).agg(newest.alias("_newest"))
             .select(*keys, F.col("_newest._val").alias(value)))

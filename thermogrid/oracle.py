@@ -20,14 +20,18 @@ FIXTURES: dict[str, tuple[tuple[str, ...], str]] = {
                event_id as "offset", ts as "timestamp"
         from readings"""),
     "bad_messages": (("readings",), """
-        select case when event_id % 50 = 0 then concat_ws(':', name, cast(lon as varchar), cast(lat as varchar))
-                    when event_id % 50 = 2 then concat_ws(':', 'New', name, cast(lon as varchar),
-                                                          cast(lat as varchar), cast(hour as varchar))
+        select case when k = 0 then concat_ws(':', name, cast(lon as varchar), cast(lat as varchar))
+                    when k = 2 then concat_ws(':', 'New', name, cast(lon as varchar), cast(lat as varchar), cast(hour as varchar))
+                    when k = 5 then concat_ws(':', name, '999', cast(lat as varchar), cast(hour as varchar))
+                    when k = 6 then concat_ws(':', name, cast(lon as varchar), cast(lat as varchar), '99')
+                    when k = 7 then null
+                    when k = 9 then concat_ws(':', name, cast(lon as varchar), 'NaN', cast(hour as varchar))
                     else concat_ws(':', name, cast(lon as varchar), cast(lat as varchar), cast(hour as varchar))
                end as key,
-               case when event_id % 50 = 1 then 'n/a' else cast(temp as varchar) end as value,
+               case k when 1 then 'n/a' when 3 then 'NaN' when 4 then 'Infinity' when 8 then '1e300'
+                    else cast(temp as varchar) end as value,
                event_id as "offset"
-        from readings"""),
+        from (select *, event_id % 50 as k from readings)"""),
     "weather_json": (("readings",), """
         select event_id, '{"name":"' || name || '","main":{"temp":' || cast(temp as varchar)
                || '},"coord":{"lon":' || cast(lon as varchar) || ',"lat":' || cast(lat as varchar)

@@ -52,8 +52,9 @@ def get_spark(master: str | None = None, app: str = "thermogrid",
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for checkpoints and intermediate tables.
 
-    Reads ``spark.checkpoint.dir`` from the session; only when the setting is
-    absent (local runs, tests) a fresh folder is created and registered.
+    Reads ``spark.checkpoint.dir`` from the session. Only a local master may
+    leave it unset: then a fresh folder is created and registered. On a cluster
+    a folder of the driver's machine would be useless to the executors.
     """
     sc = spark.sparkContext
     d = sc._jsc.sc().getCheckpointDir()
@@ -61,6 +62,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         return d.get()
     d = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
+        if not str(sc.master).startswith("local[") and sc.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="thermogrid-ckpt-")
     sc.setCheckpointDir(d)
     got = sc._jsc.sc().getCheckpointDir()
@@ -73,32 +76,35 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def parallelism(spark: SparkSession) -> int:
-    return max(1, int(spark.sparkContext.defaultParallelism))
-
-
-def work_partitions(spark: SparkSession, units: int, per_partition: int) -> int:
+def work_partitions(units: int, per_partition: int) -> int:
     """Partitions for compute-heavy work of ``units`` items (cells, lines).
 
     Byte-size based coalescing (AQE) would put a small-but-expensive input in
-    one task; this count follows the work instead, at most twice the cores.
+    one task; this count follows the work instead.
     """
-    want = max(1, -(-int(units) // max(1, int(per_partition))))
-    return max(1, min(2 * parallelism(spark), want))
-
-
-def spread_small_scan(df):
-    """Give a scan with fewer partitions than cores (one small file, one row
-    group) one partition per core. A large input already has many splits and
-    is returned unchanged, so this never adds a shuffle at scale.
-
-    Only for a plain file scan: counting the partitions of a plan with a
-    shuffle would run that shuffle (adaptive execution) while building."""
-    from pyspark.sql import functions as F
-    n = parallelism(df.sparkSession)
-    if df.rdd.getNumPartitions() < n:
-        # Hash of the row's position in the scan: it reads no data column (so
-        # column pruning still reaches the file), is the same on a retry (the
-        # scan order is fixed) and needs no local sort, unlike round robin.
-        return df.repartition(n, F.monotonically_increasing_id())
-    return df
+    return max(1, -(-int(units) // max(1, int(per_partition))))
+
+
+# ------------------------------------------------------------ folders
+
+def _file_system(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _file_system(spark, path)
+    return bool(fs.exists(p))
+
+
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder of any Hadoop file system; [] when it is missing."""
+    fs, p = _file_system(spark, path)
+    if not fs.exists(p):
+        return []
+    return [str(x.getPath().getName()) for x in fs.listStatus(p)]
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    fs, p = _file_system(spark, path)
+    fs.delete(p, True)

@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from thermogrid.functions.columns import TOPIC, encode_key
-from thermogrid.session import spread_small_scan
 
 # Fixed values of the derivations (see FIXTURES.md): station positions from
 # multiplicative hashes of the id, climatology on a 1 degree lattice.
@@ -23,7 +22,7 @@ LATTICE_COLS = 360
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spread_small_scan(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _lon(idcol):
@@ -62,15 +61,21 @@ def messages(spark: SparkSession, sf_dir: str, as_bytes: bool = False) -> DataFr
 
 
 def bad_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Messages with broken rows: every 50th lacks the hour, the next has 'n/a'
-    as value, and the one after carries a ':' inside the name (still valid)."""
+    """Messages with broken rows, by ``event_id`` modulo 50: 0 lacks the hour, 1
+    has 'n/a' as value, 2 carries a ':' inside the name (still valid), 3 and 4
+    have the values NaN and Infinity, 5 the longitude 999, 6 the hour 99, 7 a null
+    latitude (so a null key), 8 a value beyond the float range, 9 the latitude NaN."""
     r = readings(spark, sf_dir)
     k = F.pmod(F.col("event_id"), F.lit(50))
     lon_s, lat_s, hour_s = (F.col(c).cast("string") for c in ("lon", "lat", "hour"))
+    lon_s = F.when(k == 5, F.lit("999")).otherwise(lon_s)
+    lat_s = F.when(k == 9, F.lit("NaN")).when(k != 7, lat_s)
+    hour_s = F.when(k == 6, F.lit("99")).otherwise(hour_s)
     key = (F.when(k == 0, F.concat_ws(":", "name", lon_s, lat_s))
            .when(k == 2, F.concat_ws(":", F.lit("New"), "name", lon_s, lat_s, hour_s))
-           .otherwise(F.concat_ws(":", "name", lon_s, lat_s, hour_s)))
-    value = F.when(k == 1, F.lit("n/a")).otherwise(F.col("temp").cast("string"))
+           .otherwise(encode_key("name", lon_s, lat_s, hour_s)))
+    value = (F.when(k == 1, F.lit("n/a")).when(k == 3, F.lit("NaN")).when(k == 4, F.lit("Infinity"))
+             .when(k == 8, F.lit("1e300")).otherwise(F.col("temp").cast("string")))
     return r.select(key.alias("key"), value.alias("value"), F.col("event_id").alias("offset"))
 
 

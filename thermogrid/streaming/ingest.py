@@ -2,9 +2,9 @@
 
 * T1 ``start_ingest``: messages -> decode -> quarantine -> ``foreachBatch``
   upsert into the current store (last write wins, idempotent per batch id).
-* T2 checkpointing: every query takes a checkpoint folder (by default below
-  the session's ``spark.checkpoint.dir``), so a restart neither loses nor
-  repeats a batch.
+* T2 checkpointing: the checkpoint belongs to the store (by default a folder
+  below it, the same at every start), so a restart neither loses nor repeats a
+  batch; a fresh checkpoint on a store that holds batches is refused.
 * T3 ``start_latest_state``: stateful newest-reading-per-key aggregate in
   update mode; the state holds at most one row per station and hour.
 * T4 ``mean_last_24h``: 24 h windows sliding by 1 h with a watermark, append
@@ -21,7 +21,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from thermogrid.operators.readings import decode_reading, quarantine_bad
 from thermogrid.session import scratch_path
-from thermogrid.sources.current_store import compact_current, upsert_current
+from thermogrid.sources.current_store import claim_checkpoint, compact_current, upsert_current
 
 
 def _trigger(writer, trigger: str | None, available_now: bool):
@@ -39,26 +39,30 @@ def _maybe_compact(spark: SparkSession, path: str, batch_id: int, every: int | N
         compact_current(spark, path)
 
 
+def _ingest(batch: DataFrame, batch_id: int, path: str, compact_every: int | None) -> None:
+    """One micro-batch: good rows to the log, bad rows to the quarantine (both
+    per batch id, overwrite = idempotent), then the log folded when it is due."""
+    good, bad = quarantine_bad(batch)
+    upsert_current(good, batch_id, path)
+    (bad.select("key", "value", "reason", *[c for c in ("timestamp", "partition", "offset") if c in bad.columns])
+     .write.mode("overwrite").parquet(f"{path.rstrip('/')}/quarantine/batch_id={int(batch_id)}"))
+    _maybe_compact(batch.sparkSession, path, batch_id, compact_every)
+
+
 def start_ingest(messages: DataFrame, path: str, checkpoint: str | None = None, trigger: str | None = "1 second",
                  available_now: bool = False, query_name: str | None = None,
                  compact_every: int | None = 600) -> StreamingQuery:
     """T1+T2: decode each micro-batch, write good rows to ``path/log`` and bad
     rows to ``path/quarantine`` (both per batch id, overwrite = idempotent);
     every ``compact_every`` batches the log is folded into a snapshot."""
-    spark = messages.sparkSession
-    checkpoint = checkpoint or scratch_path(spark, "ingest-checkpoint")
+    checkpoint = claim_checkpoint(messages.sparkSession, path, checkpoint, "ingest")
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
         try:
-            good, bad = quarantine_bad(batch)
-            upsert_current(good, batch_id, path)
-            (bad.select("key", "value", "reason", *[c for c in ("timestamp", "partition", "offset")
-                                                    if c in bad.columns])
-             .write.mode("overwrite").parquet(f"{path.rstrip('/')}/quarantine/batch_id={int(batch_id)}"))
+            _ingest(batch, batch_id, path, compact_every)
         finally:
             batch.unpersist()
-        _maybe_compact(batch.sparkSession, path, batch_id, compact_every)
 
     w = messages.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
     if query_name:
@@ -85,8 +89,7 @@ def start_latest_state(messages: DataFrame, path: str, checkpoint: str | None =
                        trigger: str | None = "1 second", available_now: bool = False,
                        compact_every: int | None = 600) -> StreamingQuery:
     """T3 written through ``foreachBatch`` into the current store."""
-    spark = messages.sparkSession
-    checkpoint = checkpoint or scratch_path(spark, "latest-checkpoint")
+    checkpoint = claim_checkpoint(messages.sparkSession, path, checkpoint, "latest")
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         upsert_current(batch, batch_id, path)
@@ -130,24 +133,24 @@ def mean_last_24h_batch(decoded: DataFrame, key: str = "city_and_loc", ts: str =
 
 
 def start_map_refresh(messages: DataFrame, path: str, build_map, out_path: str, checkpoint: str | None = None,
-                      trigger: str | None = "10 seconds", available_now: bool = False) -> StreamingQuery:
-    """T5: ingest as T1, then after each batch that brought rows rebuild the map.
+                      trigger: str | None = "10 seconds", available_now: bool = False,
+                      compact_every: int | None = 600) -> StreamingQuery:
+    """T5: ingest as T1 (quarantine and folding included), then after each batch
+    that brought rows rebuild the map.
 
-    ``build_map(spark, current_path)`` returns the map DataFrame; it is
-    written to ``out_path`` (overwrite), like the reference's 10 s loop.
+    ``build_map(spark, current_path)`` returns the map DataFrame (for example
+    ``plans.refresh.map_from_store``); it is written to ``out_path``.
     """
-    spark = messages.sparkSession
-    checkpoint = checkpoint or scratch_path(spark, "refresh-checkpoint")
+    checkpoint = claim_checkpoint(messages.sparkSession, path, checkpoint, "refresh")
     from thermogrid.sources.files import write_heatmap_cells
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
         try:
-            if batch.limit(1).count() == 0:
-                return
-            good, bad = quarantine_bad(batch)
-            upsert_current(good, batch_id, path)
-            write_heatmap_cells(build_map(batch.sparkSession, path), out_path)
+            some = batch.limit(1).count() > 0
+            _ingest(batch, batch_id, path, compact_every)
+            if some:
+                write_heatmap_cells(build_map(batch.sparkSession, path), out_path)
         finally:
             batch.unpersist()
 
@@ -155,24 +158,46 @@ def start_map_refresh(messages: DataFrame, path: str, build_map, out_path: str,
     return _trigger(w, trigger, available_now).start()
 
 
-def run_latest_stream_once(spark: SparkSession, messages: DataFrame, chunks: int = 3) -> DataFrame:
-    """Drive T3 end to end over ``messages`` (a batch DataFrame): write it as
-    ``chunks`` files below the checkpoint root, stream them with
-    ``availableNow`` through the stateful aggregate into a store, and return
-    the store's latest view."""
-    from thermogrid.sources.current_store import read_current
+def _message_files(spark: SparkSession, messages: DataFrame, path: str, records_per_file: int | None):
+    """Messages written as files, and the stream that reads them."""
     from thermogrid.sources.messages import MESSAGE_SCHEMA
-
-    base = scratch_path(spark, "stream-latest")
-    src = f"{base}/in"
     m = messages.select(F.col("key").cast("binary").alias("key"), F.col("value").cast("binary").alias("value"),
                         "topic", F.col("partition").cast("int").alias("partition"),
                         F.col("offset").cast("long").alias("offset"),
                         F.col("timestamp").cast("timestamp").alias("timestamp"))
-    m.repartition(chunks).write.mode("overwrite").parquet(src)
-    stream = spark.readStream.schema(MESSAGE_SCHEMA).option("maxFilesPerTrigger", 1).parquet(src)
-    q = start_latest_state(stream, f"{base}/store", f"{base}/checkpoint", available_now=True)
+    w = m.write.mode("overwrite")
+    (w.option("maxRecordsPerFile", records_per_file) if records_per_file else w).parquet(path)
+    r = spark.readStream.schema(MESSAGE_SCHEMA)
+    return (r.option("maxFilesPerTrigger", 1) if records_per_file else r).parquet(path)
+
+
+def _finish(q: StreamingQuery) -> None:
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
+
+
+def run_latest_stream_once(spark: SparkSession, messages: DataFrame, records_per_file: int | None = None) -> DataFrame:
+    """Drive T3 end to end over ``messages`` (a batch DataFrame): write it below
+    the checkpoint root as the scan's own partitions, stream the files with
+    ``availableNow`` through the stateful aggregate into a store, and return the
+    store's latest view. ``records_per_file`` cuts the files further and takes
+    one micro-batch per file."""
+    from thermogrid.sources.current_store import read_current
+
+    base = scratch_path(spark, "stream-latest")
+    stream = _message_files(spark, messages, f"{base}/in", records_per_file)
+    _finish(start_latest_state(stream, f"{base}/store", available_now=True))
     return read_current(spark, f"{base}/store")
+
+
+def run_windows_stream_once(spark: SparkSession, messages: DataFrame, watermark: str = "1 hour") -> DataFrame:
+    """Drive T4 end to end: messages as files through the windowed stream in
+    append mode; the windows that the watermark has closed are the result."""
+    base = scratch_path(spark, "stream-windows")
+    stream = _message_files(spark, messages, f"{base}/in", None)
+    q = (mean_last_24h(decode_reading(stream), watermark=watermark).writeStream.outputMode("append")
+         .format("parquet").option("path", f"{base}/out").option("checkpointLocation", f"{base}/checkpoint")
+         .trigger(availableNow=True).start())
+    _finish(q)
+    return spark.read.schema("city_and_loc string, window_start long, avg_temp double, n long").parquet(f"{base}/out")
