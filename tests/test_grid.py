@@ -153,3 +153,33 @@ def test_upsample_falls_back_where_taps_miss(spark):
     assert abs(out.loc[(177, 360), "v"] - f(1.5, 0.0)) < 1e-9
     assert out.loc[(179, 361), "taps"] == 1           # nearest existing corner: (0.5, 1.5)
     assert abs(out.loc[(179, 361), "v"] - f(0.5, 1.5)) < 1e-9
+
+
+@pytest.mark.parametrize("square,n", [(8, 400), (1, 200), (60, 400)])
+def test_nearest_of_clustered_points(spark, square, n):
+    # every point in one small square, far from most of the map
+    rng = np.random.default_rng(square)
+    xs, ys = 70 + rng.uniform(0, square, n), 30 + rng.uniform(0, square, n)
+    out = gr.nearest_points(_points(spark, xs, ys, np.arange(n)), 90, 180, 8).toPandas()
+    best, d2 = _brute(90, 180, xs, ys)
+    got = np.full((90, 180), -1)
+    got[out.r, out.c] = out.v.astype(int)
+    assert len(out) == 90 * 180 and (got == best).all()
+
+
+def test_candidates_follow_cells_and_points_when_clustered(spark):
+    # each level's candidate rows stay within a small multiple of cells plus points
+    rng = np.random.default_rng(5)
+    n = 5000
+    for square in (8, 180):
+        xs, ys = rng.uniform(0, square, n), rng.uniform(0, square, n)
+        cand = _points(spark, xs, ys, np.zeros(n)).selectExpr("0L tr", "0L tc", "pid", "x", "y", "v")
+        for side in (64, 8):
+            cand = gr._narrowed(cand, side, 180, 360).checkpoint(eager=True)
+            assert cand.count() <= 4 * (n + 180 * 360 // 64)
+
+
+def test_nearest_needs_coordinates(spark):
+    pts = spark.createDataFrame([("a", None, 0.0, 1.0)], "pid string, x double, y double, v double")
+    with pytest.raises(Exception):
+        gr.nearest_points(pts, 10, 20, 4).collect()

@@ -42,14 +42,57 @@ def failure_counts(log: DataFrame, key: str = "client") -> DataFrame:
 def first_success(log: DataFrame, attempts: int = MAX_TRIES) -> DataFrame:
     """Per request the first attempt (within ``attempts``) that got 200.
 
-    A grouped minimum over ``(attempt, event_id)``: partial aggregation keeps
-    one row per request and task before the shuffle.
+    A grouped minimum over ``(attempt, event_id)`` packed into one decimal, so
+    the hash aggregate keeps one row per request and task before the shuffle;
+    the winning event is then joined to its client. ``attempt`` must be below
+    1000, ``event_id`` in 0..10**18 (a row beyond fails the job).
     """
     ok = log.where((F.col("status") == OK_STATUS) & (F.col("attempt") <= int(attempts)))
-    first = F.min(F.struct("attempt", "event_id", "client"))
-    return (ok.groupBy("request_id").agg(first.alias("_f"))
-            .select("request_id", F.col("_f.attempt").alias("attempt"), F.col("_f.event_id").alias("event_id"),
-                    F.col("_f.client").alias("client")))
+    fits = F.col("attempt").between(0, 999) & F.col("event_id").between(0, 10 ** 18 - 1)
+    packed = F.when(F.coalesce(fits, F.lit(False)), F.concat(
+        F.col("attempt").cast("string"), F.lpad(F.col("event_id").cast("string"), 18, "0"))).otherwise(
+        F.raise_error(F.lit("first_success: attempt or event_id out of range"))).cast("decimal(38,0)")
+    first = ok.groupBy("request_id").agg(F.min(packed).alias("_f"))
+    text = F.lpad(F.col("_f").cast("string"), 21, "0")
+    first = first.select("request_id", F.substring(text, 1, 3).cast("int").alias("_a"),
+                         F.substring(text, 4, 18).cast("long").alias("event_id"))
+    client = ok.select("request_id", "event_id", F.col("attempt").alias("_a"), "client")
+    return (first.join(client, ["request_id", "event_id", "_a"])
+            .select("request_id", F.col("_a").cast(log.schema["attempt"].dataType).alias("attempt"),
+                    F.col("event_id").cast(log.schema["event_id"].dataType).alias("event_id"), "client"))
+
+
+def gave_up(log: DataFrame, attempts: int = MAX_TRIES) -> DataFrame:
+    """Requests that got nothing: ``attempts`` tries made, none answered with
+    200 (the reference then returns no reading). ``request_id, tries, unanswered``."""
+    early = log.where(F.col("attempt") <= int(attempts))
+    return (early.groupBy("request_id")
+            .agg(F.count(F.lit(1)).alias("tries"), F.count_if(F.col("status").isNull()).alias("unanswered"),
+                 F.count_if(F.col("status") == OK_STATUS).alias("_ok"))
+            .where((F.col("_ok") == 0) & (F.col("tries") >= int(attempts))).drop("_ok"))
+
+
+def running_failures(log: DataFrame, key: str = "client") -> DataFrame:
+    """A8 as a running total: after each call, the key's failures so far in
+    ``(ts, event_id)`` order. Offsets come from per-second counts, so a window
+    over raw calls spans one key and second only."""
+    failed = F.col("status").isNull().cast("int")
+    x = log.withColumn("_sec", F.unix_seconds(F.col("ts"))).withColumn("_f", failed)
+    per_sec = x.groupBy(key, "_sec").agg(F.sum("_f").alias("_fs"))
+    run = Window.partitionBy(key).orderBy("_sec").rowsBetween(Window.unboundedPreceding, 0)
+    per_sec = per_sec.select(key, "_sec", (F.sum("_fs").over(run) - F.col("_fs")).alias("_before"))
+    local = Window.partitionBy(key, "_sec").orderBy("ts", "event_id").rowsBetween(Window.unboundedPreceding, 0)
+    return (x.join(per_sec, [key, "_sec"])
+            .withColumn("failures", (F.col("_before") + F.sum("_f").over(local)).cast("long"))
+            .drop("_sec", "_f", "_before"))
+
+
+def pooled_quota(log: DataFrame, keys: int, cap: int = CALLS_PER_MINUTE) -> DataFrame:
+    """W7 with one shared total: all calls queue together under ``cap * keys``
+    calls per minute, whoever makes them."""
+    if keys < 1:
+        raise ValueError("keys must be >= 1")
+    return quota_admission(log.withColumn("_pool", F.lit(0)), key="_pool", cap=int(cap) * int(keys)).drop("_pool")
 
 
 def quota_admission(log: DataFrame, key: str = "client", cap: int = CALLS_PER_MINUTE) -> DataFrame:

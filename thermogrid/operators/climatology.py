@@ -70,30 +70,52 @@ def _keys(t):
     return F.when(a <= 1, inner).when(a < 2, outer).otherwise(F.lit(0.0))
 
 
-def neighbourhoods(clim_day: DataFrame, value: str = "climatology") -> DataFrame:
+def lattice_points(clim: DataFrame, value: str = "climatology", by=()) -> DataFrame:
+    """Lattice position ``i, j`` and ``val`` of each non-missing value.
+
+    Longitudes are wrapped into -180..180. A position that is not on the
+    lattice, and a second value at one position (of one group ``by``), fail the job.
+    """
+    by = list(by)
+    pts = drop_missing(clim, value)
+    u = F.col("latitude") - F.lit(LAT0)
+    v = F.pmod(F.col("longitude") - F.lit(LON0), F.lit(360.0))
+    i, j = F.round(u).cast("int"), F.pmod(F.round(v).cast("int"), F.lit(NLON))
+    on = F.coalesce((F.abs(u - F.round(u)) < 1e-6) & (F.abs(v - F.round(v)) < 1e-6)
+                    & (F.round(u) >= 0) & (F.round(u) < NLAT), F.lit(False))
+    here = F.concat(F.coalesce(F.col("latitude").cast("string"), F.lit("null")), F.lit(" "),
+                    F.coalesce(F.col("longitude").cast("string"), F.lit("null")))
+    row = F.when(on, i).otherwise(F.raise_error(F.concat(F.lit("not on the climatology lattice: "), here)).cast("int"))
+    pts = pts.select(*by, row.alias("i"), j.alias("j"), F.col(value).cast("double").alias("val"))
+    one = pts.groupBy(*by, "i", "j").agg(F.max("val").alias("_v"), F.count(F.lit(1)).alias("_n"))
+    val = F.when(F.col("_n") == 1, F.col("_v")).otherwise(F.raise_error(F.concat(
+        F.lit("more than one climatology value at lattice "), F.concat_ws(" ", "i", "j"))).cast("double"))
+    return one.select(*by, "i", "j", val.alias("val"))
+
+
+def neighbourhoods(clim: DataFrame, value: str = "climatology", by=()) -> DataFrame:
     """The 4x4 lattice values around each lattice cell ``(i0, j0)``.
 
     Each lattice value is sent to the 16 cells whose stencil it belongs to and
     regrouped, so the result has one row per lattice cell with columns
-    ``t0..t15`` (tap ``(m, n)``, m, n in -1..2, is ``t[(m+1)*4 + n+1]``). Its
-    size is bounded by the lattice (at most 184 x 364 rows), which is what
-    makes broadcasting it safe.
+    ``t0..t15`` (tap ``(m, n)``, m, n in -1..2, is ``t[(m+1)*4 + n+1]``). For one
+    day its size is bounded by the lattice (at most 184 x 364 rows), which is
+    what makes broadcasting it safe; ``by`` names the day column for several.
     """
-    pts = drop_missing(clim_day, value)
-    i = F.round(F.col("latitude") - F.lit(LAT0)).cast("int")
-    j = F.round(F.col("longitude") - F.lit(LON0)).cast("int")
-    pts = (pts.select(i.alias("i"), j.alias("j"), F.col(value).cast("double").alias("val"))
-           .where((F.col("i") >= 0) & (F.col("i") < NLAT) & (F.col("j") >= 0) & (F.col("j") < NLON)))
+    by = list(by)
+    pts = lattice_points(clim, value, by)
     t = F.col("t")
     m = (t / 4).cast("int") - 1
     n = F.pmod(t, F.lit(4)) - 1
-    spread = pts.select("val", "i", "j", F.explode(F.sequence(F.lit(0), F.lit(15))).alias("t")).select(
-        (F.col("i") - m).alias("i0"), (F.col("j") - n).alias("j0"), "t", "val")
+    spread = pts.select(*by, "val", "i", "j", F.explode(F.sequence(F.lit(0), F.lit(15))).alias("t")).select(
+        *by, (F.col("i") - m).alias("i0"), (F.col("j") - n).alias("j0"), "t", "val")
+    taps = [F.max(F.when(t == k, F.col("val"))).alias(f"t{k}") for k in range(16)]
+    if by:
+        return spread.groupBy(*by, "i0", "j0").agg(*taps)
     # few bytes but 16 aggregates per row: partition by the work (lattice
     # cells), not by bytes, so the regrouping does not collapse into one task
     nparts = work_partitions(NLAT * NLON * 16, 100_000)
-    return spread.repartition(nparts, "i0", "j0").groupBy("i0", "j0").agg(
-        *[F.max(F.when(t == k, F.col("val"))).alias(f"t{k}") for k in range(16)])
+    return spread.repartition(nparts, "i0", "j0").groupBy("i0", "j0").agg(*taps)
 
 
 def cell_lattice_coords(df: DataFrame, scale: float, ref_row_shift: int = 1) -> DataFrame:

@@ -8,11 +8,9 @@ reference (no wrap at +-180).
 
 from __future__ import annotations
 
-import math
-
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -45,158 +43,117 @@ def to_points(df: DataFrame, scale: float, pid: str = "city_and_loc", value: str
                      grid_y(lon, scale).alias("y"), F.col(value).cast("double").alias("v"))
 
 
-def _levels(rows: int, cols: int, tile: int) -> int:
-    # The top level's tile must exceed three grid diagonals: then every point in
-    # the admitted box [-rows, 2 rows] x [-cols, 2 cols] lies in the 3x3 block of
-    # every cell and is closer than one tile, so every leaf resolves.
-    reach = 3.0 * math.hypot(rows, cols)
-    levels = 1
-    while tile * (1 << (levels - 1)) <= reach:
-        levels += 1
-    return levels
-
+FAN = 8            # a tile has FAN x FAN children, one level below
+LEAF_POINTS = 1024  # candidates of one leaf that one task takes for all its cells
 
-def _rect(tr, tc, size, rows: int, cols: int):
-    r0 = tr * size
-    c0 = tc * size
-    r1 = F.least((tr + 1) * size, F.lit(rows)) - 1
-    c1 = F.least((tc + 1) * size, F.lit(cols)) - 1
-    return r0, r1, c0, c1
 
+def _d2(x, y, px, py):
+    return (x - px) * (x - px) + (y - py) * (y - py)
 
-def _min_d2(x, y, r0, r1, c0, c1):
-    dx = F.greatest(r0 - x, F.lit(0.0), x - r1)
-    dy = F.greatest(c0 - y, F.lit(0.0), y - c1)
-    return dx * dx + dy * dy
 
+def _narrowed(cand: DataFrame, side: int, rows: int, cols: int) -> DataFrame:
+    """Candidates of tiles with sides ``FAN * side`` handed to their children.
 
-def _max_d2(x, y, r0, r1, c0, c1):
-    dx = F.greatest(F.abs(x - r0), F.abs(x - r1))
-    dy = F.greatest(F.abs(y - c0), F.abs(y - c1))
-    return dx * dx + dy * dy
+    The nearest candidate of every tile corner is found by a partial aggregate.
+    A child drops a point that the nearest point of one of its four corners beats
+    strictly at all four: the places where a point is at least as close as
+    another form a half-plane, which meets a rectangle only if it holds a
+    corner. So no winner or tie of any cell is dropped, and what stays is about
+    what can win somewhere in the tile, however the points lie.
+    """
+    nr, nc = -(-rows // side), -(-cols // side)
+    wide = FAN + 1
+    k = F.col("k")
+    corner = cand.select("pid", "x", "y", F.col("tr").alias("pr"), F.col("tc").alias("pc"),
+                         F.explode(F.sequence(F.lit(0), F.lit(wide * wide - 1))).alias("k"))
+    corner = corner.select("pid", "x", "y", (F.col("pr") * FAN + F.expr(f"k div {wide}")).alias("i"),
+                           (F.col("pc") * FAN + F.pmod(k, F.lit(wide))).alias("j"))
+    corner = corner.where((F.col("i") <= nr) & (F.col("j") <= nc)).withColumn(
+        "d2", _d2(F.col("x"), F.col("y"), F.col("i") * side, F.col("j") * side))
+    least = corner.groupBy("i", "j").agg(F.min("d2").alias("d2"))
+    # tables of corners and tiles: at most a 1/side**2 part of the grid's cells
+    first = (corner.join(F.broadcast(least), ["i", "j", "d2"])
+             .groupBy("i", "j").agg(F.min(F.struct("pid", "x", "y")).alias("p")))
+    touch = first.select("p", F.explode(F.array(*[F.struct((F.col("i") - u).alias("tr"), (F.col("j") - w).alias("tc"))
+                                                  for u in (0, 1) for w in (0, 1)])).alias("t"))
+    best = touch.groupBy("t.tr", "t.tc").agg(F.sort_array(F.collect_set("p")).alias("p"))
+    child = cand.select("pid", "x", "y", "v", F.col("tr").alias("pr"), F.col("tc").alias("pc"),
+                        F.explode(F.sequence(F.lit(0), F.lit(FAN * FAN - 1))).alias("k"))
+    child = child.select("pid", "x", "y", "v", (F.col("pr") * FAN + F.expr(f"k div {FAN}")).alias("tr"),
+                         (F.col("pc") * FAN + F.pmod(k, F.lit(FAN))).alias("tc"))
+    child = child.where((F.col("tr") < nr) & (F.col("tc") < nc)).join(F.broadcast(best), ["tr", "tc"])
+    corners = [((F.col("tr") + u) * side, (F.col("tc") + w) * side) for u in (0, 1) for w in (0, 1)]
+    child = child.withColumns({f"q{n}": _d2(F.col("x"), F.col("y"), *c) for n, c in enumerate(corners)})
+    stays = F.lit(True)
+    for m in range(4):
+        # with fewer than four different corner points the last one repeats
+        p = F.element_at("p", F.least(F.lit(m + 1), F.size("p")))
+        wins = F.lit(False)
+        for n, c in enumerate(corners):
+            wins = wins | (F.col(f"q{n}") <= _d2(p["x"], p["y"], *c))
+        stays = stays & wins
+    return child.where(stays).select("tr", "tc", "pid", "x", "y", "v")
 
 
 def nearest_points(points: DataFrame, rows: int, cols: int, tile: int = 8) -> DataFrame:
     """For every cell the nearest point (planar), exact: ``r, c, pid, v, d2``.
 
-    Ties go to the smallest ``pid``. No cross join and no all-pairs step:
-
-    * levels of square tiles with sides ``tile * 2**l``; each point is copied to
-      the 3x3 tiles around its own tile at every level (9 rows per level);
-    * a tile is *resolved* at a level when some point of its 3x3 block is, at
-      its farthest, closer than one tile side to every cell of the tile; a point
-      outside the block is at least one side away, so the block holds the exact
-      answer for every cell of the tile;
-    * each leaf tile (``tile`` cells square) takes its lowest resolved ancestor,
-      keeps only the points whose nearest distance to the leaf is within the
-      smallest farthest distance (no winner or tie is ever cut), and the cells
-      of the leaf are generated against those candidates; per cell the minimum
-      of ``(d2, pid)`` is a partial + final aggregate.
+    Ties go to the smallest ``pid``. Tiles are narrowed down from one that holds
+    the grid: at each level a tile hands its children only the points that can
+    still win in them (``_narrowed``), so the candidate rows follow the cells and
+    the points, clustered or not, and no point meets a tile it cannot win in. The
+    cells of the leaf tiles (``tile`` cells square) are then generated against
+    the leaf's candidates, and the minimum of ``(d2, pid)`` per cell is an
+    aggregate inside the leaf's partition. A leaf with many candidates deals its
+    cells to several tasks.
 
     Points sharing a position keep the smallest ``pid`` (the only one that can
-    win). Points further than one grid size outside the grid raise an error.
+    win). Points without coordinates raise an error, like points further than one
+    grid size outside the grid.
     """
     if tile < 1 or tile & (tile - 1):
         raise ValueError("tile must be a power of two")
-    L = _levels(rows, cols, tile)
     x, y = F.col("x"), F.col("y")
-    guard = F.when((x >= -rows) & (x <= 2 * rows) & (y >= -cols) & (y <= 2 * cols), F.lit(True)).otherwise(
-        F.raise_error(F.lit("nearest_points: point far outside the grid")))
-    pts = (points.where(x.isNotNull() & y.isNotNull())
-           .where(guard)
+    inside = (x >= -rows) & (x <= 2 * rows) & (y >= -cols) & (y <= 2 * cols)
+    guard = F.when(F.coalesce(inside, F.lit(False)), F.lit(True)).otherwise(
+        F.raise_error(F.lit("nearest_points: point far outside the grid, or without coordinates")))
+    pts = (points.where(guard)
            .groupBy("x", "y").agg(F.min(F.struct("pid", "v")).alias("p"))
-           .select(F.col("p.pid").alias("pid"), "x", "y", F.col("p.v").alias("v")))
-    # The point set (one row per station position) feeds several branches of
-    # the plan, each pruning other columns, so Spark cannot reuse one exchange
-    # for all of them and would recompute the whole upstream (scan, decode,
-    # latest, mean) per branch. Write it once to the shared checkpoint folder
-    # (spark.checkpoint.dir): the lineage is cut, a lost executor costs nothing,
-    # and no executor memory is held (a refresh loop does not accumulate caches).
+           .select(F.lit(0).cast("long").alias("tr"), F.lit(0).cast("long").alias("tc"), F.col("p.pid").alias("pid"),
+                   "x", "y", F.col("p.v").alias("v")))
+    # Each level reads the one above it several times. It is written to the
+    # shared checkpoint folder (spark.checkpoint.dir), so nothing upstream is
+    # computed again, a lost executor costs nothing, and no memory is held.
     checkpoint_root(points.sparkSession)
-    pts = pts.checkpoint(eager=True)
-
-    # copies of each point into the 3x3 block around its tile, at every level
-    k = F.col("k")
-    lvl = (k / 9).cast("int")
-    size = F.expr(f"shiftleft(cast({tile} as bigint), cast(k / 9 as int))")
-    rep = (pts.select("*", F.explode(F.sequence(F.lit(0), F.lit(9 * L - 1))).alias("k"))
-           .select("pid", "x", "y", "v", lvl.alias("lvl"), size.alias("size"),
-                   (F.floor(x / size) + (F.pmod(k, F.lit(9)) / 3).cast("int") - 1).alias("tr"),
-                   (F.floor(y / size) + F.pmod(k, F.lit(3)) - 1).alias("tc")))
-    ntr = F.floor(F.lit(rows - 1) / F.col("size"))
-    ntc = F.floor(F.lit(cols - 1) / F.col("size"))
-    rep = rep.where((F.col("tr") >= 0) & (F.col("tr") <= ntr) & (F.col("tc") >= 0) & (F.col("tc") <= ntc))
-    r0, r1, c0, c1 = _rect(F.col("tr"), F.col("tc"), F.col("size"), rows, cols)
-    rep = rep.select("*", _min_d2(x, y, r0, r1, c0, c1).alias("mind2"),
-                     _max_d2(x, y, r0, r1, c0, c1).alias("maxd2"))
-
-    # resolved tiles and their pruned candidates
-    ub = (rep.groupBy("lvl", "tr", "tc", "size").agg(F.min("maxd2").alias("ub"))
-          .where(F.col("ub") < F.col("size") * F.col("size")))
-    cand = (rep.join(ub, ["lvl", "tr", "tc", "size"])
-            .where(F.col("mind2") <= F.col("ub"))
-            .select("lvl", "tr", "tc", "pid", "x", "y", "v"))
-
-    # leaf tiles and the lowest level at which an ancestor is resolved
-    nlr, nlc = -(-rows // tile), -(-cols // tile)
-    leaves = spark_range(points, nlr * nlc).select(
-        F.expr(f"id div {nlc}").alias("lr"), F.expr(f"id % {nlc}").alias("lc"))
-    anc = (leaves.select("lr", "lc", F.explode(F.sequence(F.lit(0), F.lit(L - 1))).alias("lvl"))
-           .select("lr", "lc", "lvl", F.expr("shiftright(lr, lvl)").alias("tr"),
-                   F.expr("shiftright(lc, lvl)").alias("tc")))
-    res = (anc.join(ub.select("lvl", "tr", "tc"), ["lvl", "tr", "tc"])
-           .groupBy("lr", "lc").agg(F.min("lvl").alias("lvl"))
-           .select("lr", "lc", "lvl", F.expr("shiftright(lr, lvl)").alias("tr"),
-                   F.expr("shiftright(lc, lvl)").alias("tc")))
-
-    lr0, lr1, lc0, lc1 = _rect(F.col("lr"), F.col("lc"), F.lit(tile), rows, cols)
-    # The candidate rows are few bytes but each fans out to a whole leaf of
-    # cells: partition them by leaf with a count that follows the cells (AQE
-    # would coalesce them by bytes into one task). The leaf bound is a window
-    # over that partitioning, and the per-cell aggregate below reuses it too.
+    cand = pts.checkpoint(eager=True)
+    side = tile
+    while side < max(rows, cols):
+        side *= FAN
+    while side > tile:
+        side //= FAN
+        cand = _narrowed(cand, side, rows, cols).checkpoint(eager=True)
+
+    nlc = -(-cols // tile)
+    # one row per leaf, at most a 1/tile**2 part of the cells
+    parts = cand.groupBy("tr", "tc").agg(
+        F.least(F.lit(tile * tile), F.ceil(F.count(F.lit(1)) / LEAF_POINTS)).cast("int").alias("parts"))
     nparts = work_partitions(rows * cols, 25_000)
-    pairs = (res.join(cand, ["lvl", "tr", "tc"])
-             .select((F.col("lr") * nlc + F.col("lc")).alias("leaf"), "lr", "lc", "pid", "x", "y", "v",
-                     _min_d2(x, y, lr0, lr1, lc0, lc1).alias("mind2"),
-                     _max_d2(x, y, lr0, lr1, lc0, lc1).alias("maxd2"))
-             .repartition(nparts, "leaf"))
-    # Two exact prunings per leaf, both window aggregates inside the leaf
-    # partitioning: (1) a point whose nearest distance to the leaf exceeds the
-    # smallest farthest distance never wins; (2) with p the point of smallest
-    # farthest distance, the cells where q is at least as close as p form a
-    # half-plane, which meets the leaf's rectangle only if it holds one of its
-    # corners, so q is dropped when p is strictly closer at all four corners.
-    leaf = Window.partitionBy("leaf")
-    best = F.min(F.struct("maxd2", "pid", F.col("x").alias("bx"), F.col("y").alias("by"))).over(leaf)
-    ranked = pairs.select("*", best.alias("_b")).where(F.col("mind2") <= F.col("_b.maxd2"))
-    bx, by = F.col("_b.bx"), F.col("_b.by")
-    corner_ok = None
-    for cr in (lr0, lr1):
-        for cc in (lc0, lc1):
-            dq = (cr - x) * (cr - x) + (cc - y) * (cc - y)
-            dp = (cr - bx) * (cr - bx) + (cc - by) * (cc - by)
-            corner_ok = (dq <= dp) if corner_ok is None else (corner_ok | (dq <= dp))
-    keep = (ranked.where((F.col("pid") == F.col("_b.pid")) | corner_ok)
-            .select("leaf", "lr", "lc", "pid", "x", "y", "v"))
-
-    # cells of each leaf against its candidates; per cell the minimum of
-    # (d2, pid), grouped within the leaf partitioning (no further shuffle)
-    nr = F.least(F.lit(tile), F.lit(rows) - F.col("lr") * tile)
-    nc = F.least(F.lit(tile), F.lit(cols) - F.col("lc") * tile)
-    cells = keep.select("leaf", "lr", "lc", "pid", "x", "y", "v", nc.alias("nc"),
-                        F.explode(F.sequence(F.lit(0), nr * nc - 1)).alias("j"))
-    r = (F.col("lr") * tile + (F.col("j") / F.col("nc")).cast("long")).cast("int")
-    c = (F.col("lc") * tile + F.pmod(F.col("j"), F.col("nc"))).cast("int")
-    d2 = (r - x) * (r - x) + (c - y) * (c - y)
-    best = (cells.select("leaf", r.alias("r"), c.alias("c"), F.struct(d2.alias("d2"), "pid", "v").alias("b"))
-            .groupBy("leaf", "r", "c").agg(F.min("b").alias("b")))
+    dealt = (cand.join(F.broadcast(parts), ["tr", "tc"])
+             .withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+             .withColumn("leaf", F.col("tr") * nlc + F.col("tc"))
+             .repartition(nparts, "leaf", "part"))
+    nr = F.least(F.lit(tile), F.lit(rows) - F.col("tr") * tile).cast("int")
+    nc = F.least(F.lit(tile), F.lit(cols) - F.col("tc") * tile).cast("int")
+    own = F.when(F.col("part") < nr * F.col("nc"), F.sequence(F.col("part"), nr * F.col("nc") - 1, F.col("parts")))
+    cells = dealt.withColumn("nc", nc).select("leaf", "part", "tr", "tc", "pid", "x", "y", "v", "nc",
+                                              F.explode(own).alias("j"))
+    r = (F.col("tr") * tile + F.expr("j div nc")).cast("int")
+    c = (F.col("tc") * tile + F.pmod(F.col("j"), F.col("nc"))).cast("int")
+    best = (cells.select("leaf", "part", r.alias("r"), c.alias("c"), F.struct(_d2(r, c, x, y).alias("d2"), "pid", "v").alias("b"))
+            .groupBy("leaf", "part", "r", "c").agg(F.min("b").alias("b")))
     return best.select("r", "c", F.col("b.pid").alias("pid"), F.col("b.v").alias("v"), F.col("b.d2").alias("d2"))
 
 
-def spark_range(df: DataFrame, n: int) -> DataFrame:
-    return df.sparkSession.range(0, n)
-
-
 # ------------------------------------------------------------------- blur
 
 def gaussian_weights(sigma: float, truncate: float = 4.0) -> np.ndarray:

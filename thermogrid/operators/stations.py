@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from thermogrid.functions.columns import trunc_int
 from thermogrid.operators import climatology as cl
+from thermogrid.operators.grid import grid_shape
 from thermogrid.operators.ranking import positions
 
 # Fixed values of the selection jobs, equal to the reference's: latitudes run
@@ -50,6 +51,20 @@ def bucket_lookup(requests: DataFrame, registry: DataFrame) -> DataFrame:
     return requests.join(bucket_tops(registry), ["lat_b", "lon_b"], "left")
 
 
+def bucket_take(requests: DataFrame, registry: DataFrame, order: str = "seq") -> DataFrame:
+    """J4, consuming: requests (``lat_b, lon_b`` and an integer ``order``, unique)
+    take ids out of their bucket, the last appended first; a request that finds
+    its bucket used up, or no bucket, gets null.
+
+    The k-th request of a bucket meets the k-th id from the end: both sides are
+    numbered without gathering a bucket in one task, then joined.
+    """
+    ids = ids_by_bucket(registry).select("lat_b", "lon_b", (F.col("n") - 1 - F.col("pos")).alias("turn"), "id",
+                                         F.col("seq").alias("id_seq"))
+    turns = positions(requests, order, groups=["lat_b", "lon_b"], out="turn")
+    return turns.join(ids, ["lat_b", "lon_b", "turn"], "left")
+
+
 def _lon_increment(num_ids: int) -> int:
     per_lat = int(num_ids / (MAX_LAT - MIN_LAT + 1)) + 1
     inc = int((MAX_LON - MIN_LON + 1) / per_lat)
@@ -180,12 +195,14 @@ def station_anomaly(stations: DataFrame, clim: DataFrame, mask: DataFrame, day:
     """Each station's mean minus the reference value of its grid cell.
 
     Only the stations' cells are interpolated (broadcast lattice); the mask
-    join is keyed on the cell.
+    join is keyed on the cell. Latitude -90 and longitude 180 belong to the last
+    row and column.
     """
     s = float(scale)
+    rows, cols = grid_shape(scale)
     st = stations.select("city_and_loc", value,
-                         F.floor(F.lit(s) * (F.lit(90.0) - F.col("lat"))).cast("int").alias("r"),
-                         F.floor(F.lit(s) * (F.col("lon") + F.lit(180.0))).cast("int").alias("c"))
+                         F.least(F.lit(rows - 1), F.floor(F.lit(s) * (F.lit(90.0) - F.col("lat")))).cast("int").alias("r"),
+                         F.least(F.lit(cols - 1), F.floor(F.lit(s) * (F.col("lon") + F.lit(180.0)))).cast("int").alias("c"))
     st = st.join(mask.select("r", "c", "land"), ["r", "c"], "left")
     out = cl.add_reference(st, cl.climatology_for_day(clim, day), scale, ref_row_shift, out="ref")
     return out.withColumn("anomaly", F.col(value) - F.col("ref")).drop("land", "taps")

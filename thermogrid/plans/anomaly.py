@@ -3,6 +3,8 @@ the empty-input branch (X4) and materialised reference days (X5)."""
 
 from __future__ import annotations
 
+import datetime
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -70,19 +72,51 @@ def anomaly_map(means: DataFrame, clim: DataFrame, mask: DataFrame, day: int, sc
                        heat_level(diff, lo, hi).alias("level"))
 
 
-def reference_models(clim: DataFrame, mask: DataFrame, days, scale: float, ref_row_shift: int = 1) -> DataFrame:
-    """Reference grids of several days, ``day_number, r, c, v, taps``.
+def anomaly_map_at(means: DataFrame, clim: DataFrame, mask: DataFrame, ts, scale: float, leap: str = "error",
+                   **options) -> DataFrame:
+    """X3 by time: the day index (P10) of ``ts`` (a datetime, UTC) picks the climatology."""
+    return anomaly_map(means, clim, mask, day_of(ts, leap), scale, **options)
+
+
+def day_of(ts: datetime.datetime, leap: str = "error") -> int:
+    """P10 on the driver: day of year minus one, 0..364."""
+    day = ts.timetuple().tm_yday - 1
+    if day > 364 and leap == "clamp":
+        return 364
+    if day > 364 or leap not in ("error", "clamp"):
+        raise ValueError(f"day index out of range 0..364: {day} (leap={leap!r})")
+    return day
+
+
+def reference_models(clim: DataFrame, mask: DataFrame, days=None, scale: float = 1.0, ref_row_shift: int = 1) -> DataFrame:
+    """Reference grids of several days (all days of ``clim`` by default),
+    ``day_number, r, c, v, taps``.
 
-    Meant to be written ``partitionBy('day_number')`` once and read back with
-    partition pruning (the reference keeps a per-day dict in memory).
+    One pass: the land cells of each day meet that day's lattice neighbourhoods
+    in one join on (day, lattice cell); other cells get null. Meant to be written
+    once with ``write_reference_models`` and read back by day.
     """
+    if days is None:
+        days = [r.day_number for r in cl.distinct_days(clim).collect()]  # at most 366
     days = sorted({int(d) for d in days})
     if not days:
         raise ValueError("reference_models needs at least one day")
-    outs = None
-    for d in days:
-        one = (cl.add_reference(mask.select("r", "c", "land"), cl.climatology_for_day(clim, d), scale,
-                                ref_row_shift, out="v")
-               .select(F.lit(d).alias("day_number"), "r", "c", "v", "taps"))
-        outs = one if outs is None else outs.unionByName(one)
-    return outs
+    day = F.explode(F.array(*[F.lit(d) for d in days])).alias("day_number")
+    around = cl.neighbourhoods(clim.where(F.col("day_number").isin(days)), by=["day_number"])
+    land = cl.cell_lattice_coords(mask.where("land").select("r", "c"), scale, ref_row_shift)
+    found = cl.interpolate(land.select("*", day).join(around, ["day_number", "i0", "j0"], "left"), "v")
+    sea = mask.where(~F.coalesce(F.col("land"), F.lit(False))).select(
+        "r", "c", day, F.lit(None).cast("double").alias("v"), F.lit(0).alias("taps"))
+    columns = ["day_number", "r", "c", "v", "taps"]
+    return found.select(*columns).unionByName(sea.select(*columns))
+
+
+def write_reference_models(models: DataFrame, path: str) -> None:
+    """One folder per day; a day is one grid, so it is one task's output."""
+    models.repartition("day_number").write.mode("overwrite").partitionBy("day_number").parquet(path)
+
+
+def read_reference_model(spark, path: str, day: int) -> DataFrame:
+    """X2 from the stored grids of X5: ``r, c, v, taps``; only the day's folder is read."""
+    t = spark.read.schema("r int, c int, v double, taps int, day_number int").parquet(path)
+    return t.where(F.col("day_number") == int(day)).drop("day_number")

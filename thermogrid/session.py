@@ -108,3 +108,11 @@ def list_names(spark: SparkSession, path: str) -> list[str]:
 def delete_path(spark: SparkSession, path: str) -> None:
     fs, p = _file_system(spark, path)
     fs.delete(p, True)
+
+
+def replace_path(spark: SparkSession, new: str, path: str) -> None:
+    """Put the folder ``new`` in the place of ``path``."""
+    fs, p = _file_system(spark, path)
+    fs.delete(p, True)
+    if not fs.rename(_file_system(spark, new)[1], p):
+        raise OSError(f"could not move {new} to {path}")

@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from thermogrid.session import replace_path
+
 CLIMATOLOGY_SCHEMA = T.StructType([
     T.StructField("day_number", T.IntegerType()),
     T.StructField("latitude", T.DoubleType()),
@@ -56,18 +58,20 @@ def file_order(df: DataFrame, out: str = "seq") -> DataFrame:
     splits = x.groupBy("_f", "_s").agg(F.min("_id").alias("_m0"), F.count(F.lit(1)).alias("_n"))
     w = Window.orderBy("_f", "_s").rowsBetween(Window.unboundedPreceding, 0)
     splits = splits.withColumn("_off", F.sum("_n").over(w) - F.col("_n"))
-    # one row per file split: bounded by the number of splits, safe to broadcast
-    return (x.join(F.broadcast(splits.select("_f", "_s", "_m0", "_off")), ["_f", "_s"])
+    # one row per file split (a hundred thousand for some ten TB); the planner
+    # broadcasts them when their size allows
+    return (x.join(splits.select("_f", "_s", "_m0", "_off"), ["_f", "_s"])
             .withColumn(out, (F.col("_off") + F.col("_id") - F.col("_m0")).cast("long"))
             .drop("_f", "_s", "_id", "_m0", "_off"))
 
 
 def read_id_list(spark: SparkSession, path: str) -> DataFrame:
     """One integer id per line -> ``seq, id``; a line that is not an
-    integer fails the job (as ``int(line)`` does)."""
+    integer fails the job (as ``int(line)`` does), a blank one too."""
     t = spark.read.text(path)
-    v = F.trim(F.col("value"))
-    ids = t.where(F.length(v) > 0).select(v.cast("long").alias("id"), "_metadata")
+    v = F.trim(F.col("value")).try_cast("long")
+    bad = F.raise_error(F.concat(F.lit("not an id: "), F.col("value"))).cast("long")
+    ids = t.select(F.when(v.isNotNull(), v).otherwise(bad).alias("id"), "_metadata")
     return file_order(ids).select("seq", "id")
 
 
@@ -94,7 +98,10 @@ def _cache_rows(text_col) -> F.Column:
 
 
 def read_city_cache(spark: SparkSession, path: str) -> DataFrame:
-    """JSON object ``name -> [lon, lat]`` -> ``city, lon, lat``."""
+    """JSON object ``name -> [lon, lat]`` -> ``city, lon, lat``.
+
+    A file is one object and so one row of one task: for caches of up to some
+    hundred MB each (a city name and two numbers are about 50 bytes)."""
     t = spark.read.option("wholetext", True).text(path)
     return (t.select(_cache_rows(F.col("value")).alias("city", "xy"))
             .select("city", F.col("xy")[0].alias("lon"), F.col("xy")[1].alias("lat")))
@@ -107,11 +114,21 @@ def city_cache_from_text(spark: SparkSession, text: str) -> DataFrame:
             .select("city", F.col("xy")[0].alias("lon"), F.col("xy")[1].alias("lat")))
 
 
+MAP_BAND = 32  # map rows per file
+
+
 def write_heatmap_cells(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """The difference map as a cell table (the reference draws a picture).
 
-    Rows are range partitioned by ``r`` so that each file holds whole map rows
-    and a reader of a band of latitudes touches few files.
+    Bands of ``MAP_BAND`` map rows stay together, so a reader of a band of
+    latitudes touches few files. An overwrite is written beside the served
+    folder, which it then replaces: readers never see a half-written map.
     """
     cols = [c for c in ("r", "c", "cur", "ref", "diff", "clipped", "level") if c in df.columns]
-    df.select(*cols).repartitionByRange("r").write.mode(mode).parquet(path)
+    bands = df.select(*cols).repartition(F.floor(F.col("r") / MAP_BAND))
+    if mode != "overwrite":
+        bands.write.mode(mode).parquet(path)
+        return
+    beside = f"{path.rstrip('/')}.next"
+    bands.write.mode("overwrite").parquet(beside)
+    replace_path(df.sparkSession, beside, path)
