@@ -32,6 +32,17 @@ def test_npy_grid_source(spark, tmp):
     assert v is None
 
 
+def test_npy_grid_through_spark_files(spark, tmp):
+    from thermogrid.sources import npy_source as ns
+    vals = np.arange(35, dtype=np.float64).reshape(7, 5)
+    vals[2, 3] = np.nan
+    p = os.path.join(tmp, "v.npy")
+    np.save(p, vals)
+    rows = {(r.r, r.c): r.v for r in ns._read_binary(spark, "file://" + p, None, 2).collect()}
+    assert rows == {(r.r, r.c): r.v for r in read_npy_grid(spark, "file:" + p).collect()}
+    assert len(rows) == 35 and rows[(2, 3)] is None and rows[(6, 4)] == 34.0
+
+
 def test_id_list_and_registry_keep_file_order(spark, tmp):
     ids = [int(x) for x in np.random.default_rng(1).integers(0, 10**6, 3000)]
     p = os.path.join(tmp, "ids.txt")
@@ -58,6 +69,10 @@ def test_bad_id_line_fails(spark, tmp):
         f.write("1\nx2\n")
     with pytest.raises(Exception):
         fs.read_id_list(spark, p).collect()
+    with open(p, "w") as f:
+        f.write("1\n\n2\n")
+    with pytest.raises(Exception):
+        fs.read_id_list(spark, p).collect()
 
 
 def test_city_cache(spark, tmp):

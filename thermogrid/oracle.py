@@ -185,27 +185,31 @@ def keys_sql(t: str) -> str:
             f"when {a} < 2 then -0.5 * {a} * {a} * {a} + 2.5 * {a} * {a} - 4.0 * {a} + 2.0 else 0.0 end)")
 
 
-def reference_ctes(scale: float, day: int, cells: str, shift: int = 1, prefix: str = "rf",
+def reference_ctes(scale: float, day: int | None, cells: str, shift: int = 1, prefix: str = "rf",
                    clim: str = "climatology") -> dict[str, str]:
     """Lattice upsampling (J5) of day ``day`` at the cells of ``cells`` (r, c):
     16 taps -> cubic, 4 -> bilinear, else nearest existing corner, null outside
-    the lattice."""
+    the lattice. ``day`` None: ``cells`` has a ``day_number``, each row its own."""
     s = float(scale)
+    d = "day_number, " if day is None else ""
+    g_d = "g.day_number, " if day is None else ""
+    same = "l.day_number = g.day_number and " if day is None else ""
+    only = "" if day is None else f"day_number = {int(day)} and "
     bw = ("((case when t.m = 1 then g.fu else 1 - g.fu end) * "
           "(case when t.n = 1 then g.fv else 1 - g.fv end))")
     return {
         f"{prefix}_lat": f"""
-        select cast(round(latitude + 89.5) as integer) as i, cast(round(longitude + 179.5) as integer) as j,
+        select {d}cast(round(latitude + 89.5) as integer) as i, cast(round(longitude + 179.5) as integer) as j,
                climatology as val
-        from {clim} where day_number = {int(day)} and climatology is not null and not isnan(climatology)""",
+        from {clim} where {only}climatology is not null and not isnan(climatology)""",
         f"{prefix}_cells": f"""
-        select r, c, u, v, cast(floor(u) as integer) as i0, cast(floor(v) as integer) as j0,
+        select {d}r, c, u, v, cast(floor(u) as integer) as i0, cast(floor(v) as integer) as j0,
                u - floor(u) as fu, v - floor(v) as fv
-        from (select r, c, ({90.0 * s - shift} - r) / {s} + 89.5 as u, c / {s} - 180.0 + 179.5 as v from {cells})""",
+        from (select {d}r, c, ({90.0 * s - shift} - r) / {s} + 89.5 as u, c / {s} - 180.0 + 179.5 as v from {cells})""",
         f"{prefix}_taps": """
         select cast(t // 4 - 1 as integer) as m, cast(t % 4 - 1 as integer) as n from range(0, 16) x(t)""",
         f"{prefix}_agg": f"""
-        select g.r, g.c, any_value(g.u) as u, any_value(g.v) as v,
+        select {g_d}g.r, g.c, any_value(g.u) as u, any_value(g.v) as v,
                count(l.val) as n16,
                sum({keys_sql('g.fu - t.m')} * {keys_sql('g.fv - t.n')} * l.val) as cubic,
                count(*) filter (where t.m in (0, 1) and t.n in (0, 1)
@@ -215,10 +219,10 @@ def reference_ctes(scale: float, day: int, cells: str, shift: int = 1, prefix: s
                arg_min(l.val, ((g.fu - t.m) * (g.fu - t.m) + (g.fv - t.n) * (g.fv - t.n), t.m, t.n))
                  filter (where t.m in (0, 1) and t.n in (0, 1) and l.val is not null) as near
         from {prefix}_cells g cross join {prefix}_taps t
-        left join {prefix}_lat l on l.i = g.i0 + t.m and l.j = g.j0 + t.n
-        group by g.r, g.c""",
+        left join {prefix}_lat l on {same}l.i = g.i0 + t.m and l.j = g.j0 + t.n
+        group by {g_d}g.r, g.c""",
         f"{prefix}_out": f"""
-        select r, c,
+        select {d}r, c,
                case when not (u >= 0 and u <= 179 and v >= 0 and v <= 359) then null
                     when n16 = 16 then cubic when n4 = 4 then bil else near end as val,
                cast(case when not (u >= 0 and u <= 179 and v >= 0 and v <= 359) then 0
