@@ -37,7 +37,7 @@ from thermogrid.llm.lang_id import held_out
 
 BLOCK_TOKENS = 6_000_000
 WORDS_AT_ONCE = 200_000
-CELLS = 1 << 21
+CELLS = 1 << 18
 LONG_WORD = 64        # bytes with the word mark; longer words go one by one
 MARK = "▁".encode()
 ZIPF_SHIFT = 10
@@ -82,7 +82,10 @@ class Lattice:
         self.longest = max(map(len, pieces))
         self.power = np.array([pow(int(_BASE), k, 1 << 64) for k in range(LONG_WORD + 1)], np.uint64)
         keys = np.array([self._hash(np.frombuffer(p, np.uint8)[None, :])[0, -1] for p in pieces], np.uint64)
-        self.table = KeyTable(mix(keys), np.arange(len(pieces)))
+        keys = mix(keys)
+        self.table = KeyTable(keys, np.arange(len(pieces)))
+        self.some = np.zeros(1 << 20, bool)  # leading bits of the pieces: most substrings stop here
+        self.some[keys >> np.uint64(44)] = True
         self.end = float(weights[-1])
 
     @staticmethod
@@ -102,7 +105,10 @@ class Lattice:
         h = self._hash(rows)
         with np.errstate(over="ignore"):
             key = mix((h[:, e] - h[:, s] * self.power[e - s]).ravel())
-        return s, e, self.table.get(key, -1).reshape(len(rows), s.size)
+        piece = np.full(key.size, -1, np.int32)
+        maybe = np.flatnonzero(self.some[key >> np.uint64(44)])
+        piece[maybe] = self.table.get(key[maybe], -1)
+        return s, e, piece.reshape(len(rows), s.size)
 
     def _forward(self, rows, s, e, piece):
         w = np.append(self.weights, -np.inf)[piece]
@@ -163,28 +169,34 @@ class Lattice:
     def expected(self, words: list[bytes], times: np.ndarray) -> np.ndarray:
         """Expected number of each piece (the end last) over the words."""
         out = np.zeros(self.weights.size)
+        tiny = []
         for at, rows in self._groups(words):
             if rows.shape[1] == len(MARK):
                 out[-1] += times[at].sum()
                 continue
+            # Sums of products here, not of logs: a word of up to LONG_WORD bytes
+            # mostly stays far from underflow, and the others are done in logs below.
             s, e, piece = self._edges(rows)
-            alpha, w = self._forward(rows, s, e, piece)
+            w = np.append(np.exp(self.weights), 0.0)[piece]
             width = rows.shape[1]
-            beta = np.full((len(rows), width + 1), -np.inf)
-            beta[:, width] = 0
+            alpha, beta = np.zeros((len(rows), width + 1)), np.zeros((len(rows), width + 1))
+            alpha[:, 0] = beta[:, width] = 1
+            ends = np.searchsorted(e, np.arange(1, width + 2))
+            for j in range(1, width + 1):
+                a, b = ends[j - 1], ends[j]
+                alpha[:, j] = np.einsum("ij,ij->i", alpha[:, s[a]:s[a] + b - a], w[:, a:b])
             order = np.lexsort((e, s))
-            bounds = np.searchsorted(s[order], np.arange(width + 1))
+            starts = np.searchsorted(s[order], np.arange(width + 1))
             for i in range(width - 1, -1, -1):
-                k = order[bounds[i]:bounds[i + 1]]
-                x = w[:, k] + beta[:, e[k]]
-                top = x.max(axis=1)
-                top[top == -np.inf] = 0
-                with np.errstate(divide="ignore"):
-                    beta[:, i] = top + np.log(np.exp(x - top[:, None]).sum(axis=1))
-            share = np.exp(alpha[:, s] + w + beta[:, e] - alpha[:, -1:]) * times[at][:, None]
+                k = order[starts[i]:starts[i + 1]]
+                beta[:, i] = np.einsum("ij,ij->i", beta[:, i + 1:i + 1 + k.size], w[:, k])
+            total = alpha[:, -1]
+            low = total < 1e-200
+            tiny += at[low].tolist()
+            share = alpha[:, s] * w * beta[:, e] * (times[at] * ~low / np.where(low, 1, total))[:, None]
             used = piece >= 0
             out += np.bincount(piece[used], weights=share[used], minlength=out.size)
-        for i in self.long:
+        for i in (*tiny, *self.long):
             alpha, edges = self._long(MARK + words[i])
             beta = [-np.inf] * len(alpha)
             beta[-1] = 0.0
