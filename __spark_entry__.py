@@ -13,9 +13,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from thermogrid.sources import testbed as tb
-from thermogrid import oracle as O
-from thermogrid.oracle import with_fixtures as W, r6
+from fixtures import testbed as tb
+from fixtures import oracle as O
+from fixtures.oracle import with_fixtures as W, r6
 from thermogrid.operators import climatology as cl
 from thermogrid.operators import grid as gr
 from thermogrid.operators import readings as rd
@@ -238,8 +238,8 @@ def q_reference_full(spark, sf):
 
 
 def q_blur_sigma20(spark, sf):
-    rows, cols = gr.grid_shape(SCALE)
-    return gr.gaussian_blur(_near(spark, sf, SCALE), rows, cols, FULL_SIGMA).select("r", "c", _r6("v"))
+    rows, cols = gr.grid_shape(BLUR_SCALE)
+    return gr.gaussian_blur(_near(spark, sf, BLUR_SCALE), rows, cols, FULL_SIGMA).select("r", "c", _r6("v"))
 
 
 def q_anomaly_empty(spark, sf):
@@ -464,7 +464,7 @@ def q_quota_pooled(spark, sf):
 
 
 def q_gave_up(spark, sf):
-    return _cl().gave_up(tb.call_log(spark, sf))
+    return _cl().gave_up(tb.call_log(spark, sf), 2)  # with three tries the log has none
 
 
 def q_failures_running(spark, sf):
@@ -615,7 +615,8 @@ ORACLE["reference_full"] = W(f"select r, c, {r6('v')} as v, taps from ref", *_GR
     **O.reference_ctes(FULL_SCALE, ORACLE_DAY, "landcells"),
     "ref": "select m.r, m.c, o.val as v, coalesce(o.taps, 0) as taps from mask m left join rf_out o using (r, c)"})
 ORACLE["blur_sigma20"] = W(f"select r, c, {r6('v')} as v from bs_out", "stations",
-                           extra={**_NEAR1, **O.blur_ctes("near", SCALE, FULL_SIGMA, "bs")})
+                           extra={"pts": O.points_sql(BLUR_SCALE), "near": O.nearest_sql(BLUR_SCALE),
+                                  **O.blur_ctes("near", BLUR_SCALE, FULL_SIGMA, "bs")})
 ORACLE["station_anomaly"] = W(f"""
     select s.city_and_loc, s.r, s.c, {r6('s.avg_temp')} as avg_temp, {r6('f.v')} as ref,
            {r6('s.avg_temp - f.v')} as anomaly
@@ -741,8 +742,8 @@ ORACLE["quota_pooled"] = W(f"""
                        row_number() over (order by ts, event_id) - 1 as rank from call_log))""", "call_log")
 ORACLE["gave_up"] = W("""
     select request_id, count(*) as tries, count(*) filter (where status is null) as unanswered
-    from call_log where attempt <= 3 group by request_id
-    having count(*) >= 3 and count(*) filter (where status = 200) = 0""", "call_log")
+    from call_log where attempt <= 2 group by request_id
+    having count(*) >= 2 and count(*) filter (where status = 200) = 0""", "call_log")
 ORACLE["failures_running"] = W("""
     select event_id, client, cast(sum(case when status is null then 1 else 0 end) over (
              partition by client order by ts, event_id rows between unbounded preceding and current row) as bigint) as failures

@@ -3,7 +3,7 @@
 The reference ships no data; these builders turn the driver's test tables into
 readings, messages, a station registry, a request log and a climatology, always
 with Spark reading the tables, so every derived input grows with them. The
-matching DuckDB text lives in ``thermogrid.oracle``.
+matching DuckDB text lives in ``fixtures.oracle``.
 """
 
 from __future__ import annotations

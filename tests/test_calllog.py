@@ -5,7 +5,7 @@ import datetime as dt
 import numpy as np
 
 from thermogrid.operators import calllog as cl
-from thermogrid.sources import testbed as tb
+from fixtures import testbed as tb
 from conftest import SF01
 
 

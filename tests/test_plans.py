@@ -11,7 +11,7 @@ import __spark_entry__ as E
 from thermogrid.operators import grid as gr
 from thermogrid.operators import stations as st
 from thermogrid.plans import anomaly as an
-from thermogrid.sources import testbed as tb
+from fixtures import testbed as tb
 from conftest import SF001
 
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from thermogrid.sources import current_store as cs
 from thermogrid.sources import files as fs
-from thermogrid.sources import testbed as tb
+from fixtures import testbed as tb
 from thermogrid.sources.npy_source import read_npy_grid
 from conftest import SF001
 

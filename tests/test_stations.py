@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 
 from thermogrid.operators import stations as st
-from thermogrid.sources import testbed as tb
+from fixtures import testbed as tb
 from conftest import SF01
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from thermogrid.operators import readings as rd
 from thermogrid.sources import current_store as cs
-from thermogrid.sources import testbed as tb
+from fixtures import testbed as tb
 from thermogrid.sources.messages import MESSAGE_SCHEMA, read_readings_stream, write_readings
 from thermogrid.streaming import ingest as ig
 from conftest import SF001
@@ -74,6 +74,14 @@ def test_mean_last_24h_stream_equals_batch_twin(spark, tmp):
     assert got == exp
 
 
+def test_chained_windows_give_the_closed_windows_of_the_twin(spark):
+    msgs = tb.messages(spark, SF001)
+    got = {(r.city_and_loc, r.window_start): (round(r.avg_temp, 6), r.n) for r in ig.run_windows_stream_once(spark, msgs).collect()}
+    last = msgs.agg(F.max(F.unix_seconds(F.col("timestamp").cast("timestamp")))).first()[0]
+    twin = ig.mean_last_24h_batch(rd.decode_reading(msgs)).where(F.col("window_start") + 86400 <= last - 3600)
+    assert got == {(r.city_and_loc, r.window_start): (round(r.avg_temp, 6), r.n) for r in twin.collect()} and got
+
+
 def test_late_rows_beyond_watermark_are_dropped(spark, tmp):
     import datetime as dt
     src = os.path.join(tmp, "late")

@@ -101,17 +101,26 @@ def start_latest_state(messages: DataFrame, path: str, checkpoint: str | None =
 
 
 def mean_last_24h(decoded: DataFrame, watermark: str = "1 hour", key: str = "city_and_loc",
-                  ts: str = "timestamp", value: str = "temperature") -> DataFrame:
+                  ts: str = "timestamp", value: str = "temperature", chained: bool = False) -> DataFrame:
     """T4: mean per station over 24 h windows sliding by 1 h (event time).
 
     Rows later than the watermark are dropped; in append mode a window is
-    emitted once the watermark passes its end.
+    emitted once the watermark passes its end. ``chained`` first reduces the
+    readings to one row per station and hour and slides over those, so a raw row
+    is not spread over 24 windows; two stateful steps run in append mode only.
     """
     t = F.col(ts).cast("timestamp")
-    return (decoded.withColumn(ts, t).withWatermark(ts, watermark)
-            .groupBy(F.window(ts, "24 hours", "1 hour"), key)
-            .agg(F.avg(F.col(value).cast("double")).alias("avg_temp"), F.count(F.lit(1)).alias("n"))
-            .select(key, F.unix_seconds(F.col("window.start")).alias("window_start"), "avg_temp", "n"))
+    timed = decoded.withColumn(ts, t).withWatermark(ts, watermark)
+    v = F.col(value).cast("double")
+    if chained:
+        hourly = (timed.groupBy(F.window(ts, "1 hour").alias("hour"), key)
+                  .agg(F.sum(v).alias("_s"), F.count(F.lit(1)).alias("_n")))
+        wide = (hourly.groupBy(F.window("hour", "24 hours", "1 hour"), key)
+                .agg(F.sum("_s").alias("_s"), F.sum("_n").alias("n")).withColumn("avg_temp", F.col("_s") / F.col("n")))
+    else:
+        wide = (timed.groupBy(F.window(ts, "24 hours", "1 hour"), key)
+                .agg(F.avg(v).alias("avg_temp"), F.count(F.lit(1)).alias("n")))
+    return wide.select(key, F.unix_seconds(F.col("window.start")).alias("window_start"), "avg_temp", "n")
 
 
 def mean_last_24h_batch(decoded: DataFrame, key: str = "city_and_loc", ts: str = "timestamp",
@@ -196,7 +205,7 @@ def run_windows_stream_once(spark: SparkSession, messages: DataFrame, watermark:
     append mode; the windows that the watermark has closed are the result."""
     base = scratch_path(spark, "stream-windows")
     stream = _message_files(spark, messages, f"{base}/in", None)
-    q = (mean_last_24h(decode_reading(stream), watermark=watermark).writeStream.outputMode("append")
+    q = (mean_last_24h(decode_reading(stream), watermark=watermark, chained=True).writeStream.outputMode("append")
          .format("parquet").option("path", f"{base}/out").option("checkpointLocation", f"{base}/checkpoint")
          .trigger(availableNow=True).start())
     _finish(q)
