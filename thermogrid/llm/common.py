@@ -21,12 +21,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+# Settings while a step is written: smaller Arrow batches, since a row may hold a
+# long text, and shuffle files that go when the step's table is complete.
+STEP_CONF = {"spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
+             "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back: cuts the
     lineage, and the files outlive any executor."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    before = {k: spark.conf.get(k, None) for k in STEP_CONF}
+    for k, v in STEP_CONF.items():
+        spark.conf.set(k, v)
+    try:
+        df.write.parquet(path)
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def lower_ascii(c):
