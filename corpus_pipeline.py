@@ -35,7 +35,7 @@ def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, ids, and the digest of the decoded bytes."""
-    both = byte_bpe.decode(byte_bpe.encode(docs))
+    both = byte_bpe.encode(docs, decoded=True)
     return both.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids",
                        F.sha2(F.col("decoded"), 256).alias("decoded_sha256"))
 

@@ -58,6 +58,14 @@ def test_query_matches_library(spark, library):
         assert r.decoded_sha256 == hashlib.sha256(texts[r.doc_id].encode()).hexdigest()
 
 
+def test_decode_of_stored_ids(spark):
+    docs = table(spark, SF, "documents")
+    texts = {r.doc_id: r.text for r in docs.select("doc_id", "text").collect()}
+    assert {r.doc_id: bytes(r.decoded).decode() for r in B.decode(B.encode(docs)).collect()} == texts
+    odd = spark.createDataFrame([(1, None), (2, [])], "doc_id long, ids array<int>")
+    assert [bytes(r.decoded) for r in B.decode(odd).collect()] == [b"", b""]
+
+
 def test_edge_rows(spark):
     rows = [(1, None, "x", 5), (1, "", "y", 6), (None, "a b", None, 7), (1, "a b", "z", 8), (1, "a b", "z", 8)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, ids string, decoded int")

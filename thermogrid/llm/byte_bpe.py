@@ -23,7 +23,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from thermogrid.llm.common import KeyTable, filled, flat_ranges
+from thermogrid.llm.common import KeyTable, filled, flat_ranges, small_batches
 
 WIDEST = 2048          # longest piece in bytes that goes into a matrix
 CELLS = 1 << 20        # cells of one matrix
@@ -60,11 +60,8 @@ class Vocabulary:
     """Ranks, the bytes of each id and the pair table."""
 
     def __init__(self, raw: bytes, pattern: str):
-        rows = [line.split() for line in raw.splitlines() if line]
-        self.rank = {base64.b64decode(t): int(r) for t, r in rows}
-        self.bytes_of = [b""] * (max(self.rank.values()) + 1)
-        for token, r in self.rank.items():
-            self.bytes_of[r] = token
+        self.bytes_of = tokens(raw)
+        self.rank = {token: r for r, token in enumerate(self.bytes_of) if token}
         self.byte_id = np.array([self.rank[bytes([b])] for b in range(256)], np.int32)
         keys, merged = [], []
         for token, r in self.rank.items():
@@ -74,7 +71,7 @@ class Vocabulary:
                     keys.append(left << 32 | right)
                     merged.append(r)
         self.pairs = KeyTable(np.array(keys, np.uint64), np.array(merged, np.int32))
-        self.pair = dict(zip(keys, merged))
+        self.pair: dict[int, int] | None = None  # the same pairs, for pieces beyond the widest matrix
         # Whitespace is Unicode White_Space; the information separators
         # U+001C..U+001F are not in it.
         self.pattern = regex.compile(pattern)
@@ -126,6 +123,9 @@ class Vocabulary:
             rank[r[after], at[after]] = self._ranks(ids[r[after], at[after]], ids[r[after], at[after] + 1])
 
     def _merge_long(self, piece: bytes) -> list[int]:
+        if self.pair is None:
+            used = self.pairs.keys != KeyTable.EMPTY
+            self.pair = dict(zip(self.pairs.keys[used].tolist(), self.pairs.values[used].tolist()))
         ids = [int(self.byte_id[b]) for b in piece]
         n = len(ids)
         left, right, alive = list(range(-1, n - 1)), list(range(1, n + 1)), [True] * n
@@ -213,6 +213,12 @@ class Vocabulary:
         return b"".join(map(self.bytes_of.__getitem__, ids))
 
 
+def tokens(raw: bytes) -> list[bytes]:
+    """The bytes of each id (empty for an id that the file lacks)."""
+    rank = {int(r): base64.b64decode(t) for t, r in map(bytes.split, filter(None, raw.splitlines()))}
+    return [rank.get(i, b"") for i in range(max(rank) + 1)]
+
+
 class Numbering(dict):
     """Numbers pieces in the order they are met."""
 
@@ -242,14 +248,16 @@ def _vocabulary(shared) -> Vocabulary:
 def _shared(df: DataFrame, ranks_path: str | None, pattern: str | None):
     """The rank file (a fixed file of under 1 MB) and the pattern, broadcast."""
     import public_tokenizers as P
+    small_batches(df.sparkSession)
     with open(ranks_path or P.path("byte_bpe_multi_50k.tiktoken"), "rb") as f:
         raw = f.read()
     return df.sparkSession.sparkContext.broadcast((raw, pattern or P.PATTERN))
 
 
 def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ranks_path: str | None = None,
-           pattern: str | None = None) -> DataFrame:
-    """One row (id, ids array<int>) for each row of ``docs``."""
+           pattern: str | None = None, decoded: bool = False) -> DataFrame:
+    """One row (id, ids array<int>) for each row of ``docs``; with ``decoded`` also
+    the bytes that the ids decode to (the round trip in one pass)."""
     src = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     shared = _shared(docs, ranks_path, pattern)
 
@@ -265,13 +273,21 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rank
                     j += 1
                 lens, ids = voc.encode_texts(texts[i:j])
                 offsets = np.concatenate([[0], np.cumsum(lens)]).astype(np.int32)
-                yield pa.RecordBatch.from_arrays(
-                    [ident.slice(i, j - i), pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids, pa.int32()))],
-                    names=["doc_id", "ids"])
+                out = {"doc_id": ident.slice(i, j - i),
+                       "ids": pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids, pa.int32()))}
+                if decoded:
+                    flat = ids.tolist()
+                    out["decoded"] = pa.array([voc.decode_ids(flat[x:y]) for x, y in zip(offsets[:-1].tolist(), offsets[1:].tolist())],
+                                              pa.binary())
+                yield pa.RecordBatch.from_arrays(list(out.values()), names=list(out))
                 i = j
+        # the worker process lives on, for other work
+        voc.clear()
+        pa.default_memory_pool().release_unused()
 
     kind = src.schema["doc_id"].dataType.simpleString()
-    return src.mapInArrow(run, f"doc_id {kind}, ids array<int>").withColumnRenamed("doc_id", id_col)
+    return src.mapInArrow(run, f"doc_id {kind}, ids array<int>" + ", decoded binary" * decoded) \
+        .withColumnRenamed("doc_id", id_col)
 
 
 def decode(encoded: DataFrame, ids_col: str = "ids", ranks_path: str | None = None,
@@ -283,10 +299,10 @@ def decode(encoded: DataFrame, ids_col: str = "ids", ranks_path: str | None = No
     shared = _shared(encoded, ranks_path, pattern)
 
     def run(batches):
-        voc = _vocabulary(shared)
+        piece = tokens(shared.value[0]).__getitem__
         for batch in batches:
             lists = batch.column(1)
-            out = [voc.decode_ids(x.values.to_pylist()) if x.is_valid else b"" for x in lists]
+            out = [b"".join(map(piece, x.values.to_pylist())) if x.is_valid else b"" for x in lists]
             yield pa.RecordBatch.from_arrays([batch.column(0), lists, pa.array(out, pa.binary())],
                                              names=[key, ids_col, "decoded"])
 
@@ -296,7 +312,7 @@ def decode(encoded: DataFrame, ids_col: str = "ids", ranks_path: str | None = No
 
 def op10_byte_bpe(docs: DataFrame) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256."""
-    both = decode(encode(docs))
+    both = encode(docs, decoded=True)
     return both.select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),

@@ -21,16 +21,25 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-# Settings while a step is written: smaller Arrow batches, since a row may hold a
-# long text, and shuffle files that go when the step's table is complete.
-STEP_CONF = {"spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
-             "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
+# Rows of one Arrow batch: a row may hold a long text, and a batch stands in
+# memory several times on its way through a Python worker.
+BATCH_KEY, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", 2000
+# While a step is written: its shuffle files go when its table is complete.
+STEP_CONF = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Arrow batches of at most ``BATCH_ROWS`` rows from here on in this session;
+    a smaller setting stays."""
+    if not 0 < int(spark.conf.get(BATCH_KEY, "10000")) <= BATCH_ROWS:
+        spark.conf.set(BATCH_KEY, str(BATCH_ROWS))
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back: cuts the
     lineage, and the files outlive any executor."""
     spark = df.sparkSession
+    small_batches(spark)
     path = scratch_path(spark, name)
     before = {k: spark.conf.get(k, None) for k in STEP_CONF}
     for k, v in STEP_CONF.items():

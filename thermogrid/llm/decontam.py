@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from thermogrid.llm.common import SpanHash, filled, text_chunks
+from thermogrid.llm.common import SpanHash, filled, small_batches, text_chunks
 
 WINDOW = 10
 MAX_BROADCAST_BYTES = 32 << 20
@@ -122,6 +122,7 @@ class Windows:
 def benchmark_blocks(benchmark: DataFrame, max_bytes: int) -> list[list[tuple[str, str]]]:
     """The items, in lists of at most about ``max_bytes`` of text each; fetched
     one list at a time by a hash of the text when there is more than one."""
+    small_batches(benchmark.sparkSession)
     items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item_id"),
                              F.coalesce("text", F.lit("")).alias("text"))
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from thermogrid.llm.common import filled
+from thermogrid.llm.common import filled, small_batches
 
 BUCKETS = 1 << 16
 ORDERS = (1, 2, 3)
@@ -117,6 +117,7 @@ class Model:
 
 def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Model:
     """Counts over all rows with a language."""
+    small_batches(docs.sparkSession)
     src = docs.where(F.col(lang_col).isNotNull()).select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
 
     def run(batches):
@@ -159,6 +160,7 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Mo
 
 def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, lang_pred, score) for every row."""
+    small_batches(docs.sparkSession)
     src = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     shared = docs.sparkSession.sparkContext.broadcast(model)  # MAX_LANGS x BUCKETS floats at most
 
