@@ -18,9 +18,8 @@ table of words is ever whole in one place.
 Edge cases: null and empty texts are one end token. Words of any length and any
 bytes have a probability (single bytes are pieces). Rows with equal ids are rows; a null
 id counts as the empty text when dealing training and hold-out. With no training text all
-counts are zero and the weights stay at their start. ``docs`` must give the same rows
-in the same order when it is read again (files or a written table). Other columns are
-not read.
+counts are zero and the weights stay at their start. ``docs`` is read once, and the
+numbered blocks are a written table. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -219,7 +218,7 @@ class Counter(dict):
 def _blocks(batches, most: int):
     """Per block: its number, the ids, hold-out flags, tokens per text, the
     number of each token and the distinct words. A word's number is its
-    rank by frequency, then by bytes, so reading again gives the same."""
+    rank by frequency, then by bytes."""
     serial, task = 0, TaskContext.get().partitionId() << 24
     known, ids, held, counts, parts, total = Counter(), [], [], [], [], 0
 
@@ -254,34 +253,54 @@ def _blocks(batches, most: int):
         yield close()
 
 
-WORDS = "block long, word binary, number int, n long, expected double"
+WORDS = ["block", "word", "number", "n", "expected"]
+TEXTS = ["block", "doc_id", "held_out", "n", "numbers"]
 
 
-def _words(src: DataFrame, pieces: Pieces, most: int) -> DataFrame:
-    """A row for each distinct word of each block with its training count; and
-    rows without a word: the pieces' expected counts (number is the piece)."""
+def _numbered(src: DataFrame, kind: str, pieces: Pieces, most: int) -> DataFrame:
+    """Three kinds of rows from one pass, as a second pass could make other blocks.
+    With numbers: the texts as compressed lists of word numbers, sorted, as differences
+    (``TEXTS``). Without: a row for each distinct word of each block with its training
+    count; and rows without a word: the pieces' expected counts (number is the piece)."""
+    columns = {"block": pa.int64(), "word": pa.binary(), "number": pa.int32(), "n": pa.int64(), "expected": pa.float64(),
+               "doc_id": None, "held_out": pa.bool_(), "numbers": pa.binary()}
     shared = src.sparkSession.sparkContext.broadcast((pieces.bytes, pieces.start))  # one public vocabulary
 
     def run(batches):
         lattice = Lattice(*shared.value)
-        for block, _, held, counts, which, words in _blocks(batches, most):
+        pack = zstandard.ZstdCompressor(level=1)
+
+        def rows(id_type, m, **given):
+            return pa.RecordBatch.from_arrays([given[c] if c in given else pa.nulls(m, t or id_type) for c, t in columns.items()],
+                                              names=list(columns))
+
+        for block, ids, held, counts, which, words in _blocks(batches, most):
             train = np.repeat(~held, counts)
             n = np.bincount(which[train], minlength=len(words))
             for i in range(0, len(words), WORDS_AT_ONCE):
                 part = words[i:i + WORDS_AT_ONCE]
                 m = len(part)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(m, block)), pa.array(part, pa.binary()), pa.array(np.arange(i, i + m, dtype=np.int32)),
-                     pa.array(n[i:i + m]), pa.nulls(m, pa.float64())], names=["block", "word", "number", "n", "expected"])
+                yield rows(ids.type, m, block=pa.array(np.full(m, block)), word=pa.array(part, pa.binary()),
+                           number=pa.array(np.arange(i, i + m, dtype=np.int32)), n=pa.array(n[i:i + m]))
             seen = np.flatnonzero(n)
             if seen.size:
                 x = lattice.expected([words[i] for i in seen], n[seen].astype(float))
                 at = np.flatnonzero(x)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(at.size, block)), pa.nulls(at.size, pa.binary()), pa.array(at.astype(np.int32)),
-                     pa.array(np.zeros(at.size, np.int64)), pa.array(x[at])], names=["block", "word", "number", "n", "expected"])
+                yield rows(ids.type, at.size, block=pa.array(np.full(at.size, block)), number=pa.array(at.astype(np.int32)),
+                           n=pa.array(np.zeros(at.size, np.int64)), expected=pa.array(x[at]))
+            ends = np.cumsum(counts)
+            for i in range(0, len(counts), 4096):
+                numbers = []
+                for a, b in zip((ends - counts)[i:i + 4096].tolist(), ends[i:i + 4096].tolist()):
+                    x = np.sort(which[a:b])
+                    x[1:] -= x[:-1].copy()
+                    numbers.append(pack.compress(x.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()))
+                m = len(numbers)
+                yield rows(ids.type, m, block=pa.array(np.full(m, block)), doc_id=ids.slice(i, m), held_out=pa.array(held[i:i + m]),
+                           n=pa.array(counts[i:i + m]), numbers=pa.array(numbers, pa.binary()))
 
-    return src.mapInArrow(run, WORDS)
+    return src.mapInArrow(run, f"block long, word binary, number int, n long, expected double, doc_id {kind}, "
+                               "held_out boolean, numbers binary")
 
 
 def weights(words: DataFrame, pieces: Pieces) -> np.ndarray:
@@ -339,27 +358,6 @@ def _with_end(batches):
     yield None
 
 
-def _waiting(src: DataFrame, kind: str, most: int) -> DataFrame:
-    """(block, doc_id, held_out, n, numbers): the texts as compressed lists of
-    word numbers, sorted, as differences."""
-    def run(batches):
-        pack = zstandard.ZstdCompressor(level=1)
-        for block, ids, held, counts, which, _ in _blocks(batches, most):
-            ends = np.cumsum(counts)
-            numbers = []
-            for a, b in zip((ends - counts).tolist(), ends.tolist()):
-                x = np.sort(which[a:b])
-                x[1:] -= x[:-1].copy()
-                numbers.append(pack.compress(x.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()))
-            for i in range(0, len(numbers), 4096):
-                m = min(4096, len(numbers) - i)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(m, block)), ids.slice(i, m), pa.array(held[i:i + m]), pa.array(counts[i:i + m]),
-                     pa.array(numbers[i:i + m], pa.binary())], names=["block", "doc_id", "held_out", "n", "numbers"])
-
-    return src.mapInArrow(run, f"block long, doc_id {kind}, held_out boolean, n long, numbers binary")
-
-
 def _block_scores(found: pa.Table, texts: pa.Table, id_type) -> pa.Table:
     """Sums per text of one block; the TOTAL block gives one row with the sum."""
     names = ["doc_id", "held_out", "n_tokens", "n_known", "base", "score", "distinct"]
@@ -391,7 +389,8 @@ def scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", voca
     src = docs.select(F.col(id_col).alias("doc_id"), held_out(mod, id_col).alias("held_out"), F.col(text_col).alias("text"))
     kind = src.schema["doc_id"].dataType
     pieces = Pieces(vocabulary)
-    words = stored(_words(src, pieces, block_tokens), "lm-words")
+    blocks = stored(_numbered(src, kind.simpleString(), pieces, block_tokens), "lm-blocks")
+    words, texts = blocks.where("numbers is null").select(*WORDS), blocks.where("numbers is not null").select(*TEXTS)
     total = words.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     found = _looked_up(words, pieces, weights(words, pieces))
     from pyspark.sql.pandas.types import to_arrow_type
@@ -400,7 +399,7 @@ def scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", voca
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         return _block_scores(left, right, id_type)
 
-    out = stored(found.groupBy("block").cogroup(_waiting(src, kind.simpleString(), block_tokens).groupBy("block")).applyInArrow(
+    out = stored(found.groupBy("block").cogroup(texts.groupBy("block")).applyInArrow(
         run, f"doc_id {kind.simpleString()}, held_out boolean, n_tokens long, n_known long, base double, score double, "
              "distinct long"), "lm-scores")
     distinct = out.agg(F.coalesce(F.sum("distinct"), F.lit(0))).first()[0]

@@ -22,8 +22,8 @@ join back, both of which split when one name holds many of the rows.
 Edge cases: null is empty; a text below ``WIDTH`` bytes loses nothing; overlapping
 occurrences inside one text count; every copy of a repeated string goes, the first
 included. Texts beyond ``PIECE`` bytes are read in overlapping pieces, whole. Rows
-with equal ids are rows. ``docs`` must give the same rows in the same order when it is
-read again (files or a written table). Other columns are not read.
+with equal ids are rows. ``docs`` is read once, rows are
+numbered in a written table. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -246,7 +246,7 @@ def merged(lo: np.ndarray, hi: np.ndarray):
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_bytes, spans array<struct<start,end>> of removed bytes, kept binary),
     one row per row of ``docs``."""
-    src = with_row_id(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), "_row")
+    src = stored(with_row_id(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), "_row"), "numbered")
     runs = (repeated_windows(src.select("_row", "text")).groupBy(F.col("row").alias("_row"))
             .agg(F.collect_list(F.struct("lo", "hi")).alias("runs")))
     both = src.join(stored(runs, "removed-runs"), "_row", "left").select("doc_id", "text", "runs")
