@@ -6,7 +6,7 @@ import numpy as np
 
 from thermogrid.operators import calllog as cl
 from fixtures import testbed as tb
-from conftest import SF01
+from paths import SF01
 
 
 def _queue(minutes, cap):

@@ -15,7 +15,7 @@ from thermogrid.operators import readings as rd
 from thermogrid.operators import stations as st
 from thermogrid.plans import anomaly as an
 from thermogrid.session import work_partitions
-from conftest import SF001
+from paths import SF001
 
 
 def test_reasons_of_bad_readings(spark):

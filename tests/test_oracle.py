@@ -5,7 +5,7 @@ import pytest
 
 import __spark_entry__ as E
 from oracle_check import digest, duck
-from conftest import SF001
+from paths import SF001
 
 QUERIES = E.queries()
 ORACLE = E.oracle_sql()

@@ -12,7 +12,7 @@ from thermogrid.operators import grid as gr
 from thermogrid.operators import stations as st
 from thermogrid.plans import anomaly as an
 from fixtures import testbed as tb
-from conftest import SF001
+from paths import SF001
 
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython")
 

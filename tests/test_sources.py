@@ -11,7 +11,7 @@ from thermogrid.sources import current_store as cs
 from thermogrid.sources import files as fs
 from fixtures import testbed as tb
 from thermogrid.sources.npy_source import read_npy_grid
-from conftest import SF001
+from paths import SF001
 
 
 def test_npy_grid_source(spark, tmp):

@@ -5,7 +5,7 @@ import pytest
 
 from thermogrid.operators import stations as st
 from fixtures import testbed as tb
-from conftest import SF01
+from paths import SF01
 
 
 def _walk_even(reg_rows, num_ids):

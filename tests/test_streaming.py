@@ -10,7 +10,7 @@ from thermogrid.sources import current_store as cs
 from fixtures import testbed as tb
 from thermogrid.sources.messages import MESSAGE_SCHEMA, read_readings_stream, write_readings
 from thermogrid.streaming import ingest as ig
-from conftest import SF001
+from paths import SF001
 
 
 def _as_bytes(df):
