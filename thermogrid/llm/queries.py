@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from thermogrid.llm import (byte_bpe, decontam, embed_dedup, lang_id, lattice_lm, order_minhash, quality_lm,
-                            secrets_scan, suffix_dedup, url_filter)
+                            secrets_scan, source_audit, suffix_dedup, url_filter)
 from thermogrid.llm.common import table
 
 
@@ -52,6 +52,10 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.op10_byte_bpe(table(spark, sf_dir, "documents"))
 
 
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_audit.op13_source_divergence(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_neardup": op1,
     "op2_decontamination": op2,
@@ -63,10 +67,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_lm_scoring": op8,
     "op9_embedding_neardup": op9,
     "op10_byte_bpe": op10,
+    "op13_source_divergence": op13,
 }
 
 ORACLE: dict[str, str] = {
     "op2_decontamination": decontam.OP2_SQL,
     "op6_url_filters": url_filter.OP6_SQL,
     "op9_embedding_neardup": embed_dedup.OP9_SQL,
+    "op13_source_divergence": source_audit.OP13_SQL,
 }
