@@ -14,7 +14,7 @@ SF = "/root/testdata/sf0.001"
 
 def test_one_query_per_operator():
     numbers = sorted(int(re.match(r"op(\d+)_", k)[1]) for k in Q.QUERIES)
-    assert numbers == list(range(1, 11)) and "pipeline" in E.queries()
+    assert numbers == list(range(1, 14)) and "pipeline" in E.queries()
     assert set(Q.QUERIES) <= set(E.queries()) and not set(E.CORE) & set(Q.QUERIES)
 
 
@@ -40,6 +40,9 @@ def test_contract_types(spark):
         "op8_lm_scoring": "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double",
         "op9_embedding_neardup": "vec_id bigint, n_links bigint, component_id bigint, kept boolean",
         "op10_byte_bpe": "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string",
+        "op11_spelling_variants": "word string, form string, root string, n bigint, n_near bigint, form_n bigint",
+        "op12_toxicity": "doc_id bigint, held_out boolean, score double, predicted int",
+        "op13_source_divergence": "lang string, source string, part string, item string, value bigint, rank int",
     }
     for name, columns in want.items():
         assert ", ".join(f"{c} {t}" for c, t in Q.QUERIES[name](spark, SF).dtypes) == columns

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from thermogrid.llm import (byte_bpe, decontam, embed_dedup, lang_id, lattice_lm, order_minhash, quality_lm,
-                            secrets_scan, source_audit, spelling, suffix_dedup, url_filter)
+                            secrets_scan, source_audit, spelling, suffix_dedup, toxicity, url_filter)
 from thermogrid.llm.common import table
 
 
@@ -56,6 +56,10 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.op11_spelling_variants(table(spark, sf_dir, "documents"))
 
 
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.op12_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_audit.op13_source_divergence(table(spark, sf_dir, "documents"))
 
@@ -72,6 +76,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_embedding_neardup": op9,
     "op10_byte_bpe": op10,
     "op11_spelling_variants": op11,
+    "op12_toxicity": op12,
     "op13_source_divergence": op13,
 }
 
