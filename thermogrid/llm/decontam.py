@@ -39,10 +39,11 @@ _WORD[0x80:] = np.arange(0x80, 0x100)
 
 class Words:
     """Words of a run of texts: ``data`` is their bytes, one space behind each
-    word, with the place of each word in ``data`` and in the original bytes."""
+    word, with the place of each word in ``data`` and in the original bytes; ``table``
+    maps a byte to itself or lower case if it is of a word, else to a space."""
 
-    def __init__(self, raw: np.ndarray, offsets: np.ndarray):
-        x = _WORD[raw]
+    def __init__(self, raw: np.ndarray, offsets: np.ndarray, table: np.ndarray = _WORD):
+        x = table[raw]
         inside = x != 32
         # a text's end is the end of its last word
         start = inside.copy()

@@ -27,7 +27,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from thermogrid.llm.common import lower_ascii, stored
+from thermogrid.llm.common import CHUNK_BYTES, SpanHash, flat_ranges, lower_ascii, small_batches, stored, text_chunks
+from thermogrid.llm.decontam import Words
 
 TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
 MIN_DOCS = 3
@@ -36,6 +37,13 @@ TOP = 200
 BLOCK = 64
 BUCKET_ROWS = 500_000
 DIGEST_BITS = 64
+TASK_ROWS = 1_000_000   # counts that a task sums up before it sends them
+
+_HASH = SpanHash(131)
+# byte -> itself for letters (lower-cased) and bytes of characters beyond ASCII, else a space
+_LETTER = np.full(256, 32, np.uint8)
+_LETTER[0x61:0x7B] = _LETTER[0x41:0x5B] = np.arange(0x61, 0x7B)
+_LETTER[0x80:] = np.arange(0x80, 0x100)
 
 
 def _share(count: Column, total: Column, kept: Column) -> Column:
@@ -49,41 +57,131 @@ def _apart(p: Column, q: Column) -> Column:
     return F.call_function("div", (p - q) * (p - q), q)
 
 
-def occurrences(docs: DataFrame, bits: int = DIGEST_BITS) -> DataFrame:
-    """(lang, source, term, digest, new): every occurrence of every term; ``new`` is 1 on
-    the first one of its document."""
-    terms = F.sort_array(F.regexp_extract_all(lower_ascii("text"), F.lit(TERM), F.lit(0)))
-    rows = docs.select("lang", "source", terms.alias("t"))
-    rows = rows.select("lang", "source", F.explode(F.arrays_zip(
-        F.col("t").alias("term"), F.concat(F.array(F.lit(None).cast("string")), "t").alias("before"))).alias("x"))
-    digest = F.xxhash64("x.term")
-    if bits < 64:
-        digest = F.shiftrightunsigned(digest, 64 - bits)
-    return rows.where("x.term is not null").select(
-        "lang", "source", F.col("x.term").alias("term"), digest.alias("digest"),
-        F.when(F.col("x.before") == F.col("x.term"), 0).otherwise(1).alias("new"))
-
-
-def _counted(rows: DataFrame, *key: str) -> DataFrame:
-    return rows.groupBy("lang", "source", *key).agg(F.count(F.lit(1)).alias("c"), F.sum("new").alias("d"))
+def _digests(raw: np.ndarray, offsets: np.ndarray, bits: int) -> tuple[Words, np.ndarray]:
+    w = Words(raw, offsets, _LETTER)
+    h = _HASH.spans(_HASH.prefix(w.data), w.start, w.end) if w.count else np.zeros(0, np.uint64)
+    return w, h >> np.uint64(64 - bits)
+
+
+def _runs(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """An order that puts equal values together, and the number of each place's value."""
+    order = np.argsort(h)  # not stable, which numpy does several times faster
+    h = h[order]
+    new = np.ones(h.size, bool)
+    new[1:] = h[1:] != h[:-1]
+    return order, np.cumsum(new) - 1
+
+
+def _summed(parts: list[np.ndarray]) -> np.ndarray:
+    """Columns (group, digest, occurrences, documents), one for each group and digest."""
+    x = np.concatenate(parts, axis=1)
+    if not x.shape[1]:
+        return x
+    order, value = _runs(x[1])
+    both = value * (int(x[0].max()) + 1) + x[0, order]
+    again = np.argsort(both)
+    both, order = both[again], order[again]
+    first = np.flatnonzero(np.concatenate([[True], both[1:] != both[:-1]]))
+    return np.concatenate([x[:2, order[first]], np.stack([np.add.reduceat(x[k, order], first) for k in (2, 3)])])
+
+
+def digest_counts(docs: DataFrame, bits: int = DIGEST_BITS) -> DataFrame:
+    """(lang, source, digest, c, d): occurrences of each term and documents with it,
+    summed within each task already."""
+    small_batches(docs.sparkSession)
+
+    def run(batches):
+        groups: dict[tuple[str, str], int] = {}
+        held: list[np.ndarray] = []
+        rows = 0
+
+        def out(x: np.ndarray):
+            names = list(groups)
+            for i in range(0, x.shape[1], 1 << 16):
+                part = x[:, i:i + (1 << 16)]
+                number, of = np.unique(part[0], return_inverse=True)
+                take = pa.array(of)
+                yield pa.RecordBatch.from_arrays(
+                    [*[pa.array([names[k][j] for k in number.tolist()], pa.string()).take(take) for j in (0, 1)],
+                     *[pa.array(part[k]) for k in (1, 2, 3)]], names=["lang", "source", "digest", "c", "d"])
+
+        for batch in batches:
+            keys = list(zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()))
+            group = np.fromiter((groups.setdefault(k, len(groups)) for k in keys), np.int64, len(keys))
+            for i, _, raw, offsets in text_chunks(batch.column(0)):
+                w, h = _digests(raw, offsets, bits)
+                if not h.size:
+                    continue
+                order, value = _runs(h)
+                distinct = h[order][np.concatenate([[True], value[1:] != value[:-1]])].view(np.int64)
+                both = np.sort(value * offsets.size + w.of[order])  # (digest, document)
+                first = np.flatnonzero(np.concatenate([[True], both[1:] != both[:-1]]))
+                value, of = np.divmod(both[first], offsets.size)
+                held.append(np.stack([group[i + of], distinct[value], np.diff(np.append(first, h.size)),
+                                      np.ones(first.size, np.int64)]))
+                rows += first.size
+                if rows > TASK_ROWS:
+                    held = [_summed(held)]
+                    rows = held[0].shape[1]
+                    if rows > TASK_ROWS // 2:
+                        yield from out(held[0])
+                        held, rows = [], 0
+        if held:
+            yield from out(_summed(held))
+
+    return (docs.select("text", "lang", "source").mapInArrow(run, "lang string, source string, digest long, c long, d long")
+            .groupBy("lang", "source", "digest").agg(F.sum("c").alias("c"), F.sum("d").alias("d")))
+
+
+def dictionary(docs: DataFrame, bits: int = DIGEST_BITS) -> DataFrame:
+    """(term, digest) of the distinct terms. A task sends one string per digest of a run of
+    texts, and each one whose bytes differ from that."""
+    small_batches(docs.sparkSession)
+
+    def run(batches):
+        for batch in batches:
+            for _, _, raw, offsets in text_chunks(batch.column(0), 4 * CHUNK_BYTES):
+                w, h = _digests(raw, offsets, bits)
+                if not h.size:
+                    continue
+                order, value = _runs(h)
+                first = order[np.concatenate([[True], value[1:] != value[:-1]])]
+                head = np.empty(h.size, np.int64)
+                head[order] = first[value]
+                lens = w.end - w.start
+                send = lens != lens[head]
+                send[first] = True
+                same = np.flatnonzero(~send)
+                differ = w.data[flat_ranges(w.start[same], lens[same])] != w.data[flat_ranges(w.start[head[same]], lens[same])]
+                if differ.any():
+                    send[same[np.unique(np.repeat(np.arange(same.size), lens[same])[differ])]] = True
+                at = np.flatnonzero(send)
+                ends = np.concatenate([[0], np.cumsum(lens[at])]).astype(np.int32)
+                data = w.data[flat_ranges(w.start[at], lens[at])]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.StringArray.from_buffers(at.size, pa.py_buffer(ends.tobytes()), pa.py_buffer(data.tobytes())),
+                     pa.array(h[at].view(np.int64))], names=["term", "digest"])
+
+    return docs.select("text").mapInArrow(run, "term string, digest long").distinct()
 
 
 def term_counts(docs: DataFrame, min_docs: int, bits: int) -> tuple[DataFrame, DataFrame]:
     """(lang, source, digest, part, c, all) of the kept terms, ``all`` over the language, and
-    the dictionary (digest, part, term); ``part`` is 0 unless several strings share a digest."""
-    rows = occurrences(docs, bits)
-    words = stored(rows.where("new = 1").select("term", "digest").distinct(), "terms")
-    split = (words.groupBy("digest").agg(F.min("term").alias("lo"), F.max("term").alias("hi"))
-             .where("lo <> hi").select("digest"))
+    the dictionary (term, digest, part); ``part`` is 0 unless several strings share a digest."""
+    words = stored(dictionary(docs, bits), "terms")
+    split = stored(words.groupBy("digest").agg(F.min("term").alias("lo"), F.max("term").alias("hi"))
+                   .where("lo <> hi").select("digest"), "split-digests")
     names = words.withColumn("part", F.lit(0))
-    counts = _counted(rows, "digest").withColumn("part", F.lit(0))
-    split = stored(split, "split-digests")
+    counts = digest_counts(docs, bits).withColumn("part", F.lit(0))
     if not split.isEmpty():
         numbered = stored(words.join(split, "digest").withColumn(
             "part", F.row_number().over(Window.partitionBy("digest").orderBy("term"))), "split-terms")
         names = names.join(split, "digest", "left_anti").unionByName(numbered)
-        again = rows.drop("digest").join(numbered, "term")
-        counts = counts.join(split, "digest", "left_anti").unionByName(_counted(again, "digest", "part"), allowMissingColumns=True)
+        found = docs.select("lang", "source", F.regexp_extract_all(lower_ascii("text"), F.lit(TERM), F.lit(0)).alias("t"))
+        each = lambda t, new: found.select("lang", "source", F.explode(t).alias("term"), F.lit(new).alias("d"))
+        again = (each(F.col("t"), 0).unionByName(each(F.array_distinct("t"), 1)).join(numbered, "term")
+                 .groupBy("lang", "source", "digest", "part").agg(F.sum(1 - F.col("d")).alias("c"), F.sum("d").alias("d")))
+        counts = counts.join(split, "digest", "left_anti").unionByName(again)
     same = Window.partitionBy("lang", "digest", "part")
     kept = (counts.withColumn("docs", F.sum("d").over(same)).withColumn("all", F.sum("c").over(same))
             .where(F.col("docs") >= min_docs).select("lang", "source", "digest", "part", "c", "all"))
