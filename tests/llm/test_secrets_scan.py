@@ -63,6 +63,20 @@ def test_plan_is_native(spark):
     assert not re.search("Python|Arrow|Pandas", plan)
 
 
+def test_redact_keeps_columns_of_any_name(spark):
+    names = ["_row", "_parts", "_cut", "_m0", "_m5", "c0", "r", "start", "kind"]
+    rows = [(i, t, *range(100 * i, 100 * i + len(names)), -1) for i, t in enumerate(MADE)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, " + ", ".join(f"{n} int" for n in names) + ", n_chars int")
+    got = sorted(map(tuple, S.redact(docs).collect()))
+    assert S.redact(docs).columns == docs.columns
+    assert [g[:1] + g[2:-1] for g in got] == [r[:1] + r[2:-1] for r in rows]
+    for g, t in zip(got, MADE):
+        if brute(t)[4]:
+            assert S.MASK in g[1] and g[-1] == len(g[1])
+        else:
+            assert g[1] == t and g[-1] == -1
+
+
 def test_repeated_and_empty(spark):
     docs = spark.createDataFrame([(1, "token=abcdef"), (1, "token=abcdef"), (None, None)], "doc_id long, text string")
     got = S.op5_secret_scans(docs)

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from thermogrid.session import scratch_path
+from thermogrid.session import delete_path, scratch_path
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -49,7 +51,44 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.stored_path = path
+    for made in _SCOPES:
+        made.append(path)
+    return out
+
+
+# Lists that the paths of tables written by :func:`stored` are added to.
+_SCOPES: list[list[str]] = []
+
+
+@contextmanager
+def intermediates():
+    """The list of paths that :func:`stored` writes inside the ``with`` block."""
+    made: list[str] = []
+    _SCOPES.append(made)
+    try:
+        yield made
+    finally:
+        _SCOPES[:] = [x for x in _SCOPES if x is not made]
+
+
+def discard_paths(spark: SparkSession, paths: list[str], reader: DataFrame | None = None) -> list[str]:
+    """Delete those of ``paths`` that ``reader`` does not read. Returns the others."""
+    files = reader.inputFiles() if reader is not None else []
+    kept = [p for p in paths if any(f"/{p.rstrip('/').rsplit('/', 1)[-1]}/" in f for f in files)]
+    for p in set(paths) - set(kept):
+        delete_path(spark, p)
+    return kept
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete the files of :func:`stored` tables that nothing will read again; other
+    DataFrames are left alone."""
+    for df in tables:
+        path = getattr(df, "stored_path", None) if "stored_path" in vars(df) else None
+        if path:
+            delete_path(df.sparkSession, path)
 
 
 def lower_ascii(c):

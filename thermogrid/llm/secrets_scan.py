@@ -138,9 +138,13 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
 
 def redact(docs: DataFrame, text_col: str = "text", mask: str = MASK) -> DataFrame:
     """``docs`` with every reported span replaced by ``mask``; overlapping spans
-    are one. Texts without a match are not moved."""
+    are one. Texts without a match are not moved. Inside, the columns of ``docs`` stand
+    under their numbers, so any name may occur among them."""
     columns = docs.columns
-    held = stored(_parts(with_row_id(docs, "_row"), F.col(text_col)), "secret-docs")
+    number = [f"c{i}" for i in range(len(columns))]
+    name = number[columns.index(text_col)]
+    text = F.col(name)
+    held = stored(_parts(with_row_id(docs.toDF(*number), "_row"), text), "secret-docs")
     spans = _linked(_spans(held.where(F.size("_parts") > 0).select("_row", "_parts")))
     order = Window.partitionBy("_row").orderBy("start", "end")
     reach = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
@@ -149,18 +153,18 @@ def redact(docs: DataFrame, text_col: str = "text", mask: str = MASK) -> DataFra
             .groupBy("_row", "run").agg(F.min("start").alias("s"), F.max("end").alias("e"))
             .groupBy("_row").agg(F.sort_array(F.collect_list(F.struct("s", "e"))).alias("_cut")))
     both = held.where(F.size("_parts") > 0).join(runs, "_row", "left")
-    text = F.col(text_col)
     pieces = F.transform("_cut", lambda x, i: F.concat(
         text.substr(F.when(i == 0, 1).otherwise(F.element_at("_cut", F.greatest(i, F.lit(1)))["e"] + 1).cast("int"),
                     (x["s"] - F.when(i == 0, 0).otherwise(F.element_at("_cut", F.greatest(i, F.lit(1)))["e"])).cast("int")),
         F.lit(mask)))
     rest = text.substr((F.element_at("_cut", -1)["e"] + 1).cast("int"), F.length(text))
     clean = F.when(F.col("_cut").isNull(), text).otherwise(F.concat(F.array_join(pieces, ""), rest))
-    done = both.withColumn(text_col, clean)
+    done = both.withColumn(name, clean)
     if "n_chars" in columns:
-        done = done.withColumn("n_chars", F.when(F.col("_cut").isNull(), F.col("n_chars"))
-                               .otherwise(F.length(text_col).cast(docs.schema["n_chars"].dataType)))
-    return held.where(F.size("_parts") == 0).select(*columns).unionByName(done.select(*columns))
+        size = number[columns.index("n_chars")]
+        done = done.withColumn(size, F.when(F.col("_cut").isNull(), F.col(size))
+                               .otherwise(F.length(text).cast(docs.schema["n_chars"].dataType)))
+    return held.where(F.size("_parts") == 0).select(*number).unionByName(done.select(*number)).toDF(*columns)
 
 
 def op5_secret_scans(docs: DataFrame) -> DataFrame:

@@ -129,8 +129,9 @@ def digest_counts(docs: DataFrame, bits: int = DIGEST_BITS) -> DataFrame:
         if held:
             yield from out(_summed(held))
 
+    # dealt by (lang, digest), which serves the sums over a language as well
     return (docs.select("text", "lang", "source").mapInArrow(run, "lang string, source string, digest long, c long, d long")
-            .groupBy("lang", "source", "digest").agg(F.sum("c").alias("c"), F.sum("d").alias("d")))
+            .repartition("lang", "digest").groupBy("lang", "source", "digest").agg(F.sum("c").alias("c"), F.sum("d").alias("d")))
 
 
 def dictionary(docs: DataFrame, bits: int = DIGEST_BITS) -> DataFrame:

@@ -34,7 +34,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from thermogrid.llm.common import SpanHash, flat_ranges, mix, stored, text_chunks, with_row_id
+from thermogrid.llm.common import (SpanHash, discard, discard_paths, flat_ranges, intermediates, mix, stored, text_chunks,
+                                   with_row_id)
 
 # Bytes of text per vectorised step: its arrays of 8 bytes per byte stay in the cache.
 STEP = 1 << 18
@@ -118,18 +119,21 @@ def _sampled(src: DataFrame) -> DataFrame:
 
 def settled(rows: DataFrame, group: list[str], name: str, count, label: str):
     """One level. ``rows`` carry a group, a name and how many strings they stand for.
-    Returns (repeated, open): rows whose name occurs twice, and one row per name of
-    groups with several names, with ``total`` strings, for the next level."""
+    Returns (repeated, open, tables): rows whose name occurs twice, one row per name of
+    groups with several names, with ``total`` strings, for the next level, and the
+    written tables that both read."""
     keys = stored(rows.groupBy(*group).agg(F.sum(count).alias("t"), F.min(name).alias("x"), F.max(name).alias("y"))
                   .where("t > 1"), label)
     met = stored(rows.join(keys, group), label)
+    discard(keys)
     one = met.where("x = y").drop("t", "x", "y")
     many = met.where("x <> y").drop("t", "x", "y")
     names = stored(many.groupBy(*group, name).agg(F.sum(count).alias("total"), F.min("sid").alias("head")), label)
-    many = stored(many.join(names, [*group, name]), label)
+    several = stored(many.join(names, [*group, name]), label)
+    discard(names)
     columns = one.columns
-    return (one.unionByName(many.where("total > 1").select(*columns)),
-            many.where("sid = head").select(*columns, "total"))
+    return (one.unionByName(several.where("total > 1").select(*columns)),
+            several.where("sid = head").select(*columns, "total"), (met, several))
 
 
 def _contexts(src: DataFrame, open_: DataFrame) -> DataFrame:
@@ -220,16 +224,21 @@ def _windows(open_: DataFrame, contexts: DataFrame) -> DataFrame:
 def repeated_windows(src: DataFrame) -> DataFrame:
     """(row, lo, hi): runs of starts of repeated windows, for ``src`` (_row, text)."""
     level1 = stored(_sampled(src), "samples")
-    same, open1 = settled(level1.withColumn("one", F.lit(1)), ["gram"], "name", F.col("one"), "names")
+    same, open1, held = settled(level1.withColumn("one", F.lit(1)), ["gram"], "name", F.col("one"), "names")
+    discard(level1)
+    first = stored(same.select("row", "lo", "hi"), "runs")
     contexts = stored(_contexts(src, open1), "contexts")
-    same2, open2 = settled(_bands(contexts).withColumnRenamed("total", "n"), ["gram", "band", "core"], "name", F.col("n"), "band-names")
+    discard(*held)
+    same2, open2, held = settled(_bands(contexts).withColumnRenamed("total", "n"), ["gram", "band", "core"], "name", F.col("n"), "band-names")
     # what stands for several equal contexts is settled above; it is only compared with
-    alone2 = same2.where("n = 1")
+    second = stored(same2.where("n = 1").select("row", "lo", "hi"), "runs")
     last = stored(_windows(open2.drop("n"), contexts), "windows")
+    discard(contexts, *held)
     twice = stored(last.groupBy("gram", "distance", "name").agg(F.sum("total").alias("t")).where("t > 1"), "window-names")
-    same3 = last.where("total = 1").join(twice, ["gram", "distance", "name"])
-    return (same.select("row", "lo", "hi").unionByName(alone2.select("row", "lo", "hi"))
-            .unionByName(same3.select("row", "lo", F.col("lo").alias("hi"))))
+    third = stored(last.where("total = 1").join(twice, ["gram", "distance", "name"])
+                   .select("row", "lo", F.col("lo").alias("hi")), "runs")
+    discard(last, twice)
+    return first.unionByName(second).unionByName(third)
 
 
 def merged(lo: np.ndarray, hi: np.ndarray):
@@ -279,6 +288,10 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 
 def op3_suffix_dedup(docs: DataFrame) -> DataFrame:
-    got = remove_repeats(docs)
-    return stored(got.select("doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).cast("long").alias("n_removed"),
-                      F.size("spans").cast("long").alias("n_spans"), F.sha2(F.col("kept"), 256).alias("kept_sha256")), "kept-digests")
+    with intermediates() as made:
+        got = remove_repeats(docs)
+        out = stored(got.select("doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).cast("long").alias("n_removed"),
+                                F.size("spans").cast("long").alias("n_spans"), F.sha2(F.col("kept"), 256).alias("kept_sha256")),
+                     "kept-digests")
+    discard_paths(docs.sparkSession, made, out)
+    return out
