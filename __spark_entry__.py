@@ -19,6 +19,7 @@ from fixtures.oracle import with_fixtures as W, r6
 from thermogrid.operators import climatology as cl
 from thermogrid.operators import grid as gr
 from thermogrid.operators import readings as rd
+from thermogrid.operators import scattered as sc
 from thermogrid.plans import anomaly as an
 
 # Oracle settings (FIXTURES.md section 3): day 14, scale 1 (180 x 360) grids,
@@ -242,6 +243,17 @@ def q_blur_sigma20(spark, sf):
     return gr.gaussian_blur(_near(spark, sf, BLUR_SCALE), rows, cols, FULL_SIGMA).select("r", "c", _r6("v"))
 
 
+def q_blur_full_grid(spark, sf):
+    # the reference's own job: 900 x 1800 cells, sigma 20
+    rows, cols = gr.grid_shape(FULL_SCALE)
+    return gr.gaussian_blur(_near(spark, sf, FULL_SCALE), rows, cols, FULL_SIGMA).select("r", "c", _r6("v"))
+
+
+def q_interpolate_scattered(spark, sf):
+    rows, cols = gr.grid_shape(SCALE)
+    return sc.interpolate_scattered(tb.scattered(spark, sf), rows, cols).select("r", "c", _r6("v"))
+
+
 def q_anomaly_empty(spark, sf):
     # the map as of a moment before the first reading: no station, so the
     # current model is all zeros and unmasked
@@ -617,6 +629,16 @@ ORACLE["reference_full"] = W(f"select r, c, {r6('v')} as v, taps from ref", *_GR
 ORACLE["blur_sigma20"] = W(f"select r, c, {r6('v')} as v from bs_out", "stations",
                            extra={"pts": O.points_sql(BLUR_SCALE), "near": O.nearest_sql(BLUR_SCALE),
                                   **O.blur_ctes("near", BLUR_SCALE, FULL_SIGMA, "bs")})
+ORACLE["blur_full_grid"] = W(f"select r, c, {r6('v')} as v from bf_out", "stations",
+                             extra={"pts": O.points_sql(FULL_SCALE), "near": O.nearest_sql(FULL_SCALE),
+                                    **O.blur_lines_ctes("near", FULL_SCALE, FULL_SIGMA, "bf")})
+ORACLE["interpolate_scattered"] = W("select * from field", extra={
+    "spots": """select c_custkey as id, 90.0::double - ((c_custkey * 104729) % 1800 - 900) / 10.0::double
+                       + ((c_custkey * c_custkey * 31) % 1009) / 8072.0::double as x,
+                       ((c_custkey * 7919) % 3600 - 1800) / 10.0::double + 180.0::double
+                       + ((c_custkey * c_custkey * 17) % 1013) / 8104.0::double as y,
+                       c_acctbal / 100.0::double as v from customer""",
+    "field": O.scattered_sql("spots", *O.grid_dims(SCALE))})
 ORACLE["station_anomaly"] = W(f"""
     select s.city_and_loc, s.r, s.c, {r6('s.avg_temp')} as avg_temp, {r6('f.v')} as ref,
            {r6('s.avg_temp - f.v')} as anomaly
@@ -791,6 +813,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "nearest_full": q_nearest_full,
     "reference_full": q_reference_full,
     "blur_sigma20": q_blur_sigma20,
+    "blur_full_grid": q_blur_full_grid,
+    "interpolate_scattered": q_interpolate_scattered,
     "reference_stored": q_reference_stored,
     "id_list": q_id_list,
     "city_registry": q_city_registry,

@@ -179,6 +179,36 @@ def blur_ctes(src: str, scale: float, sigma: float, prefix: str = "bl") -> dict[
     }
 
 
+def blur_lines_ctes(src: str, scale: float, sigma: float, prefix: str = "bn") -> dict[str, str]:
+    """The same blur for full grids: each line as a list with mirrored ends, and for each
+    cell the inner product of a stretch of it with the list of taps."""
+    rows, cols = grid_dims(scale)
+    radius = int(4.0 * float(sigma) + 0.5)
+    s2 = float(sigma) * float(sigma)
+
+    def lines(table, line, pos, n):
+        spot = f"((i + {4 * n}) % {2 * n})"
+        at = f"case when {spot} >= {n} then {2 * n - 1} - {spot} else {spot} end"
+        return f"""
+        select {line}, list_transform(range({-radius}, {n + radius}), lambda i: vals[{at} + 1]) as vals
+        from (select {line}, list(v order by {pos}) as vals from {table} group by {line})"""
+
+    def cells(table, line, pos, n):
+        return f"""
+        select {line}, {pos}, list_inner_product(vals[{pos} + 1:{pos} + {2 * radius + 1}], (select ws from {prefix}_taps)) as v
+        from (select {line}, vals, unnest(range(0, {n}))::int as {pos} from {table})"""
+
+    return {
+        f"{prefix}_taps": f"""
+        select list(w order by k) as ws from (
+          select k, exp(-0.5 / {s2} * k * k) / sum(exp(-0.5 / {s2} * k * k)) over () as w from range({-radius}, {radius + 1}) t(k))""",
+        f"{prefix}_down": lines(src, "c", "r", rows),
+        f"{prefix}_p1": cells(f"{prefix}_down", "c", "r", rows),
+        f"{prefix}_along": lines(f"{prefix}_p1", "r", "c", cols),
+        f"{prefix}_out": cells(f"{prefix}_along", "r", "c", cols),
+    }
+
+
 def keys_sql(t: str) -> str:
     a = f"abs({t})"
     return (f"(case when {a} <= 1 then 1.5 * {a} * {a} * {a} - 2.5 * {a} * {a} + 1 "
@@ -230,3 +260,89 @@ def reference_ctes(scale: float, day: int | None, cells: str, shift: int = 1, pr
                     as integer) as taps
         from {prefix}_agg""",
     }
+
+
+def scattered_sql(pts: str, rows: int, cols: int) -> str:
+    """Delaunay triangles of the table ``pts`` (id, x, y, v) by brute force over all edges and
+    points, least-squares slopes, and the C1 cubic of each cell's triangle: r, c, v.
+
+    The centres of the circles through an edge lie on its bisector; every other point bounds
+    their height from above or below. The edge is one of the triangulation if a height
+    remains, and the point of the least upper bound is the apex on that side. A first
+    look at the points around an end (a necessary condition) thins out the edges.
+    """
+    height = ("(((q.x - mx) * (q.x - mx) + (q.y - my) * (q.y - my) - (ex * ex + ey * ey) / 4) "
+              "/ (ex * (q.y - p.y) - ey * (q.x - p.x)))")
+    bounds = f"""min({height}) filter (where ex * (q.y - p.y) - ey * (q.x - p.x) > 0) as up,
+                 max({height}) filter (where ex * (q.y - p.y) - ey * (q.x - p.x) < 0) as down"""
+    edge = "a.x - p.x as ex, a.y - p.y as ey, (a.x + p.x) / 2 as mx, (a.y + p.y) / 2 as my"
+
+    def along(i, x, y):
+        return f"(v{i} + (({x}) - x{i}) * gx{i} / 3 + (({y}) - y{i}) * gy{i} / 3)"
+
+    three = "abc"
+    other = {k: [m for m in three if m != k] for k in three}
+    third = ", ".join(f"{along(i, f'x{j}', f'y{j}')} as t{i}{j}" for i in three for j in other[i])
+    inward = ", ".join(f"{along(i, 'mx', 'my')} as w{i}" for i in three)
+    foot = ", ".join(f"((mx - x{i}) * (x{j} - x{i}) + (my - y{i}) * (y{j} - y{i})) / ((x{j} - x{i}) ** 2 + (y{j} - y{i}) ** 2) as s{i}{j}"
+                     for i, j in ("ab", "bc", "ca"))
+    across = ", ".join(f"((-(1 - s{i}{j}) * v{i} - s{i}{j} * t{i}{j} + w{i}) + (-(1 - s{i}{j}) * t{j}{i} - s{i}{j} * v{j} + w{j})) / 2 "
+                       f"+ (1 - s{i}{j}) * t{i}{j} + s{i}{j} * t{j}{i} as e{i}{j}" for i, j in ("ab", "bc", "ca"))
+    e = lambda i, j: f"e{i}{j}" if i + j in ("ab", "bc", "ca") else f"e{j}{i}"
+    ring = ", ".join(f"(w{i} + {e(i, other[i][0])} + {e(i, other[i][1])}) / 3 as r{i}" for i in three)
+
+    def patch(k):
+        i, j = other[k]
+        s, u, w = f"(l{i} - l{k})", f"(l{j} - l{k})", f"(3 * l{k})"
+        return (f"v{i} * {s} ** 3 + v{j} * {u} ** 3 + (ra + rb + rc) / 3 * {w} ** 3 + 3 * (t{i}{j} * {s} * {s} * {u} + t{j}{i} * {s} * {u} * {u} "
+                f"+ w{i} * {s} * {s} * {w} + w{j} * {u} * {u} * {w} + r{i} * {s} * {w} * {w} + r{j} * {u} * {w} * {w}) + 6 * {e(i, j)} * {s} * {u} * {w}")
+
+    xy = ", ".join(f"{c}{k}" for k in three for c in "xyv")
+    return f"""
+    with near as materialized (
+      select p.id as p, q.id as q from {pts} p join {pts} q on p.id <> q.id
+      qualify row_number() over (partition by p.id order by (p.x - q.x) ** 2 + (p.y - q.y) ** 2, q.id) <= 40),
+    maybe as materialized (
+      select pid, aid from (
+        select p.id as pid, a.id as aid, {bounds}
+        from (select p.id, p.x, p.y, a.id as a, {edge} from {pts} p join {pts} a on p.id <> a.id) p
+        join {pts} a on a.id = p.a join near n on n.p = p.id join {pts} q on q.id = n.q and q.id <> a.id
+        group by p.id, a.id)
+      where up is null or down is null or down <= up),
+    edges as materialized (
+      select * from (
+        select p.id as pid, p.a as aid, arg_min(q.id, {height}) filter (where ex * (q.y - p.y) - ey * (q.x - p.x) > 0) as apex, {bounds}
+        from (select p.id, p.x, p.y, a.id as a, {edge} from maybe m join {pts} p on p.id = m.pid join {pts} a on a.id = m.aid) p
+        join {pts} q on q.id <> p.id and q.id <> p.a
+        group by p.id, p.a)
+      where up is not null and (down is null or down <= up)),
+    tri as materialized (
+      select a.x as xa, a.y as ya, a.v as va, b.x as xb, b.y as yb, b.v as vb, c.x as xc, c.y as yc, c.v as vc, a.id as ia, b.id as ib, c.id as ic
+      from edges e join {pts} a on a.id = e.pid join {pts} b on b.id = e.aid join {pts} c on c.id = e.apex
+      where e.pid < e.aid and e.pid < e.apex),
+    spokes as materialized (
+      {" union all ".join(f"select i{i} as id, x{j} - x{i} as dx, y{j} - y{i} as dy, v{j} - v{i} as dv from tri" for i in three for j in other[i])}),
+    sums as materialized (
+      select id, sum(dx * dx / d) as xx, sum(dx * dy / d) as xy, sum(dy * dy / d) as yy, sum(dx * dv / d) as xv, sum(dy * dv / d) as yv
+      from (select *, dx * dx + dy * dy as d from spokes) group by id),
+    slopes as materialized (
+      select id, (xv * yy - yv * xy) / (xx * yy - xy * xy) as gx, (yv * xx - xv * xy) / (xx * yy - xy * xy) as gy from sums),
+    full_tri as materialized (
+      select tri.*, (xa + xb + xc) / 3 as mx, (ya + yb + yc) / 3 as my, {", ".join(f"g{k}.gx as gx{k}, g{k}.gy as gy{k}" for k in three)}
+      from tri {" ".join(f"join slopes g{k} on g{k}.id = i{k}" for k in three)}),
+    one as materialized (select *, {third}, {inward}, {foot} from full_tri),
+    two as materialized (select *, {across} from one),
+    net as materialized (select *, {ring} from two),
+    cells as materialized (select cast(id // {cols} as integer) as r, cast(id % {cols} as integer) as c from range(0, {rows * cols}) t(id)),
+    met as materialized (
+      select cells.r, cells.c, net.*, (xb - xa) * (yc - ya) - (yb - ya) * (xc - xa) as area
+      from cells join net on cells.r >= least(xa, xb, xc) and cells.r <= greatest(xa, xb, xc)
+                         and cells.c >= least(ya, yb, yc) and cells.c <= greatest(ya, yb, yc)),
+    bary as materialized (
+      select *, 1 - la - lb as lc from (
+        select *, ((xb - r) * (yc - c) - (yb - c) * (xc - r)) / area as la, ((xc - r) * (ya - c) - (yc - c) * (xa - r)) / area as lb from met)),
+    vals as materialized (
+      select r, c, least(la, lb, lc) as inner_, case when la <= lb and la <= lc then {patch('a')} when lb <= lc then {patch('b')} else {patch('c')} end as v
+      from bary where least(la, lb, lc) >= -1e-11)
+    select cells.r, cells.c, {r6('b.v')} as v
+    from cells left join (select r, c, arg_max(v, inner_) as v from vals group by r, c) b on b.r = cells.r and b.c = cells.c"""

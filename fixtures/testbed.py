@@ -97,6 +97,17 @@ def registry(spark: SparkSession, sf_dir: str) -> DataFrame:
                     _lon("c_custkey").alias("lon"), _lat("c_custkey").alias("lat"))
 
 
+def scattered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scattered measurements ``pid, x, y, v`` in grid units of 1 degree from ``customer``: the registry's
+    positions, shifted off their tenths, and the account balance in hundreds."""
+    c = table(spark, sf_dir, "customer")
+    k = F.col("c_custkey")
+    return c.select(k.cast("string").alias("pid"),
+                    (F.lit(90.0) - _lat("c_custkey") + F.pmod(k * k * 31, F.lit(1009)) / F.lit(8072.0)).alias("x"),
+                    (_lon("c_custkey") + F.lit(180.0) + F.pmod(k * k * 17, F.lit(1013)) / F.lit(8104.0)).alias("y"),
+                    (F.col("c_acctbal").cast("double") / F.lit(100.0)).alias("v"))
+
+
 def call_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Request log ``ts, event_id, client, request_id, attempt, status`` from
     ``events``: 50 calls per second over 10 clients, 4 attempts per request."""
