@@ -485,6 +485,36 @@ def q_failures_running(spark, sf):
 
 # ---------------------------------------------------------------- streaming twins
 
+def q_stream_ring(spark, sf):
+    # the stream whose slots expire, run to completion: the live slots of its store
+    from thermogrid.streaming.ring import run_ring_stream_once
+    return run_ring_stream_once(spark, tb.messages(spark, sf))
+
+
+def q_stream_ring_state(spark, sf):
+    # the same slots read from the state store of the stopped stream
+    from thermogrid.streaming.ring import run_ring_stream_once
+    return run_ring_stream_once(spark, tb.messages(spark, sf), state=True).select("city_and_loc", "time", "us", "partition", "offset", "temperature")
+
+
+def q_ring_batch(spark, sf):
+    from thermogrid.streaming.ring import ring_batch
+    return ring_batch(rd.decode_reading(tb.messages(spark, sf)))
+
+
+def q_incremental_refresh(spark, sf):
+    # the state after three refreshes, two of them by differences
+    from thermogrid.plans import incremental as inc
+    from thermogrid.session import scratch_path
+    rows, cols = gr.grid_shape(SCALE)
+    state, m = scratch_path(spark, "map-state"), tb.messages(spark, sf)
+    for end in ("2024-01-15", "2024-01-28", "2100-01-01"):
+        part = m.where(F.col("timestamp") < F.lit(end).cast("timestamp"))
+        means = rd.mean_by_city(rd.latest_by_key(rd.decode_reading(part)))
+        inc.refresh_state(an.station_points(means, SCALE), state, rows, cols, SIGMA)
+    return inc.read_map_state(spark, state).select("r", "c", "pid", _r6("v"), _r6("d2"), _r6("s"))
+
+
 def q_mean_last_24h(spark, sf):
     from thermogrid.streaming.ingest import mean_last_24h_batch
     good = rd.decode_reading(tb.messages(spark, sf))
@@ -784,6 +814,17 @@ ORACLE["mean_last_24h"] = W(f"""
     group by 1, 2""", "parsed")
 ORACLE["stream_latest"] = W("select * from current", "current")
 
+_LIVE = """(select *, row_number() over (partition by city_and_loc, "time" order by "timestamp" desc, "partition" desc, "offset" desc) as k
+    from parsed) where k = 1 and epoch_ms("timestamp") + 86400000 > (select max(epoch_ms("timestamp")) - 3600000 from parsed)"""
+ORACLE["stream_ring"] = ORACLE["ring_batch"] = W(f'select city_and_loc, "time", temperature from {_LIVE}', "parsed")
+ORACLE["stream_ring_state"] = W(f"""
+    select city_and_loc, "time", epoch_us("timestamp") as us, "partition"::int as "partition", "offset"::bigint as "offset", temperature
+    from {_LIVE}""", "parsed")
+ORACLE["incremental_refresh"] = W(f"""
+    select n.r, n.c, n.pid, {r6('n.v')} as v, {r6('n.d2')} as d2, {r6('b.v')} as s
+    from near n join ir_out b on b.r = n.r and b.c = n.c""", "stations",
+    extra={"pts": O.points_sql(SCALE), "near": O.nearest_sql(SCALE), **O.blur_lines_ctes("near", SCALE, SIGMA, "ir")})
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "readings_messages": q_readings_messages,
     "parse_weather": q_parse_weather,
@@ -851,6 +892,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "first_success": q_first_success,
     "mean_last_24h": q_mean_last_24h,
     "stream_latest": q_stream_latest,
+    "stream_ring": q_stream_ring,
+    "stream_ring_state": q_stream_ring_state,
+    "ring_batch": q_ring_batch,
+    "incremental_refresh": q_incremental_refresh,
 }
 
 CORE = tuple(QUERIES)  # the engine's own operators, each with an oracle

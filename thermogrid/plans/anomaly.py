@@ -65,7 +65,13 @@ def anomaly_map(means: DataFrame, clim: DataFrame, mask: DataFrame, day: int, sc
     """
     if check:
         cl.require_day(clim, day)
-    cur = _masked(mask, smoothed_model(means, scale, sigma, tile))
+    return difference_map(smoothed_model(means, scale, sigma, tile), clim, mask, day, scale, ref_row_shift, lo, hi)
+
+
+def difference_map(smooth: DataFrame, clim: DataFrame, mask: DataFrame, day: int, scale: float, ref_row_shift: int = 1,
+                   lo: float = -10.0, hi: float = 10.0) -> DataFrame:
+    """The map of :func:`anomaly_map` from a blurred field ``r, c, v`` that is already there."""
+    cur = _masked(mask, smooth)
     both = cl.add_reference(cur, cl.climatology_for_day(clim, day), scale, ref_row_shift, out="ref")
     diff = F.col("cur") - F.col("ref")
     return both.select("r", "c", "cur", "ref", diff.alias("diff"), heat_clip(diff, lo, hi).alias("clipped"),

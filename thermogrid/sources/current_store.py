@@ -7,6 +7,8 @@ rewrites the same folder instead of adding rows (idempotent); readers see the
 newest row per key. ``compact_current`` folds the log into a snapshot
 ``snapshot/upto=N``; reads take the newest complete snapshot and the batches
 behind it, by name, so neither a read nor a fold lists or scans folded data.
+A row without a temperature says that the key's value has expired: the key has no
+row until a newer one comes (the streams write none otherwise, bad values are quarantined).
 Folders that the last but one snapshot has folded are deleted.
 
 Batch ids must keep growing over the life of a store: a stream that starts on
@@ -89,7 +91,7 @@ def _newest(rows: DataFrame) -> DataFrame:
     newest = F.max(F.struct(*order, "temperature"))
     return (rows.groupBy("city_and_loc", "time").agg(newest.alias("_n"))
             .select("city_and_loc", "time", *[F.col(f"_n.{c}").alias(c) for c in order],
-                    F.col("_n.temperature").alias("temperature")))
+                    F.col("_n.temperature").alias("temperature")).where(F.col("temperature").isNotNull()))
 
 
 def read_current(spark: SparkSession, path: str, with_order: bool = False) -> DataFrame:
@@ -99,7 +101,8 @@ def read_current(spark: SparkSession, path: str, with_order: bool = False) -> Da
     rows = _rows(spark, path, upto, batches)
     if with_order:
         return _newest(rows)
-    return latest_by_key(rows, order=tuple(c for c in LOG_ORDER if c in rows.columns))
+    newest = latest_by_key(rows, order=tuple(c for c in LOG_ORDER if c in rows.columns))
+    return newest.where(F.col("temperature").isNotNull())
 
 
 def compact_current(spark: SparkSession, path: str, clean: bool = True) -> int:
