@@ -3,6 +3,7 @@
 import hashlib
 import re
 
+import numpy as np
 import pytest
 
 from thermogrid.llm import decontam as D
@@ -97,3 +98,27 @@ def test_empty_tables(tables):
     docs, bench = tables
     assert D.op2_decontamination(docs.limit(0), bench).count() == 0
     assert all(not r.contaminated for r in D.op2_decontamination(docs, bench.limit(0)).collect())
+
+
+def test_a_large_benchmark_is_built_in_arrays():
+    """4 MB of items: seconds, and no more than some multiple of the text."""
+    import pickle
+    import time
+    rng = np.random.default_rng(1)
+    words = [f"w{i:05d}" for i in range(20000)]
+    items = [(str(i), " ".join(words[k] for k in rng.integers(0, 20000, 120))) for i in range(4800)] + [("x", "short item"), ("y", "short item")]
+    t = time.time()
+    built = D.Windows(items, 10)
+    size = len(pickle.dumps(built))
+    text = sum(len(x) for _, x in items)
+    assert text > 4_000_000 and time.time() - t < 20 and size < 10 * text
+
+
+def test_windows_that_share_a_hash(monkeypatch):
+    """With every hash equal, bytes alone decide."""
+    monkeypatch.setattr(D.SpanHash, "spans", lambda self, prefix, a, b: np.full(len(a), 7 << 48, np.uint64))
+    items = [("1", "a b c"), ("2", "b c d"), ("3", "a b c"), ("4", "q")]
+    built = D.Windows(items, 3)
+    raw = np.frombuffer(b"z a b c d q", np.uint8)
+    got = sorted((int(p), n, tuple(ids)) for places, n, ids in built.scan(D.Words(raw, np.array([0, raw.size]))) for p in places)
+    assert got == [(1, 3, ("1", "3")), (2, 3, ("2",)), (5, 1, ("4",))]

@@ -33,8 +33,9 @@ def test_features_are_the_texts_ngrams():
 def test_posterior_by_hand(spark):
     docs = spark.createDataFrame([(1, "aaa bbb", "x"), (2, "ccc", "y"), (3, "ccc ddd", "y"), (4, "zzz", None)],
                                  "doc_id long, text string, lang string")
-    m = G.train(docs)
-    assert m.langs == ["x", "y"]
+    models = G.train(docs)
+    assert models.langs == ["x", "y"]
+    m = models.block(models.langs)
     seen = {"x": G.features(["aaa bbb"])[0], "y": np.concatenate([G.features([t])[0] for t in ("ccc", "ccc ddd")])}
     q = G.features(["cca"])[0]
     logs = [math.log(n / 3) + sum(math.log(((seen[k] == b).sum() + G.SMOOTH) / (seen[k].size + G.SMOOTH * G.BUCKETS)) for b in q)
@@ -54,3 +55,11 @@ def test_edge_rows(spark):
     assert G.op7_language_id(docs.limit(0)).count() == 0
     none = spark.createDataFrame([(1, "abc", None)], "doc_id long, text string, lang string")
     assert G.op7_language_id(none).collect()[0].lang_pred == "und"
+
+
+def test_more_languages_than_a_block_holds(spark):
+    """Block by block the same as at once."""
+    rows = [(i, f"{chr(97 + i % 23)}{chr(97 + i % 19)} {chr(97 + i % 17) * 3} word", f"l{i % 40:02d}") for i in range(200)] + [(900, None, "l00"), (901, "9", "l00")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    a, b = ({r.doc_id: (r.lang_pred, round(r.score, 9)) for r in G.predict(docs, G.train(docs, size=n)).collect()} for n in (256, 7))
+    assert a == b and len({x for x, _ in a.values()}) > 20 and a[900] == a[901] == ("und", 0.0)

@@ -7,8 +7,9 @@ are broadcast as a sorted set and every text is scanned whole for them,
 vectorised over the bytes of a batch; each hash hit is verified by
 comparing the bytes of the words. A word inside any verified occurrence is hit.
 
-The broadcast is limited to ``max_broadcast_bytes`` of benchmark text; a larger
-benchmark is scanned in blocks of that size, and the hits of all blocks add up.
+The windows are built once, as arrays on the driver, and broadcast: at most those of
+``max_broadcast_bytes`` of benchmark text at a time. A larger benchmark is scanned in
+blocks of that size, and the hits of all blocks add up.
 
 Edge cases: null, empty and word-less texts have no words and no hits; items
 without words have no windows; repeated items and repeated rows count as often
@@ -24,10 +25,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from thermogrid.llm.common import SpanHash, filled, small_batches, text_chunks
+from thermogrid.llm.common import SpanHash, filled, flat_ranges, small_batches, text_chunks
 
 WINDOW = 10
-MAX_BROADCAST_BYTES = 32 << 20
+MAX_BROADCAST_BYTES = 16 << 20  # of text; its windows take about seven times as much
 
 # byte -> itself for word characters (lower-cased), else a space
 _WORD = np.full(256, 32, np.uint8)
@@ -67,36 +68,59 @@ class Words:
 
 
 class Windows:
-    """The benchmark's windows, by number of words."""
+    """The benchmark's windows, by number of words, as arrays over one buffer of bytes: sorted
+    hashes of the distinct windows, their places, and the items of each."""
 
     def __init__(self, items: list[tuple[str, str]], width: int):
-        found: dict[int, dict[bytes, set[str]]] = {}
-        for ident, text in items:
-            raw = np.frombuffer((text or "").encode(), np.uint8)
-            w = Words(raw, np.array([0, raw.size]))
-            n = min(width, w.count)
-            for i in range(w.count - n + 1 if n else 0):
-                key = w.data[w.start[i]:w.end[i + n - 1]].tobytes()
-                found.setdefault(n, {}).setdefault(key, set()).add(ident)
         self.hash = SpanHash(20)
+        self.ids = [i for i, _ in items]
+        raws = [(t or "").encode() for _, t in items]
+        offsets = np.concatenate([[0], np.cumsum([len(r) for r in raws])]).astype(np.int64)
+        w = Words(np.frombuffer(b"".join(raws), np.uint8), offsets)
+        self.data, prefix = w.data, self.hash.prefix(w.data)
+        count = np.bincount(w.of, minlength=len(items)) if len(items) else np.zeros(0, np.int64)
+        first = np.cumsum(count) - count
+        size = np.minimum(count, width)
         self.sets = []
-        for n, windows in sorted(found.items()):
-            keys = list(windows)
-            h = np.concatenate([self.hash.spans(self.hash.prefix(d := np.frombuffer(k, np.uint8)), np.zeros(1, np.int64),
-                                                np.array([d.size])) for k in keys])
-            order = np.argsort(h, kind="stable")
-            h = h[order]
-            quick = np.zeros(1 << 16, bool)
-            quick[h >> np.uint64(48)] = True
-            self.sets.append((n, h, quick, [np.frombuffer(keys[i], np.uint8) for i in order],
-                              [sorted(windows[keys[i]]) for i in order]))
+        for n in np.unique(size[size > 0]).tolist():
+            mine = np.flatnonzero(size == n)
+            many = count[mine] - n + 1
+            at, item = flat_ranges(first[mine], many), np.repeat(mine, many)
+            self.sets.append(self._set(n, self.hash.spans(prefix, w.start[at], w.end[at + n - 1]), w.start[at], w.end[at + n - 1], item))
+        self.hash = SpanHash(20)  # without the powers that it grew here
+
+    def _set(self, n, h, start, end, item):
+        order = np.lexsort((item, h))
+        h, start, end, item = h[order], start[order], end[order], item[order]
+        new = np.ones(h.size, bool)
+        new[1:] = h[1:] != h[:-1]
+        head = np.flatnonzero(new)[np.cumsum(new) - 1]
+        # the same window, not only the same hash, as the first of the run
+        same = (end - start) == (end - start)[head]
+        some = np.flatnonzero(same & ~new)
+        lens = (end - start)[some]
+        differ = self.data[flat_ranges(start[some], lens)] != self.data[flat_ranges(start[head[some]], lens)]
+        same[some[np.unique(np.repeat(np.arange(some.size), lens)[differ])]] = False
+        if not same.all():  # windows that share a hash: order these by their bytes
+            odd = np.isin(h, h[~same])
+            rank = {t: k for k, t in enumerate(sorted({self.data[a:b].tobytes() for a, b in zip(start[odd], end[odd])}))}
+            kind = np.zeros(h.size, np.int64)
+            kind[odd] = [rank[self.data[a:b].tobytes()] for a, b in zip(start[odd], end[odd])]
+            order = np.lexsort((item, kind, h))
+            h, start, end, item, kind = h[order], start[order], end[order], item[order], kind[order]
+            new[1:] = (h[1:] != h[:-1]) | (kind[1:] != kind[:-1])
+            new[0] = True
+        at = np.flatnonzero(new)
+        quick = np.zeros(1 << 16, bool)
+        quick[h[at] >> np.uint64(48)] = True
+        return n, h[at], quick, start[at], end[at], np.append(at, h.size), item
 
     def scan(self, w: Words):
         """(first word, words, item ids) of each verified occurrence."""
         if not w.count:
             return
         prefix = self.hash.prefix(w.data)
-        for n, hashes, quick, texts, items in self.sets:
+        for n, hashes, quick, start, end, first, item in self.sets:
             m = w.count - n + 1
             if m <= 0:
                 continue
@@ -105,16 +129,20 @@ class Windows:
             at = np.searchsorted(hashes, h[maybe], side="left")
             same = hashes[np.minimum(at, hashes.size - 1)] == h[maybe]
             maybe, at = maybe[same], at[same]
-            for k in np.unique(at).tolist():
-                places = maybe[at == k]
+            order = np.argsort(at, kind="stable")
+            maybe, at = maybe[order], at[order]
+            lows = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]])) if at.size else at
+            for i, j in zip(lows.tolist(), [*lows[1:].tolist(), at.size]):
+                k, places = int(at[i]), maybe[i:j]
                 while k < hashes.size and places.size:  # equal hashes stand together
-                    length = texts[k].size
+                    text = self.data[start[k]:end[k]]
+                    length = text.size
                     fit = places[w.end[places + n - 1] - w.start[places] == length]
                     step = max(1, (1 << 22) // length)
-                    for i in range(0, fit.size, step):
-                        part = fit[i:i + step]
-                        equal = (w.data[w.start[part][:, None] + np.arange(length)] == texts[k]).all(axis=1)
-                        yield part[equal], n, items[k]
+                    for q in range(0, fit.size, step):
+                        part = fit[q:q + step]
+                        equal = (w.data[w.start[part][:, None] + np.arange(length)] == text).all(axis=1)
+                        yield part[equal], n, sorted({self.ids[x] for x in item[first[k]:first[k + 1]]})
                     if k + 1 >= hashes.size or hashes[k + 1] != hashes[k]:
                         break
                     k += 1
@@ -176,25 +204,14 @@ def report(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_c
     blocks = benchmark_blocks(benchmark, max_broadcast_bytes)
     ahead = next(blocks)
     while ahead is not None:
-        shared, ahead = docs.sparkSession.sparkContext.broadcast((ahead, width)), next(blocks, None)
+        shared, ahead = docs.sparkSession.sparkContext.broadcast(Windows(ahead, width)), next(blocks, None)
         cur = _scan(cur, kind, shared, last=ahead is None)
     return cur.withColumnRenamed("doc_id", id_col)
 
 
-_WINDOWS: dict[int, Windows] = {}
-
-
-def _windows(shared) -> Windows:
-    key = hash((tuple(shared.value[0]), shared.value[1]))
-    if key not in _WINDOWS:
-        _WINDOWS.clear()
-        _WINDOWS[key] = Windows(*shared.value)
-    return _WINDOWS[key]
-
-
 def _scan(cur: DataFrame, kind: str, shared, last: bool) -> DataFrame:
     def run(batches):
-        windows = _windows(shared)
+        windows = shared.value
         for batch in batches:
             rows = list(_marks(batch.column(1), windows, batch.column(2).to_pylist(), batch.column(3).to_pylist()))
             n, hit, ids, ranges, spans = zip(*rows) if rows else ((),) * 5
@@ -231,10 +248,10 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, mode: str = "documents"
         raise ValueError(f"mode {mode!r}")
     at, cur = docs.columns.index(text_col), docs
     for items in benchmark_blocks(benchmark, max_broadcast_bytes):
-        shared = docs.sparkSession.sparkContext.broadcast((items, width))
+        shared = docs.sparkSession.sparkContext.broadcast(Windows(items, width))
 
         def run(batches, shared=shared):
-            windows = _windows(shared)
+            windows = shared.value
             for batch in batches:
                 col = filled(batch.column(at))
                 rows = list(_marks(col, windows, [()] * len(col), [()] * len(col)))

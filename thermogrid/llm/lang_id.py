@@ -2,8 +2,8 @@
 
 The model counts the 1- to 3-grams of every training text into ``BUCKETS``
 hashed features per language (partial counts per task, then one sum), and is a
-matrix of log probabilities, broadcast; its size is languages x buckets, which
-``MAX_LANGS`` bounds. Texts are scored in numpy over whole batches: the matrix
+matrix of log probabilities, broadcast in blocks of ``LANGS`` languages: more languages
+are scored block by block, with the best one and the sum of all probabilities carried on. Texts are scored in numpy over whole batches: the matrix
 rows of all n-grams are gathered and added up per text.
 
 Characters are folded to lower case and all but letters become one space. A text
@@ -21,12 +21,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from thermogrid.llm.common import filled, small_batches
+from thermogrid.llm.common import filled, small_batches, stored
 
 BUCKETS = 1 << 16
 ORDERS = (1, 2, 3)
 SMOOTH = 0.05
-MAX_LANGS = 256
+LANGS = 256          # languages of one broadcast matrix
 STEP = 1 << 19   # characters per vectorised step
 SPACE = 32
 
@@ -91,32 +91,63 @@ def steps(texts: list[str]):
 
 
 class Model:
-    """Log probabilities (buckets x languages) and log priors."""
+    """Log probabilities (buckets x languages) and log priors of a block of languages;
+    ``rows`` is the number of training texts of all languages."""
 
-    def __init__(self, langs: list[str], counts: np.ndarray, docs: np.ndarray):
+    def __init__(self, langs: list[str], counts: np.ndarray, docs: np.ndarray, rows: float | None = None):
         self.langs = langs
         total = counts.sum(axis=1, keepdims=True)
         self.logp = np.log((counts + SMOOTH) / (total + SMOOTH * BUCKETS)).T.astype(np.float32).copy()
-        self.prior = np.log(docs / docs.sum()) if len(langs) else np.zeros(0)
+        self.prior = np.log(docs / (docs.sum() if rows is None else rows)) if len(langs) else np.zeros(0)
 
-    def predict(self, texts: list[str]) -> tuple[list[str], np.ndarray]:
-        out, score = ["und"] * len(texts), np.zeros(len(texts))
+    def scores(self, texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """Best language of the block and its log probability, and the sum of the block's
+        probabilities in units of the best; ``und`` for texts without a letter."""
+        out, best, total = ["und"] * len(texts), np.full(len(texts), -np.inf), np.ones(len(texts))
         if not self.langs:
-            return out, score
+            return out, best, total
         for i, part in steps(texts):
             bucket, of, has = features(part)
             logs = np.zeros((len(part), len(self.langs)))
             for k in range(len(self.langs)):
                 logs[:, k] = np.bincount(of, weights=self.logp[bucket, k], minlength=len(part)) + self.prior[k]
-            best = logs.argmax(axis=1)
-            top = 1.0 / np.exp(np.maximum(logs - logs.max(axis=1, keepdims=True), -700)).sum(axis=1)
+            at = logs.argmax(axis=1)
+            most = logs.max(axis=1)
+            share = np.exp(np.maximum(logs - most[:, None], -700)).sum(axis=1)
             for j in np.flatnonzero(has).tolist():
-                out[i + j], score[i + j] = self.langs[best[j]], top[j]
-        return out, score
-
+                out[i + j], best[i + j], total[i + j] = self.langs[at[j]], most[j], share[j]
+        return out, best, total
 
-def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Model:
-    """Counts over all rows with a language."""
+    def predict(self, texts: list[str]) -> tuple[list[str], np.ndarray]:
+        langs, best, total = self.scores(texts)
+        return langs, np.where(np.isinf(best), 0.0, 1.0 / total)
+
+
+class Models:
+    """The blocks of languages, in order; each is fetched when it is used."""
+
+    def __init__(self, table: DataFrame, size: int = LANGS):
+        self.table = table
+        # one row per language
+        got = table.where("bucket = -1").select("lang", "n").toArrow()
+        rows = dict(zip(got.column("lang").to_pylist(), got.column("n").to_pylist()))
+        self.langs, self.rows = sorted(rows), rows
+        self.parts = [self.langs[i:i + size] for i in range(0, len(self.langs), size)]
+
+    def block(self, langs: list[str]) -> Model:
+        got = self.table.where(F.col("lang").isin(langs)).where("bucket >= 0").toArrow()
+        number = {x: k for k, x in enumerate(langs)}
+        counts = np.zeros((len(langs), BUCKETS))
+        names = got.column("lang").combine_chunks().dictionary_encode()
+        if len(got):
+            of = np.array([number[x] for x in names.dictionary.to_pylist()])[names.indices.to_numpy(zero_copy_only=False)]
+            counts[of, got.column("bucket").to_numpy()] = got.column("n").to_numpy()
+        return Model(langs, counts, np.array([self.rows[x] for x in langs], float), float(sum(self.rows.values())))
+
+
+def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", size: int = LANGS) -> Models:
+    """Counts over all rows with a language, in a written table (lang, bucket, n); bucket -1 counts
+    the texts."""
     small_batches(docs.sparkSession)
     src = docs.where(F.col(lang_col).isNotNull()).select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
 
@@ -142,36 +173,41 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Mo
                  pa.array(np.append(c[at], rows[x]), pa.int64())], names=["lang", "bucket", "n"])
 
     parts = src.mapInArrow(run, "lang string, bucket int, n long")
-    table = parts.groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
-    packed = (table.groupBy("lang").agg(F.collect_list(F.struct("bucket", "n")).alias("c"))
-              .select("lang", F.col("c.bucket").alias("bucket"), F.col("c.n").alias("n")))
-    got = packed.limit(MAX_LANGS + 1).toArrow()  # at most languages x buckets pairs
-    if len(got) > MAX_LANGS:
-        raise ValueError(f"more than {MAX_LANGS} languages")
-    langs = sorted(got.column("lang").to_pylist())
-    counts, rows = np.zeros((len(langs), BUCKETS)), np.zeros(len(langs))
-    for x, b, c in zip(got.column("lang").to_pylist(), got.column("bucket"), got.column("n")):
-        b, c = b.values.to_numpy(zero_copy_only=False), c.values.to_numpy(zero_copy_only=False)
-        k = langs.index(x)
-        counts[k, b[b >= 0]] = c[b >= 0]
-        rows[k] = c[b < 0].sum()
-    return Model(langs, counts, rows)
-
-
-def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, lang_pred, score) for every row."""
-    small_batches(docs.sparkSession)
-    src = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # MAX_LANGS x BUCKETS floats at most
+    return Models(stored(parts.groupBy("lang", "bucket").agg(F.sum("n").alias("n")), "language-counts"), size)
 
-    def run(batches):
-        for batch in batches:
-            langs, score = shared.value.predict(filled(batch.column(1)).to_pylist())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(langs, pa.string()), pa.array(score)],
-                                             names=["doc_id", "lang_pred", "score"])
 
-    kind = src.schema["doc_id"].dataType.simpleString()
-    return src.mapInArrow(run, f"doc_id {kind}, lang_pred string, score double").withColumnRenamed("doc_id", id_col)
+def predict(docs: DataFrame, models: Models, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, lang_pred, score) for every row. With several blocks of languages the texts
+    travel from pass to pass, each of which holds one block."""
+    small_batches(docs.sparkSession)
+    cur = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.lit("und").alias("lang_pred"),
+                      F.lit(float("-inf")).alias("best"), F.lit(1.0).alias("total"))
+    kind = cur.schema["doc_id"].dataType.simpleString()
+    for k, langs in enumerate(models.parts):
+        shared = docs.sparkSession.sparkContext.broadcast(models.block(langs))  # LANGS x BUCKETS floats at most
+
+        last = k + 1 == len(models.parts)
+
+        def run(batches, shared=shared, last=last):
+            for batch in batches:
+                found, best, total = shared.value.scores(filled(batch.column(1)).to_pylist())
+                was, sums = batch.column(3).to_numpy(), batch.column(4).to_numpy()
+                more = best > was  # equal scores stay with the language that sorts first
+                top = np.maximum(best, was)
+                with np.errstate(invalid="ignore"):
+                    part = [np.where(np.isinf(a), 0.0, s * np.exp(np.maximum(a - top, -700))) for a, s in ((was, sums), (best, total))]
+                names = [f if m else old for f, m, old in zip(found, more.tolist(), batch.column(2).to_pylist())]
+                out = [("doc_id", batch.column(0)), ("lang_pred", pa.array(names, pa.string())), ("best", pa.array(top)),
+                       ("total", pa.array(np.where(np.isinf(top), 1.0, part[0] + part[1])))]
+                if not last:
+                    out.insert(1, ("text", batch.column(1)))
+                yield pa.RecordBatch.from_arrays([c for _, c in out], names=[n for n, _ in out])
+
+        cur = cur.mapInArrow(run, f"doc_id {kind}, {'' if last else 'text string, '}lang_pred string, best double, total double")
+        if not last:
+            cur = stored(cur, "language-scores")
+    sure = F.when(F.col("best") == F.lit(float("-inf")), 0.0).otherwise(1.0 / F.col("total"))
+    return cur.select(F.col("doc_id").alias(id_col), "lang_pred", sure.alias("score"))
 
 
 def held_out(mod: int, id_col: str = "doc_id"):
