@@ -47,3 +47,26 @@ def test_quota_matches_queue(spark, calls, cap):
         assert part.event_id.tolist() == [r[1] for r in src]
         mins = [int((r[0] - dt.datetime(1970, 1, 1)).total_seconds() // 60) for r in src]
         assert part.admitted_minute.tolist() == _queue(mins, cap)
+
+
+def test_hashed_keys_leave_no_wide_window(spark):
+    """64-bit hashes as keys: dense positions, and at no level more bins below one parent than ``width``."""
+    from pyspark.sql import functions as F
+
+    from thermogrid.operators.ranking import key_levels
+    width = 64
+    df = spark.range(20000).select(F.xxhash64("id").alias("k"), (F.col("id") % 3 == 0).alias("g"))
+    keys = [r.k for r in df.select("k").collect()]
+    shifts = key_levels(min(keys), max(keys), width)
+    assert len(shifts) > 8
+    for low, high in zip(shifts, [*shifts[1:], 64]):
+        below = {}
+        for b in {k >> low for k in keys}:
+            below.setdefault(b >> (high - low), set()).add(b)
+        assert max(map(len, below.values())) <= width + 2
+    assert max(len([k for k in keys if k >> shifts[0] == b]) for b in {keys[0] >> shifts[0], min(keys) >> shifts[0]}) <= width
+    for groups in ([], ["g"]):
+        got = positions(df, "k", groups, width=width, out="pos", size="n").collect()
+        for g in {tuple(r[x] for x in groups) for r in got}:
+            mine = sorted((r.k, r.pos) for r in got if tuple(r[x] for x in groups) == g)
+            assert [p for _, p in mine] == list(range(len(mine))) and all(r.n == len(mine) for r in got if tuple(r[x] for x in groups) == g)
