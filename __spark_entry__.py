@@ -200,6 +200,19 @@ def q_heatmap_cells(spark, sf):
     return spark.read.parquet(path).select("r", "c", _r6("diff"), _r6("clipped"), "level")
 
 
+def q_map_tiles(spark, sf):
+    # the map as PNG tiles, written and read back: the pixels of the deepest level (where a
+    # tile has transparent pixels, levels 0 and 1 share an index)
+    from thermogrid.session import scratch_path
+    from thermogrid.sources import raster
+    rows, cols = gr.grid_shape(SCALE)
+    path = scratch_path(spark, "map-tiles")
+    raster.write_map_tiles(q_anomaly_map(spark, sf), path, rows, cols, tile=64)
+    deepest = raster.read_pointer(path)["levels"] - 1
+    px = raster.read_map_tiles(spark, path).where(F.col("z") == deepest)
+    return px.select("r", "c", F.greatest("level", F.lit(1)).alias("level"))
+
+
 def q_refresh_job(spark, sf):
     # messages -> store -> map for a moment of the oracle's day -> cell table
     import datetime
@@ -635,6 +648,8 @@ ORACLE["anomaly_map"] = W(f"""
 ORACLE["heatmap_cells"] = W(f"""
     select r, c, {r6('diff')} as diff, {r6('clipped')} as clipped, level from amap""",
                             *_GRID, extra={**_CUR1, **_REF1, "amap": _MAP})
+ORACLE["map_tiles"] = W("select r, c, greatest(level, 1)::int as level from amap where level is not null",
+                        *_GRID, extra={**_CUR1, **_REF1, "amap": _MAP})
 ORACLE["anomaly_empty"] = W(f"""
     select m.r, m.c, {r6('0.0::double')} as cur, {r6('b.v')} as ref, {r6('0.0::double - b.v')} as diff
     from mask m left join ref b using (r, c)""", *_GRID, extra=_REF1)
@@ -850,6 +865,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "anomaly_map": q_anomaly_map,
     "heatmap_cells": q_heatmap_cells,
     "refresh_job": q_refresh_job,
+    "map_tiles": q_map_tiles,
     "nearest_clustered": q_nearest_clustered,
     "nearest_full": q_nearest_full,
     "reference_full": q_reference_full,
