@@ -267,6 +267,13 @@ def q_interpolate_scattered(spark, sf):
     return sc.interpolate_scattered(tb.scattered(spark, sf), rows, cols).select("r", "c", _r6("v"))
 
 
+def q_nearest_sphere(spark, sf):
+    from thermogrid.operators.sphere import nearest_on_sphere
+    rows, cols = gr.grid_shape(SCALE)
+    at = rd.unpack_city(_means(spark, sf)).select(F.col("city_and_loc").alias("pid"), "lon", "lat", F.col("avg_temp").alias("v"))
+    return nearest_on_sphere(at, rows, cols).select("r", "c", "pid", _r6("v"), F.round(F.col("d2") + 0.0000000001303, 9).alias("d2"))
+
+
 def q_anomaly_empty(spark, sf):
     # the map as of a moment before the first reading: no station, so the
     # current model is all zeros and unmasked
@@ -528,6 +535,17 @@ def q_incremental_refresh(spark, sf):
     return inc.read_map_state(spark, state).select("r", "c", "pid", _r6("v"), _r6("d2"), _r6("s"))
 
 
+def q_stream_station_anomaly(spark, sf):
+    # every reading of a stream against its own day's reference grid, run to completion
+    from thermogrid.session import scratch_path
+    from thermogrid.streaming.anomaly import run_reading_anomaly_once
+    path = scratch_path(spark, "reference-days")
+    an.write_reference_models(an.reference_models(tb.climatology(spark, sf), tb.land_mask(spark, BLUR_SCALE), None, BLUR_SCALE), path)
+    refs = spark.read.schema("r int, c int, v double, taps int, day_number int").parquet(path)
+    out = run_reading_anomaly_once(spark, tb.messages(spark, sf), refs, BLUR_SCALE)
+    return out.select("offset", "city_and_loc", "time", "day_number", "r", "c", _r6("ref"), _r6("anomaly"))
+
+
 def q_mean_last_24h(spark, sf):
     from thermogrid.streaming.ingest import mean_last_24h_batch
     good = rd.decode_reading(tb.messages(spark, sf))
@@ -684,6 +702,8 @@ ORACLE["interpolate_scattered"] = W("select * from field", extra={
                        + ((c_custkey * c_custkey * 17) % 1013) / 8104.0::double as y,
                        c_acctbal / 100.0::double as v from customer""",
     "field": O.scattered_sql("spots", *O.grid_dims(SCALE))})
+ORACLE["nearest_sphere"] = W(f"select r, c, pid, {r6('v')} as v, round(d2 + 0.0000000001303, 9) as d2 from globe", "stations",
+                             extra={"globe": O.nearest_sphere_sql(*O.grid_dims(SCALE))})
 ORACLE["station_anomaly"] = W(f"""
     select s.city_and_loc, s.r, s.c, {r6('s.avg_temp')} as avg_temp, {r6('f.v')} as ref,
            {r6('s.avg_temp - f.v')} as anomaly
@@ -840,6 +860,16 @@ ORACLE["incremental_refresh"] = W(f"""
     from near n join ir_out b on b.r = n.r and b.c = n.c""", "stations",
     extra={"pts": O.points_sql(SCALE), "near": O.nearest_sql(SCALE), **O.blur_lines_ctes("near", SCALE, SIGMA, "ir")})
 
+ORACLE["stream_station_anomaly"] = W(f"""
+    select p."offset"::bigint as "offset", p.city_and_loc, p."time", p.day_number, p.r, p.c, {r6('o.val')} as ref,
+           {r6('p.temperature::double - o.val')} as anomaly
+    from spot p left join mask m on m.r = p.r and m.c = p.c
+    left join rf_out o on m.land and o.day_number = p.day_number and o.r = p.r and o.c = p.c""", *_GRID, "parsed", extra={**_REF0, "spot": f"""
+    select *, cast(dayofyear("timestamp") - 1 as integer) as day_number,
+           cast(least({int(180 * BLUR_SCALE) - 1}, floor({BLUR_SCALE} * (90.0 - split_part(city_and_loc, ':', 3)::double))) as integer) as r,
+           cast(least({int(360 * BLUR_SCALE) - 1}, floor({BLUR_SCALE} * (split_part(city_and_loc, ':', 2)::double + 180.0))) as integer) as c
+    from parsed"""})
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "readings_messages": q_readings_messages,
     "parse_weather": q_parse_weather,
@@ -872,6 +902,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "blur_sigma20": q_blur_sigma20,
     "blur_full_grid": q_blur_full_grid,
     "interpolate_scattered": q_interpolate_scattered,
+    "nearest_sphere": q_nearest_sphere,
     "reference_stored": q_reference_stored,
     "id_list": q_id_list,
     "city_registry": q_city_registry,
@@ -909,6 +940,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "mean_last_24h": q_mean_last_24h,
     "stream_latest": q_stream_latest,
     "stream_ring": q_stream_ring,
+    "stream_station_anomaly": q_stream_station_anomaly,
     "stream_ring_state": q_stream_ring_state,
     "ring_batch": q_ring_batch,
     "incremental_refresh": q_incremental_refresh,

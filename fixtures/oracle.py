@@ -346,3 +346,16 @@ def scattered_sql(pts: str, rows: int, cols: int) -> str:
       from bary where least(la, lb, lc) >= -1e-11)
     select cells.r, cells.c, {r6('b.v')} as v
     from cells left join (select r, c, arg_max(v, inner_) as v from vals group by r, c) b on b.r = cells.r and b.c = cells.c"""
+
+
+def nearest_sphere_sql(rows: int, cols: int) -> str:
+    """Brute force on the globe: squared chords between unit vectors, rounded to 12 digits, smallest (d2, pid)."""
+    scale = rows / 180.0
+    unit = "cos(radians({b})) * cos(radians({a})) as {n}x, cos(radians({b})) * sin(radians({a})) as {n}y, sin(radians({b})) as {n}z"
+    return f"""
+        with cells as (select r, c, {unit.format(a=f'(c / {scale} - 180.0)', b=f'(90.0 - r / {scale})', n='g')}
+                       from (select cast(id // {cols} as integer) as r, cast(id % {cols} as integer) as c from range(0, {rows * cols}) t(id))),
+        spots as (select city_and_loc as pid, avg_temp as v, {unit.format(a='lon', b='lat', n='p')} from stations)
+        select r, c, arg_min(pid, (d2, pid)) as pid, arg_min(v, (d2, pid)) as v, min(d2) as d2
+        from (select r, c, pid, v, round((gx - px) ** 2 + (gy - py) ** 2 + (gz - pz) ** 2, 12) as d2 from cells cross join spots)
+        group by r, c"""
