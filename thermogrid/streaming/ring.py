@@ -136,9 +136,10 @@ def ring_batch(decoded: DataFrame, delay_hours: float = 1.0, keep_hours: int = K
     the watermark, which is ``delay_hours`` behind the newest reading of all."""
     t = F.unix_micros(F.col("timestamp").cast("timestamp"))
     newest = (decoded.groupBy("city_and_loc", "time").agg(F.max(F.struct(t.alias("us"), "partition", "offset", "temperature")).alias("n")))
-    last = decoded.agg(F.max(t).alias("last"))  # one row
-    live = F.ceil(F.col("n.us") / 1000) + keep_hours * 3_600_000 > F.floor(F.col("last") / 1000) - F.lit(int(delay_hours * 3_600_000))
-    return newest.join(F.broadcast(last)).where(live).select("city_and_loc", "time", F.col("n.temperature").alias("temperature"))
+    last = decoded.agg(F.max(t).alias("last")).first().last or 0
+    watermark = last // 1000 - int(delay_hours * 3_600_000)
+    live = F.ceil(F.col("n.us") / 1000) + keep_hours * 3_600_000 > watermark
+    return newest.where(live).select("city_and_loc", "time", F.col("n.temperature").alias("temperature"))
 
 
 def read_ring_state(spark: SparkSession, checkpoint: str) -> DataFrame:
