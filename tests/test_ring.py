@@ -95,3 +95,51 @@ def test_incremental_map_of_a_stream(spark, tmp):
     a = rf.map_from_state(spark, state, clim, mask, when, 1.0).select("r", "c", "level").collect()
     b = rf.map_from_store(spark, store, clim, mask, when, 1.0, sigma=2.0).select("r", "c", "level").collect()
     assert sorted(map(tuple, a), key=str) == sorted(map(tuple, b), key=str) and gr.grid_shape(1.0) == (180, 360)
+
+
+class Handle:
+    """One station's state and timers, counting what a batch asks of them."""
+
+    def __init__(self):
+        self.value, self.timers, self.calls = None, [], 0
+
+    def getValueState(self, name, schema):
+        return self
+
+    def get(self):
+        self.calls += 1
+        return self.value
+
+    def update(self, value):
+        self.calls += 1
+        self.value = value
+
+    def clear(self):
+        self.calls += 1
+        self.value = None
+
+    def registerTimer(self, at):
+        self.calls += 1
+        self.timers.append(at)
+
+
+class Now:
+    def __init__(self, ms):
+        self.getCurrentWatermarkInMs = lambda: ms
+
+
+def test_a_batch_asks_the_state_once_per_station():
+    hour, ring, h = 3_600_000_000, R.Ring(24), Handle()
+    ring.init(h)
+    rows = [("A", t, None, 0, t, float(t), t * hour) for t in range(24)]
+    assert len(list(ring.handleInputRows(("A",), iter(rows), Now(0)))) == 24
+    assert h.calls <= 3 and h.timers == [24 * 3_600_000]
+    # the first slot is renewed: its timer finds the next one, and the slots that ended go together
+    h.calls = 0
+    assert [r.time for r in ring.handleInputRows(("A",), iter([("A", 0, None, 0, 30, 5.0, 24 * hour)]), Now(0))] == [0]
+    assert list(ring.handleExpiredTimer(("A",), Now(24 * 3_600_000), None)) == [] and h.timers[-1] == 25 * 3_600_000
+    gone = list(ring.handleExpiredTimer(("A",), Now(40 * 3_600_000), None))
+    assert sorted(r.time for r in gone) == list(range(1, 17)) and all(r.temperature is None for r in gone)
+    assert h.calls <= 8 and h.timers[-1] == 41 * 3_600_000
+    list(ring.handleExpiredTimer(("A",), Now(99 * 3_600_000), None))
+    assert h.value is None

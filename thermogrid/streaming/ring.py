@@ -5,8 +5,9 @@ over "the last 24 hours". Here a slot (station, hour) holds its newest reading u
 watermark is ``keep`` past that reading; an event-time timer then drops it from the state and
 sends its key without a temperature, which takes it out of the current store.
 
-State is a map of at most 24 slots per station in RocksDB, which can be read back from the
-checkpoint (:func:`read_ring_state`). Each task reduces its rows to the newest per slot before
+State is one row of at most 24 slots per station in RocksDB, which can be read back from the
+checkpoint (:func:`read_ring_state`); a micro-batch reads and writes it once per station that it
+changes, and one timer per station waits for the slot that ends first. Each task reduces its rows to the newest per slot before
 they are shuffled, so a station with many messages costs no more than its slots per task.
 
 A reading that is later than the watermark, or already ``keep`` behind it, is dropped. The
@@ -18,7 +19,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
@@ -34,6 +35,10 @@ ROCKS = {
 }
 ORDER = ["timestamp", "partition", "offset"]
 ROW = "city_and_loc string, time int, timestamp timestamp, partition int, offset long, temperature float"
+Change = Row("city_and_loc", "time", "us", "partition", "offset", "temperature")
+CHANGE = "city_and_loc string, time int, us long, partition int, offset long, temperature float"
+# when the timer is due, and the slots: one list per column, in one order
+STATE = "due long, time array<int>, us array<bigint>, partition array<int>, offset array<bigint>, temperature array<float>"
 
 
 def _newest_per_task(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -41,58 +46,61 @@ def _newest_per_task(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield b.sort_values(ORDER, kind="stable").drop_duplicates(["city_and_loc", "time"], keep="last")
 
 
-def _micros(t: pd.Timestamp) -> int:
-    return t.value // 1000
-
-
 class Ring(StatefulProcessor):
-    """Slots of one station: hour -> time of the reading in microseconds, partition, offset, temperature."""
+    """Slots of one station: hour, time of the reading in microseconds, partition, offset, temperature."""
 
     def __init__(self, keep_hours: int):
         self.keep_ms = int(keep_hours * 3_600_000)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.slots = handle.getMapState("slots", "time int", "us long, partition int, offset long, temperature float")
+        self.slots = handle.getValueState("slots", STATE)
 
     def _ends(self, us: int) -> int:
         return -(-us // 1000) + self.keep_ms
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+    def _load(self) -> tuple[dict[int, tuple], int | None]:
+        held = self.slots.get()
+        if held is None:
+            return {}, None
+        due, hours, *columns = held
+        return dict(zip(hours, zip(*columns))), due
+
+    def _save(self, slots: dict[int, tuple], due: int | None, now: int) -> None:
+        """The slots as they are, with a timer for the first that ends unless one that is due earlier is set."""
+        if not slots:
+            self.slots.clear()
+            return
+        first = min(self._ends(v[0]) for v in slots.values())
+        if due is None or due <= now or first < due:
+            self.handle.registerTimer(first)
+            due = first
+        self.slots.update((due, list(slots), *map(list, zip(*slots.values()))))
+
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        now = timerValues.getCurrentWatermarkInMs()
         newest: dict[int, tuple] = {}
-        for pdf in rows:
-            for time, ts, part, off, temp in pdf[["time", *ORDER, "temperature"]].itertuples(index=False, name=None):
-                new = (_micros(ts), int(part), int(off), float(temp))
-                if int(time) not in newest or new[:3] > newest[int(time)][:3]:
-                    newest[int(time)] = new
-        out = []
+        for _, time, _, part, off, temp, us in rows:
+            new = (us, part, off, temp)
+            if self._ends(us) > now and (time not in newest or new[:3] > newest[time][:3]):
+                newest[time] = new
+        if not newest:
+            return
+        slots, due = self._load()
+        newest = {t: v for t, v in newest.items() if t not in slots or v[:3] > slots[t][:3]}
+        if newest:
+            self._save({**slots, **newest}, due, now)
         for time, new in newest.items():
-            if self._ends(new[0]) <= timerValues.getCurrentWatermarkInMs():
-                continue
-            slot = (time,)
-            old = tuple(self.slots.getValue(slot)) if self.slots.containsKey(slot) else None
-            if old is not None and old[:3] >= new[:3]:
-                continue
-            self.slots.updateValue(slot, new)
-            self.handle.registerTimer(self._ends(new[0]))
-            out.append((key[0], time, *new))
-        yield self._frame(out)
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        now = expiredTimerInfo.getExpiryTimeInMs()
-        ended = [(k[0], *v) for k, v in ((tuple(k), tuple(v)) for k, v in self.slots.iterator()) if self._ends(v[0]) <= now]
-        for time, *_ in ended:
-            self.slots.removeKey((time,))
-        yield self._frame([(key[0], time, us, part, off, None) for time, us, part, off, _ in ended])
-
-    @staticmethod
-    def _frame(rows: list[tuple]) -> pd.DataFrame:
-        city, time, us, part, off, temp = zip(*rows) if rows else ((),) * 6
-        return pd.DataFrame({
-            "city_and_loc": pd.Series(city, dtype=object), "time": pd.Series(time, dtype="int32"),
-            "timestamp": pd.to_datetime(pd.Series(us, dtype="int64"), unit="us"), "partition": pd.Series(part, dtype="int32"),
-            "offset": pd.Series(off, dtype="int64"), "temperature": pd.Series(temp, dtype="float32").astype(object).where(
-                pd.Series([t is not None for t in temp], dtype=bool), None)})
+            yield Change(key[0], time, *new)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        now = timerValues.getCurrentWatermarkInMs()
+        slots, due = self._load()
+        ended = {t: v for t, v in slots.items() if self._ends(v[0]) <= now}
+        if ended or (due is not None and due <= now):
+            self._save({t: v for t, v in slots.items() if t not in ended}, due, now)
+        for time, (us, part, off, _) in ended.items():
+            yield Change(key[0], time, us, part, off, None)
 
     def close(self) -> None:
         pass
@@ -104,8 +112,10 @@ def ring_stream(messages: DataFrame, delay: str = "1 hour", keep_hours: int = KE
     good = decode_reading(messages).select("city_and_loc", "time", F.col("timestamp").cast("timestamp").alias("timestamp"),
                                            F.col("partition").cast("int").alias("partition"),
                                            F.col("offset").cast("long").alias("offset"), "temperature")
-    return (good.mapInPandas(_newest_per_task, ROW).withWatermark("timestamp", delay).groupBy("city_and_loc")
-            .transformWithStateInPandas(Ring(keep_hours), ROW, "Update", "EventTime"))
+    changes = (good.mapInPandas(_newest_per_task, ROW).withWatermark("timestamp", delay)
+               .withColumn("us", F.unix_micros("timestamp")).groupBy("city_and_loc")
+               .transformWithState(Ring(keep_hours), CHANGE, "Update", "EventTime"))
+    return changes.select("city_and_loc", "time", F.timestamp_micros("us").alias("timestamp"), "partition", "offset", "temperature")
 
 
 def start_ring(messages: DataFrame, path: str, checkpoint: str | None = None, trigger: str | None = "1 second",
@@ -145,7 +155,9 @@ def ring_batch(decoded: DataFrame, delay_hours: float = 1.0, keep_hours: int = K
 def read_ring_state(spark: SparkSession, checkpoint: str) -> DataFrame:
     """``city_and_loc, time, us, partition, offset, temperature`` as the stopped stream's state has them."""
     state = (spark.read.format("statestore").option("path", checkpoint).option("stateVarName", "slots").load())
-    return state.select(F.col("key.city_and_loc").alias("city_and_loc"), F.col("user_map_key.time").alias("time"), "user_map_value.*")
+    columns = ["time", "us", "partition", "offset", "temperature"]
+    return (state.select(F.col("key.city_and_loc").alias("city_and_loc"), F.arrays_zip(*[f"value.{c}" for c in columns]).alias("s"))
+            .select("city_and_loc", F.inline("s").alias(*columns)))
 
 
 def run_ring_stream_once(spark: SparkSession, messages: DataFrame, records_per_file: int | None = None,
