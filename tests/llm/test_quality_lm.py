@@ -123,3 +123,14 @@ def test_model_beyond_the_broadcast_scores_the_same(spark, monkeypatch):
         assert (got[i].n_symbols, got[i].keep) == (r.n_symbols, r.keep)
         assert got[i].perplexity == r.perplexity or math.isclose(got[i].perplexity, r.perplexity, rel_tol=1e-9)
     assert {r.doc_id for r in Q.keep_good(docs, labels).collect()} == kept
+
+
+def test_every_trusted_text_trains(spark, monkeypatch):
+    texts = [f"text {chr(0x4e00 + i)} of its own" for i in range(60)]
+    docs = spark.createDataFrame([(i, t, "en") for i, t in enumerate(texts)], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(len(texts))], "doc_id long, quality int, toxic int")
+    monkeypatch.setattr(Q, "MAX_TRUSTED", 5)
+    held = {r.doc_id for r in docs.where(Q._held("doc_id")).collect()}
+    plain = Plain([t for i, t in enumerate(texts) if i not in held])
+    got = {r.doc_id: r.perplexity for r in Q.perplexities(docs, Q.train(docs, labels)).collect()}
+    assert 0 < len(held) < 50 and all(math.isclose(got[i], plain.perplexity(t), rel_tol=1e-9) for i, t in enumerate(texts))

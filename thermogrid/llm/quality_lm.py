@@ -10,8 +10,8 @@ perplexities of trusted texts of that language that did not train, times
 ``EVIDENCE`` nats in all, so a text of n symbols has the threshold limit *
 exp(EVIDENCE / n): a few rare letters do not condemn a short text.
 
-The labelled rows that train are bounded by ``MAX_TRUSTED`` (a hash sample beyond it;
-the limits take all trusted hold-out rows). A model of at most ``MAX_GRAMS`` n-grams of
+Every trusted row that is not held out trains, and the limits take all trusted hold-out
+rows; up to ``MAX_TRUSTED`` ids are broadcast, more are joined by a shuffle. A model of at most ``MAX_GRAMS`` n-grams of
 all orders is broadcast; a larger one stays in its tables, and the n-grams of the texts
 are joined with them. Both score with every n-gram.
 
@@ -85,13 +85,19 @@ def gram_counts(texts: DataFrame) -> DataFrame:
                 if held > 1 << 21:
                     keys, counts = [[x] for x in _summed(keys, counts)]
                     held = keys[0].size
+                    if held > 1 << 20:  # partial counts: a task holds no more n-grams, however many it meets
+                        yield _counted(keys[0], counts[0])
+                        keys, counts, held = [], [], 0
         if keys:
-            k, c = _summed(keys, counts)
-            yield pa.RecordBatch.from_arrays([pa.array(k.view(np.int64)), pa.array(c)], names=["g", "c"])
+            yield _counted(*_summed(keys, counts))
 
     return texts.select("text").mapInArrow(run, "g long, c long").groupBy("g").agg(F.sum("c").alias("c"))
 
 
+def _counted(k: np.ndarray, c: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(k.view(np.int64)), pa.array(c)], names=["g", "c"])
+
+
 def _summed(keys, counts):
     k, at = np.unique(np.concatenate(keys), return_inverse=True)
     return k, np.bincount(at, weights=np.concatenate(counts)).astype(np.int64)
@@ -172,14 +178,11 @@ class Model:
         return out
 
 
-def trusted_ids(labels: DataFrame, limit: int | None = None) -> DataFrame:
-    """All trusted ids, or at most about ``limit`` (a fixed share by hash beyond it)."""
-    ids = (labels.where("doc_id is not null").groupBy("doc_id")
-           .agg((F.min(F.coalesce(F.col("quality") == 1, F.lit(False)) & F.coalesce(F.col("toxic") == 0, F.lit(False)))).alias("ok"))
-           .where("ok").select("doc_id"))
-    if limit is not None and (n := ids.count()) > limit:
-        ids = ids.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(limit / n * (1 << 20)))
-    return ids
+def trusted_ids(labels: DataFrame) -> DataFrame:
+    """All trusted ids."""
+    return (labels.where("doc_id is not null").groupBy("doc_id")
+            .agg((F.min(F.coalesce(F.col("quality") == 1, F.lit(False)) & F.coalesce(F.col("toxic") == 0, F.lit(False)))).alias("ok"))
+            .where("ok").select("doc_id"))
 
 
 class Dealt:
@@ -207,7 +210,8 @@ class Dealt:
 def train(docs: DataFrame, labels: DataFrame) -> Model | Dealt | None:
     """The model of the trusted documents that are not held out."""
     small_batches(docs.sparkSession)
-    ids = F.broadcast(trusted_ids(labels, MAX_TRUSTED).where(~_held(F.col("doc_id"))))  # at most MAX_TRUSTED ids
+    ids = trusted_ids(labels).where(~_held(F.col("doc_id")))
+    ids = F.broadcast(ids) if ids.count() <= MAX_TRUSTED else ids.hint("shuffle_merge")
     orders = smoothed(gram_counts(docs.select("doc_id", "text").join(ids, "doc_id")))
     sizes = [p.count() for p, _ in orders]
     if not sizes[0]:
