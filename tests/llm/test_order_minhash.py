@@ -152,3 +152,19 @@ def test_texts_of_one_template(spark):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     got = {r.doc_id: r.class_id for r in M.op1_minhash_neardup(docs).collect()}
     assert got == dict(enumerate(tops))
+
+
+def test_no_pair_of_a_bucket_is_left_out(spark):
+    """Pairs just above the threshold among texts of one template just below it."""
+    body, texts = [f"t{i}" for i in range(164)], []
+    for i in range(200):
+        own = [f"o{i}-{j}".replace("-", "x") for j in range(22)]
+        texts.append(" ".join(body + own))
+        if i < 20:
+            texts.append(" ".join(body + own[:3] + [f"c{i}x{j}" for j in range(19)]))
+    k = [kmers(t) for t in texts]
+    assert alike(k[0], k[1]) and not alike(k[0], k[2]) and not alike(k[0], k[3]) and not alike(k[-1], k[-2])
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.class_id for r in M.op1_minhash_neardup(docs).collect()}
+    assert got == {i: i - i % 2 if i < 40 else i for i in range(len(texts))}
+    assert M.drop_near_duplicates(docs).count() == 200

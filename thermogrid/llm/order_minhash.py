@@ -14,10 +14,11 @@ in turn, so candidate pairs grow with the rows, no bucket is paired out and a
 group of copies meets about ``HEADS`` representatives, not one per sketch; pairs whose
 lengths alone rule them out are dropped before any text moves. Candidates are verified on
 their whole texts, a representative's members in parts of ``PART``. Texts in buckets that
-then hold several components (texts of a template) get ``RARE`` further sketches, which
-prefer k-mers that are rare among these texts. With ``exact`` they are joined instead by
-the prefix filter over their labelled k-mers, for all pairs of different components; that
-join is as large as the texts make it. Components of all verified links are the classes.
+then hold several components (texts of a template) are joined by the prefix filter over
+their labelled k-mers, for all pairs of different components, so no pair that shares a
+bucket is left out; that join is as large as the texts make it. Without ``exact`` they get
+``RARE`` further sketches instead, which prefer k-mers that are rare among these texts and
+may miss a pair. Components of all verified links are the classes.
 
 Edge cases: null, empty and word-less texts are classes of their own; texts with
 fewer words than a k-mer are one k-mer. Rows with the same id or text are rows.
@@ -251,18 +252,23 @@ def prefixes(texts: DataFrame, least: float) -> DataFrame:
 
 def unlinked(texts: DataFrame, least: float) -> DataFrame:
     """Distinct (member, rep) pairs of different components of ``texts`` (id,
-    component, text): every pair whose labelled k-mers have a Jaccard similarity of ``least``."""
-    rows = stored(prefixes(texts, least), "prefixes")
-    met = (rows.groupBy("gram").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.max("short").alias("s"))
+    component, text): every pair whose labelled k-mers have a Jaccard similarity of ``least``.
+    The result is a written table."""
+    every = stored(prefixes(texts, least), "prefixes")
+    met = (every.groupBy("gram").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.max("short").alias("s"))
            .where("lo < hi and s").select("gram"))
-    rows = stored(rows.join(met, "gram"), "shared-prefixes")
+    rows = stored(every.join(met, "gram"), "shared-prefixes")
+    discard(every)
     x, y = rows.alias("x"), rows.where("short").alias("y")
     # at the first shared k-mer what follows in both texts must hold all that is needed
     need = least * (F.col("x.n") + F.col("y.n")) / (1 + least) - 1e-9
     on = ((F.col("x.gram") == F.col("y.gram")) & (F.col("x.component") != F.col("y.component"))
           & ((F.col("y.n") < F.col("x.n")) | ((F.col("y.n") == F.col("x.n")) & (F.col("y.id") < F.col("x.id"))))
           & (F.least(F.col("x.n") - F.col("x.place"), F.col("y.n") - F.col("y.place")) >= need))
-    return (x.join(y, on).select(F.greatest("x.id", "y.id").alias("member"), F.least("x.id", "y.id").alias("rep")).distinct())
+    pairs = stored(x.join(y, on).select(F.greatest("x.id", "y.id").alias("member"), F.least("x.id", "y.id").alias("rep")).distinct(),
+                   "mixed-candidates")
+    discard(rows)
+    return pairs
 
 
 def common_length(a: np.ndarray, b: np.ndarray, need: int) -> int:
@@ -356,7 +362,7 @@ def _resketched(texts: DataFrame, classes: DataFrame) -> DataFrame:
 
 
 def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                 least: float = SIMILARITY, exact: bool = False) -> DataFrame:
+                 least: float = SIMILARITY, exact: bool = True) -> DataFrame:
     """(_row, doc_id, group): for each row of ``docs`` its row number and the least
     row number of its class. The result is a written table."""
     src = stored(with_row_id(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), "_row"), "numbered")
@@ -365,7 +371,7 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return out
 
 
-def numbered_classes(src: DataFrame, least: float = SIMILARITY, exact: bool = False) -> DataFrame:
+def numbered_classes(src: DataFrame, least: float = SIMILARITY, exact: bool = True) -> DataFrame:
     """:func:`near_classes` of a written table (_row, doc_id, text)."""
     texts = src.select("_row", "text")
     marks = stored(signatures(src.select("_row", "doc_id", "text")), "signatures")
@@ -380,7 +386,7 @@ def numbered_classes(src: DataFrame, least: float = SIMILARITY, exact: bool = Fa
     some = stored(texts.hint("shuffle_merge").join(left, "_row"), "mixed-texts")
     if exact:
         apart = some.join(classes.select(F.col("id").alias("_row"), "component"), "_row").withColumnRenamed("_row", "id")
-        pairs = stored(unlinked(apart, least), "mixed-candidates")
+        pairs = unlinked(apart, least)
         more = stored(verified(pairs, some, least), "links")
         discard(pairs)
     else:
