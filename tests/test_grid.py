@@ -183,3 +183,24 @@ def test_nearest_needs_coordinates(spark):
     pts = spark.createDataFrame([("a", None, 0.0, 1.0)], "pid string, x double, y double, v double")
     with pytest.raises(Exception):
         gr.nearest_points(pts, 10, 20, 4).collect()
+
+
+def test_a_batch_passes_on_the_closest_rows_only():
+    """10,000 candidates of one tile of 64 cells: as many rows as cells, not 640,000; ties are kept."""
+    import pyarrow as pa
+    rng = np.random.default_rng(3)
+    n = 10_000
+    x, y = rng.uniform(8, 16, n), rng.uniform(16, 24, n)
+    x[:2], y[:2] = (9.5, 10.5), (18.0, 18.0)  # both as far from the cell (10, 18)
+    x[2:], y[2:] = np.where(np.hypot(x[2:] - 10, y[2:] - 18) < 0.6, 15.9, x[2:]), y[2:]
+    b = pa.RecordBatch.from_arrays([pa.array(np.full(n, k)) for k in (1, 2)] + [pa.array([str(i) for i in range(n)]), pa.array(x),
+                                    pa.array(y), pa.array(x)], names=gr.CAND)
+    got = {}
+    for r, c, d2, _, take in gr._closest([b], 8, 1, 8, 90, 180):
+        for k in zip(r.tolist(), c.tolist(), d2.tolist(), take.to_pylist()):
+            got.setdefault(k[:2], []).append(k[2:])
+    assert len(got) == 64 and sum(map(len, got.values())) == 65
+    assert sorted(i for _, i in got[10, 18]) == [0, 1]
+    for (r, c), best in got.items():
+        d2 = (r - x) * (r - x) + (c - y) * (c - y)
+        assert {i for _, i in best} == set(np.flatnonzero(d2 == d2.min()).tolist())

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -43,14 +44,38 @@ def to_points(df: DataFrame, scale: float, pid: str = "city_and_loc", value: str
                      grid_y(lon, scale).alias("y"), F.col(value).cast("double").alias("v"))
 
 
-FAN = 8            # a tile has FAN x FAN children, one level below
-LEAF_POINTS = 1024  # candidates of one leaf that one task takes for all its cells
+FAN = 8             # a tile has FAN x FAN children, one level below
+LEAF_POINTS = 16384  # candidates that one task takes for all cells of their leaf, about
+TASK_POINTS = 100_000  # candidates that one task hands to children, about
+STEP = 1 << 20      # distances computed together
+CAND = ["tr", "tc", "pid", "x", "y", "v"]
 
 
 def _d2(x, y, px, py):
     return (x - px) * (x - px) + (y - py) * (y - py)
 
 
+def _closest(batches, n: int, side: int, step: int, rows: int, cols: int):
+    """For each tile of candidates (``CAND``) the ``n`` x ``n`` places ``side`` apart from its first corner, the tile being
+    ``step`` of them wide: yields (i, j, d2, batch, rows) with the closest candidates of a piece of the rows, ties included."""
+    for batch in batches:
+        tr, tc, _, x, y, _ = (c if k == 2 or k == 5 else c.to_numpy(zero_copy_only=False) for k, c in enumerate(batch.columns))
+        order = np.lexsort((tc, tr))
+        size = max(1, STEP // (n * n))
+        for lo in range(0, order.size, size):
+            part = order[lo:lo + size]
+            first = np.append(True, (tr[part][1:] != tr[part][:-1]) | (tc[part][1:] != tc[part][:-1]))
+            i = tr[part][:, None] * step + np.arange(n)
+            j = tc[part][:, None] * step + np.arange(n)
+            px, py = x[part][:, None], y[part][:, None]
+            dx, dy = i * side - px, j * side - py
+            d2 = (dx * dx)[:, :, None] + (dy * dy)[:, None, :]
+            least = np.minimum.reduceat(d2, np.flatnonzero(first), axis=0)
+            hit = (d2 == least[np.cumsum(first) - 1]) & (i < rows)[:, :, None] & (j < cols)[:, None, :]
+            at, u, w = np.nonzero(hit)
+            yield i[at, u], j[at, w], d2[at, u, w], batch, pa.array(part[at])
+
+
 def _narrowed(cand: DataFrame, side: int, rows: int, cols: int) -> DataFrame:
     """Candidates of tiles with sides ``FAN * side`` handed to their children.
 
@@ -59,40 +84,51 @@ def _narrowed(cand: DataFrame, side: int, rows: int, cols: int) -> DataFrame:
     strictly at all four: the places where a point is at least as close as
     another form a half-plane, which meets a rectangle only if it holds a
     corner. So no winner or tie of any cell is dropped, and what stays is about
-    what can win somewhere in the tile, however the points lie.
+    what can win somewhere in the tile, however the points lie. Tasks compare a
+    batch with all corners at once and pass on the closest rows only.
     """
     nr, nc = -(-rows // side), -(-cols // side)
-    wide = FAN + 1
-    k = F.col("k")
-    corner = cand.select("pid", "x", "y", F.col("tr").alias("pr"), F.col("tc").alias("pc"),
-                         F.explode(F.sequence(F.lit(0), F.lit(wide * wide - 1))).alias("k"))
-    corner = corner.select("pid", "x", "y", (F.col("pr") * FAN + F.expr(f"k div {wide}")).alias("i"),
-                           (F.col("pc") * FAN + F.pmod(k, F.lit(wide))).alias("j"))
-    corner = corner.where((F.col("i") <= nr) & (F.col("j") <= nc)).withColumn(
-        "d2", _d2(F.col("x"), F.col("y"), F.col("i") * side, F.col("j") * side))
-    least = corner.groupBy("i", "j").agg(F.min("d2").alias("d2"))
+    kind = {f.name: f.dataType.simpleString() for f in cand.schema.fields}
+    cand = cand.select(*CAND)
+
+    def closest(batches):
+        for i, j, d2, b, take in _closest(batches, FAN + 1, side, FAN, nr + 1, nc + 1):
+            yield pa.RecordBatch.from_arrays([pa.array(i), pa.array(j), pa.array(d2), *(b.column(k).take(take) for k in (2, 3, 4))],
+                                             names=["i", "j", "d2", "pid", "x", "y"])
+
     # tables of corners and tiles: at most a 1/side**2 part of the grid's cells
-    first = (corner.join(F.broadcast(least), ["i", "j", "d2"])
-             .groupBy("i", "j").agg(F.min(F.struct("pid", "x", "y")).alias("p")))
+    first = (cand.mapInArrow(closest, f"i long, j long, d2 double, pid {kind['pid']}, x {kind['x']}, y {kind['y']}")
+             .groupBy("i", "j").agg(F.min(F.struct("d2", "pid", "x", "y")).alias("p")))
     touch = first.select("p", F.explode(F.array(*[F.struct((F.col("i") - u).alias("tr"), (F.col("j") - w).alias("tc"))
                                                   for u in (0, 1) for w in (0, 1)])).alias("t"))
-    best = touch.groupBy("t.tr", "t.tc").agg(F.sort_array(F.collect_set("p")).alias("p"))
-    child = cand.select("pid", "x", "y", "v", F.col("tr").alias("pr"), F.col("tc").alias("pc"),
-                        F.explode(F.sequence(F.lit(0), F.lit(FAN * FAN - 1))).alias("k"))
-    child = child.select("pid", "x", "y", "v", (F.col("pr") * FAN + F.expr(f"k div {FAN}")).alias("tr"),
-                         (F.col("pc") * FAN + F.pmod(k, F.lit(FAN))).alias("tc"))
-    child = child.where((F.col("tr") < nr) & (F.col("tc") < nc)).join(F.broadcast(best), ["tr", "tc"])
-    corners = [((F.col("tr") + u) * side, (F.col("tc") + w) * side) for u in (0, 1) for w in (0, 1)]
-    child = child.withColumns({f"q{n}": _d2(F.col("x"), F.col("y"), *c) for n, c in enumerate(corners)})
-    stays = F.lit(True)
-    for m in range(4):
-        # with fewer than four different corner points the last one repeats
-        p = F.element_at("p", F.least(F.lit(m + 1), F.size("p")))
-        wins = F.lit(False)
-        for n, c in enumerate(corners):
-            wins = wins | (F.col(f"q{n}") <= _d2(p["x"], p["y"], *c))
-        stays = stays & wins
-    return child.where(stays).select("tr", "tc", "pid", "x", "y", "v")
+    best = (touch.where((F.col("t.tr") >= 0) & (F.col("t.tr") < nr) & (F.col("t.tc") >= 0) & (F.col("t.tc") < nc))
+            .groupBy((F.col("t.tr") * nc + F.col("t.tc")).alias("tile"))
+            .agg(F.collect_list("p.x").alias("px"), F.collect_list("p.y").alias("py")).orderBy("tile").toArrow())
+    # with fewer than four corners in the grid's tiles the last one repeats
+    four = lambda c: np.array([(p + p[-1:] * 3)[:4] for p in best.column(c).to_pylist()], float).reshape(-1, 4)
+    shared = cand.sparkSession.sparkContext.broadcast((best.column("tile").to_numpy(), four("px"), four("py")))
+
+    def hand(batches):
+        tiles, px, py = shared.value
+        corners = [(u, w) for u in (0, 1) for w in (0, 1)]
+        top, left = tiles // nc, tiles % nc
+        reach = np.stack([_d2(px, py, ((top + u) * side)[:, None], ((left + w) * side)[:, None]) for u, w in corners], axis=2)
+        for b in batches:
+            tr, tc, x, y = (b.column(k).to_numpy(zero_copy_only=False) for k in (0, 1, 3, 4))
+            for k in range(FAN * FAN):
+                i, j = tr * FAN + k // FAN, tc * FAN + k % FAN
+                at = np.minimum(np.searchsorted(tiles, i * nc + j), max(tiles.size - 1, 0))
+                rest = np.flatnonzero((i < nr) & (j < nc) & (tiles[at] == i * nc + j)) if tiles.size else np.zeros(0, np.int64)
+                if not rest.size:
+                    continue
+                q = np.stack([_d2(x[rest], y[rest], (i[rest] + u) * side, (j[rest] + w) * side) for u, w in corners], axis=1)
+                rest = rest[(q[:, None, :] <= reach[at[rest]]).any(axis=2).all(axis=1)]
+                if rest.size:
+                    take = pa.array(rest)
+                    yield pa.RecordBatch.from_arrays([pa.array(i[rest]), pa.array(j[rest]), *(b.column(c).take(take) for c in (2, 3, 4, 5))],
+                                                     names=CAND)
+
+    return cand.mapInArrow(hand, "tr long, tc long, " + ", ".join(f"{c} {kind[c]}" for c in CAND[2:]))
 
 
 def nearest_points(points: DataFrame, rows: int, cols: int, tile: int = 8) -> DataFrame:
@@ -102,10 +138,10 @@ def nearest_points(points: DataFrame, rows: int, cols: int, tile: int = 8) -> Da
     the grid: at each level a tile hands its children only the points that can
     still win in them (``_narrowed``), so the candidate rows follow the cells and
     the points, clustered or not, and no point meets a tile it cannot win in. The
-    cells of the leaf tiles (``tile`` cells square) are then generated against
-    the leaf's candidates, and the minimum of ``(d2, pid)`` per cell is an
-    aggregate inside the leaf's partition. A leaf with many candidates deals its
-    cells to several tasks.
+    cells of the leaf tiles (``tile`` cells square) are then compared with the
+    leaf's candidates, batch by batch, and the minimum of ``(d2, pid)`` per cell is an
+    aggregate of the closest rows. A leaf with many candidates deals them to
+    several tasks.
 
     Points sharing a position keep the smallest ``pid`` (the only one that can
     win). Points without coordinates raise an error, like points further than one
@@ -126,6 +162,9 @@ def nearest_points(points: DataFrame, rows: int, cols: int, tile: int = 8) -> Da
     # computed again, a lost executor costs nothing, and no memory is held.
     checkpoint_root(points.sparkSession)
     cand = pts.checkpoint(eager=True)
+    tasks = work_partitions(cand.count(), TASK_POINTS)
+    if tasks > cand.rdd.getNumPartitions():
+        cand = cand.repartition(tasks).checkpoint(eager=True)
     side = tile
     while side < max(rows, cols):
         side *= FAN
@@ -135,22 +174,21 @@ def nearest_points(points: DataFrame, rows: int, cols: int, tile: int = 8) -> Da
 
     nlc = -(-cols // tile)
     # one row per leaf, at most a 1/tile**2 part of the cells
-    parts = cand.groupBy("tr", "tc").agg(
-        F.least(F.lit(tile * tile), F.ceil(F.count(F.lit(1)) / LEAF_POINTS)).cast("int").alias("parts"))
-    nparts = work_partitions(rows * cols, 25_000)
+    parts = cand.groupBy("tr", "tc").agg(F.ceil(F.count(F.lit(1)) / LEAF_POINTS).cast("int").alias("parts"))
+    nparts = max(work_partitions(rows * cols, 25_000), work_partitions(cand.count(), LEAF_POINTS))
     dealt = (cand.join(F.broadcast(parts), ["tr", "tc"])
-             .withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+             .withColumn("part", F.pmod(F.xxhash64("x", "y"), F.col("parts")).cast("int"))
              .withColumn("leaf", F.col("tr") * nlc + F.col("tc"))
-             .repartition(nparts, "leaf", "part"))
-    nr = F.least(F.lit(tile), F.lit(rows) - F.col("tr") * tile).cast("int")
-    nc = F.least(F.lit(tile), F.lit(cols) - F.col("tc") * tile).cast("int")
-    own = F.when(F.col("part") < nr * F.col("nc"), F.sequence(F.col("part"), nr * F.col("nc") - 1, F.col("parts")))
-    cells = dealt.withColumn("nc", nc).select("leaf", "part", "tr", "tc", "pid", "x", "y", "v", "nc",
-                                              F.explode(own).alias("j"))
-    r = (F.col("tr") * tile + F.expr("j div nc")).cast("int")
-    c = (F.col("tc") * tile + F.pmod(F.col("j"), F.col("nc"))).cast("int")
-    best = (cells.select("leaf", "part", r.alias("r"), c.alias("c"), F.struct(_d2(r, c, x, y).alias("d2"), "pid", "v").alias("b"))
-            .groupBy("leaf", "part", "r", "c").agg(F.min("b").alias("b")))
+             .repartition(nparts, "leaf", "part").select(*CAND))
+    kind = {f.name: f.dataType.simpleString() for f in cand.schema.fields}
+
+    def closest(batches):
+        for r, c, d2, b, take in _closest(batches, tile, 1, tile, rows, cols):
+            yield pa.RecordBatch.from_arrays([pa.array(r.astype(np.int32)), pa.array(c.astype(np.int32)), pa.array(d2),
+                                              b.column(2).take(take), b.column(5).take(take)], names=["r", "c", "d2", "pid", "v"])
+
+    best = (dealt.mapInArrow(closest, f"r int, c int, d2 double, pid {kind['pid']}, v {kind['v']}")
+            .groupBy("r", "c").agg(F.min(F.struct("d2", "pid", "v")).alias("b")))
     return best.select("r", "c", F.col("b.pid").alias("pid"), F.col("b.v").alias("v"), F.col("b.d2").alias("d2"))
 
 
