@@ -211,3 +211,21 @@ def test_few_points_and_bad_ones(spark):
     out = {(r.r, r.c): r.v for r in S.interpolate_scattered(spark.createDataFrame(three, schema), 4, 4).collect()}
     assert all((out[r, c] is not None) == (r + c <= 3) for r in range(4) for c in range(4))
     assert all(abs(v - 1) < 1e-12 for v in out.values() if v is not None)
+
+
+def test_stars_of_clusters_take_few_points(monkeypatch):
+    """Points in tight clusters, whose hulls see far: the same stars as among all points, from a few."""
+    rng = np.random.default_rng(11)
+    at = rng.uniform(0, 40, (60, 2))
+    p = np.unique((at[:, None, :] + rng.integers(0, 9, (60, 25, 2)) / 64).reshape(-1, 2), axis=0)
+    most, init = [], S.Site.__init__
+    monkeypatch.setattr(S.Site, "__init__", lambda self, px, py, xs, ys: (most.append(xs.size), init(self, px, py, xs, ys))[1])
+    around = lambda ring, closed: set(zip(ring, ring[1:] + ring[:1] if closed else ring[1:]))
+    for i in range(0, len(p), 9):
+        q = np.delete(p, i, axis=0)
+        most.clear()
+        ring, closed, _ = S.star_of(*p[i], q[:, 0], q[:, 1])
+        used = max(most)
+        want, shut = S.Site(*p[i], q[:, 0], q[:, 1]).star(list(range(len(q))))
+        assert closed == shut and around(ring.tolist(), closed) == around(want, shut)
+        assert used < 200 or not shut

@@ -37,6 +37,8 @@ PART = 2000          # stars that ask one tile in one group
 BAND = 64            # grid rows of a triangle that one row of work covers
 CHUNK = 1 << 20      # cells evaluated together
 NEAREST = 24         # points of the first guess of a star
+OPEN = 8             # points added beyond each end of an open star at once
+ROUNDS = 16          # rounds of such additions
 INSIDE = -1e-11      # smallest barycentric coordinate of a cell that counts as inside
 
 # Forward error bounds of the two determinants below, in units of the sums of
@@ -135,21 +137,54 @@ class Site:
         return self.p[0] + ux, self.p[1] + uy, float(np.hypot(ux, uy))
 
 
+def _grown(px: float, py: float, xs: np.ndarray, ys: np.ndarray) -> np.ndarray:
+    """Places of points among which the star of (px, py) is that of all: the nearest ones, to which are added, as long as there
+    are any, points inside a circle of the star or beyond its open side. All points if that takes more than ``ROUNDS``."""
+    dx, dy = xs - px, ys - py
+    d2 = dx * dx + dy * dy
+    use = np.argpartition(d2, NEAREST)[:NEAREST]
+    held = np.zeros(xs.size, bool)
+    held[use] = True
+    for _ in range(ROUNDS):
+        s = Site(px, py, xs[use], ys[use])
+        ring, closed = s.star(list(range(use.size)))
+        new = []
+        for a, b in zip(ring, ring[1:] + ring[:1] if closed else ring[1:]):
+            d = 2 * (s.dx[a] * s.dy[b] - s.dy[a] * s.dx[b])
+            if d <= 2e-6 * (s.d2[a] * s.d2[b]) ** 0.5:  # too flat for a circle in floating point
+                return np.arange(xs.size)
+            ux = (s.dy[b] * s.d2[a] - s.dy[a] * s.d2[b]) / d
+            uy = (s.dx[a] * s.d2[b] - s.dx[b] * s.d2[a]) / d
+            to = (dx - ux) ** 2 + (dy - uy) ** 2
+            to[held] = np.inf
+            k = int(to.argmin())
+            if to[k] <= (ux * ux + uy * uy) * (1 + 1e-6):
+                new.append(k)
+        if not closed:
+            if not ring:
+                return np.arange(xs.size)
+            for q, sign in ((ring[0], -1.0), (ring[-1], 1.0)):
+                one, two = s.dx[q] * dy, s.dy[q] * dx
+                beyond = np.flatnonzero(~held & (sign * (one - two) >= -1e-9 * (np.abs(one) + np.abs(two))))
+                if beyond.size > OPEN:
+                    beyond = beyond[np.argpartition(d2[beyond], OPEN)[:OPEN]]
+                new += beyond.tolist()
+        if not new:
+            return use
+        more = np.unique(np.array(new, np.int64))
+        held[more] = True
+        use = np.concatenate([use, more])
+    return np.arange(xs.size)
+
+
 def star_of(px: float, py: float, xs: np.ndarray, ys: np.ndarray) -> tuple[np.ndarray, bool, list]:
     """Neighbours of (px, py) among the points (places in ``xs``), whether the star is
     closed, and its circles."""
     if not xs.size:
         return np.zeros(0, np.int64), False, []
-    d2 = (xs - px) ** 2 + (ys - py) ** 2
     use = np.arange(xs.size)
     if use.size > 2 * NEAREST:
-        near = np.argpartition(d2, NEAREST)[:NEAREST]
-        s = Site(px, py, xs[near], ys[near])
-        ring, closed = s.star(list(range(near.size)))
-        if closed:
-            # nothing beyond twice the largest radius can reach into a circle
-            reach = max(s.disc(ring[k], ring[(k + 1) % len(ring)])[2] for k in range(len(ring)))
-            use = np.flatnonzero(d2 <= 4 * reach * reach * (1 + 1e-9))
+        use = _grown(px, py, xs, ys)
     s = Site(px, py, xs[use], ys[use])
     ring, closed = s.star(list(range(use.size)))
     pairs = zip(ring, ring[1:] + ring[:1] if closed else ring[1:])
