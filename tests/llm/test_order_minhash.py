@@ -168,3 +168,60 @@ def test_no_pair_of_a_bucket_is_left_out(spark):
     got = {r.doc_id: r.class_id for r in M.op1_minhash_neardup(docs).collect()}
     assert got == {i: i - i % 2 if i < 40 else i for i in range(len(texts))}
     assert M.drop_near_duplicates(docs).count() == 200
+
+
+def edited(rng, base, edits, serial):
+    out = list(base)
+    for e, at in enumerate(sorted(rng.choice(len(base) // 6, edits, replace=False) * 6, reverse=True)):
+        out[at:at + 1] = [[], [f"n{serial}x{e}"], [f"n{serial}x{e}", out[at]]][int(rng.integers(0, 3))]
+    return out
+
+
+def near_copies(n):
+    """Copies of one text: like it, almost like it, twins of these, and some in another order."""
+    rng = np.random.default_rng(11)
+    base, texts = [f"b{i}" for i in range(120)], []
+    for i in range(n):
+        own = edited(rng, base, int(rng.integers(1, 5) if i % 2 else rng.integers(5, 7)), i)
+        texts.append(own)
+        if i % 10 == 4:
+            texts.append(edited(rng, own, 2, f"t{i}"))
+        if i in (0, 20):
+            cut = 20 + i % 80
+            texts += [base[cut:] + base[:cut], edited(rng, base[cut:] + base[:cut], 1, f"m{i}")]
+    return [" ".join(texts[i]) for i in rng.permutation(len(texts))]
+
+
+def test_pairs_of_a_group_of_near_copies(spark, monkeypatch):
+    """Every link inside the group, from pairs that grow with its texts and not with their square."""
+    pairs = []
+    verified = M.verified
+
+    def counted(found, *others):
+        pairs[-1] += found.count()
+        return verified(found, *others)
+
+    monkeypatch.setattr(M, "verified", counted)
+    for n in (40, 240):
+        texts = near_copies(n)
+        docs = spark.createDataFrame([(i, i, t) for i, t in enumerate(texts)], "id long, component long, text string")
+        pairs.append(0)
+        links = M.unlinked(docs, M.SIMILARITY)
+        if links.columns == ["member", "rep"]:
+            pairs[-1] = links.count()
+        else:
+            got = M.regrouped(docs.select("id", "component"), links)
+            if n == 40:
+                assert {r.id: r.component for r in got.collect()} == dict(enumerate(brute(texts)))
+    assert pairs[1] < 10 * len(texts), pairs
+
+
+def test_links_of_random_groups(spark):
+    """Texts of several bases of different lengths, one of them part of another, in one search."""
+    rng = np.random.default_rng(12)
+    long = [f"l{i}" for i in range(150)]
+    bases = [long, long[:124], long[:60] + [f"k{i}" for i in range(80)], ["same"] * 20 + [f"s{i}" for i in range(90)]]
+    texts = [" ".join(edited(rng, bases[i % 4], int(rng.integers(0, 9)), i)) for i in range(48)]
+    docs = spark.createDataFrame([(i, i, t) for i, t in enumerate(texts)], "id long, component long, text string")
+    got = M.regrouped(docs.select("id", "component"), M.unlinked(docs, M.SIMILARITY))
+    assert {r.id: r.component for r in got.collect()} == dict(enumerate(brute(texts)))

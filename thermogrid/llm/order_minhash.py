@@ -16,7 +16,9 @@ lengths alone rule them out are dropped before any text moves. Candidates are ve
 their whole texts, a representative's members in parts of ``PART``. Texts in buckets that
 then hold several components (texts of a template) are joined by the prefix filter over
 their labelled k-mers, for all pairs of different components, so no pair that shares a
-bucket is left out; that join is as large as the texts make it. Without ``exact`` they get
+bucket is left out. Texts with a k-mer that more than ``FEW`` prefixes hold are compared with one
+pivot and joined by what they differ in from it, of which unlinked texts share little; only
+texts that hold the pivot's k-mers in another order meet all that are near to it. Without ``exact`` they get
 ``RARE`` further sketches instead, which prefer k-mers that are rare among these texts and
 may miss a pair. Components of all verified links are the classes.
 
@@ -45,6 +47,7 @@ PICK = 2
 RARE = 32           # sketches of rare k-mers, for texts of mixed buckets
 HEADS = 3           # ways to choose a bucket's representative, in turn: so many in a group of copies
 PART = 64           # members of one representative that a group verifies
+FEW = 8             # texts with a k-mer in their prefix that are paired directly
 SLOTS_BITS = 20     # counters of k-mers, shared by hash; they say which k-mers are rare
 
 _HASH, _HASH2 = SpanHash(101), SpanHash(102)
@@ -222,12 +225,10 @@ def slot_counts(texts: DataFrame) -> np.ndarray:
 PREFIX = "gram long, id long, component long, n long, place long, short boolean"
 
 
-def prefixes(texts: DataFrame, least: float) -> DataFrame:
+def prefixes(texts: DataFrame, least: float, shared) -> DataFrame:
     """For ``texts`` (id, component, text) the first labelled k-mers of each,
-    rarest first: as many as can hold the first one shared with a shorter text,
-    ``short`` if it can also be the first one shared with a longer text."""
-    shared = texts.sparkSession.sparkContext.broadcast(slot_counts(texts))
-
+    rarest first by the broadcast counters ``shared``: as many as can hold the first one
+    shared with a shorter text, ``short`` if it can also be the first one shared with a longer text."""
     def run(batches):
         counts = shared.value
         for batch in batches:
@@ -250,25 +251,112 @@ def prefixes(texts: DataFrame, least: float) -> DataFrame:
     return texts.select("id", "component", "text").mapInArrow(run, PREFIX)
 
 
+def deviations(pivots: DataFrame, texts: DataFrame, least: float, shared) -> DataFrame:
+    """Each text of ``pivots`` (pivot, id) against its pivot; ``texts`` is (id, text).
+    ``size`` labelled k-mers stand in one of the two only, ``grams`` are the first of these, rarest
+    first: the pivot's by how many lack them. ``far``: their Jaccard similarity is below
+    ``least``; ``linked``: the texts are similar. The first ``shorts`` of ``grams`` can be the first
+    one shared with a far text."""
+    apart = (1 - least) / (1 + least)  # two texts at ``least`` differ by this share of their k-mers
+
+    def run(batches):
+        counts, head = shared.value, None
+        for batch in batches:
+            side, out = batch.column(2).to_numpy(), []
+            for i, n, raw, offsets in text_chunks(batch.column(4)):
+                h, count, _ = shingles(raw, offsets)
+                lab, ends = labelled(h, count), np.cumsum(count)
+                for j in range(n):
+                    own = slice(ends[j] - count[j], ends[j])
+                    if side[i + j] == 0:
+                        head = h[own].copy(), lab[own].copy(), counts[_slots(lab[own])]
+                        continue
+                    new = lab[own][~np.isin(lab[own], head[1])]
+                    gone = ~np.isin(head[1], lab[own])
+                    grams = np.concatenate([new, head[1][gone]])
+                    rare = np.concatenate([counts[_slots(new)], head[2].max() - head[2][gone]])
+                    size, words, others = grams.size, own.stop - own.start, head[0].size
+                    far = size > apart * (words + others) + 1e-9
+                    most = min(size, int((1 - least) / least * words + 1e-9) + 1)
+                    shorts = min(most, int((size + apart * (words - others)) / 2 + 1e-9) + 1)
+                    out.append((i + j, words, size, shorts, far, not far and similar(head[0], h[own], least),
+                                grams[np.lexsort((grams, rare))][:most if far else shorts].view(np.int64)))
+            if not out:
+                continue
+            at, words, size, shorts, far, near, grams = zip(*out)
+            ends = np.cumsum([0, *map(len, grams)])
+            yield pa.RecordBatch.from_arrays(
+                [*[batch.column(c).take(pa.array(at)) for c in (0, 1, 3)], *[pa.array(x, pa.int64()) for x in (words, size, shorts)],
+                 pa.array(far, pa.bool_()), pa.array(near, pa.bool_()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), np.concatenate(grams))],
+                names=["pivot", "salt", "id", "n", "size", "shorts", "far", "linked", "grams"])
+
+    pairs = pivots.where("pivot <> id").select(F.col("id").alias("member"), F.col("pivot").alias("rep"))
+    return dealt(pairs, texts.select(F.col("id").alias("_row"), "text")).mapInArrow(
+        run, "pivot long, salt int, id long, n long, size long, shorts long, far boolean, linked boolean, grams array<long>")
+
+
+def _pairs(joined: DataFrame) -> DataFrame:
+    return joined.select(F.greatest("x.id", "y.id").alias("member"), F.least("x.id", "y.id").alias("rep"))
+
+
+def around_pivots(away: DataFrame, least: float) -> DataFrame:
+    """The (member, rep) of different components in ``away`` (:func:`deviations` and
+    component) that share a pivot and may have a Jaccard similarity of ``least``. What two texts
+    differ by is what their differences from the pivot differ by; so a far text and one like it
+    share more than half of the other's difference, and the prefix filter holds for differences."""
+    x, y = F.col("x.n"), F.col("y.n")
+    other = (F.col("x.component") != F.col("y.component")) & (F.least(x, y) >= least * F.greatest(x, y) - 1e-9)
+    spread = stored(away.select("pivot", "id", "component", "n", "size", "shorts", "far", F.posexplode("grams").alias("place", "gram"))
+                    .withColumn("short", F.col("place") < F.col("shorts")).drop("shorts"), "deviations")
+    met = (spread.groupBy("pivot", "gram").agg(F.min("component").alias("lo"), F.max("component").alias("hi"),
+                                               F.max("far").alias("f"), F.max("short").alias("s"))
+           .where("lo < hi and f and s").select("pivot", "gram"))
+    rows = stored(spread.join(met, ["pivot", "gram"]), "shared-deviations")
+    discard(spread)
+    # the part of both differences that two texts at ``least`` have in common
+    need = (F.col("x.size") + F.col("y.size") - (1 - least) / (1 + least) * (x + y)) / 2 - 1e-9
+    far = (rows.where("far").alias("x").join(rows.where("short").alias("y"), [F.col("x.pivot") == F.col("y.pivot"), F.col("x.gram") == F.col("y.gram")])
+           .where(other & (~F.col("y.far") | (F.struct("y.size", "y.id") < F.struct("x.size", "x.id")))
+                  & (F.least(F.col("x.size") - F.col("x.place"), F.col("y.size") - F.col("y.place")) >= need)))
+    # texts as near to the pivot but in another order may be like any near one
+    near = away.where("not far").select("pivot", "salt", "id", "component", "n")
+    odd = away.where("not far and not linked").select("pivot", "id", "component", "n").join(near.select("pivot", "salt").distinct(), "pivot")
+    moved = odd.alias("x").join(near.alias("y"), [F.col("x.pivot") == F.col("y.pivot"), F.col("x.salt") == F.col("y.salt")]).where(other)
+    found = stored(_pairs(far).union(_pairs(moved)).distinct(), "pivot-candidates")
+    discard(rows)
+    return found
+
+
 def unlinked(texts: DataFrame, least: float) -> DataFrame:
-    """Distinct (member, rep) pairs of different components of ``texts`` (id,
-    component, text): every pair whose labelled k-mers have a Jaccard similarity of ``least``.
-    The result is a written table."""
-    every = stored(prefixes(texts, least), "prefixes")
-    met = (every.groupBy("gram").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.max("short").alias("s"))
-           .where("lo < hi and s").select("gram"))
+    """Links (a, b) that join all similar texts of different components of ``texts``
+    (id, component, text), as a written table. Candidates are the pairs whose labelled k-mers have a Jaccard
+    similarity of ``least``, by the prefix filter: pairs of a k-mer in up to ``FEW`` prefixes; of
+    others the pairs with one pivot, the text that it leads, and then those that
+    :func:`around_pivots` leaves between the components that are still apart."""
+    shared = texts.sparkSession.sparkContext.broadcast(slot_counts(texts))
+    every = stored(prefixes(texts, least, shared), "prefixes")
+    first = F.struct(F.col("place") / F.col("n"), F.col("id"))
+    met = (every.groupBy("gram").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.max("short").alias("s"),
+                                     F.min_by("id", first).alias("pivot"), F.count(F.lit(1)).alias("many"))
+           .where("lo < hi and s").select("gram", "pivot", (F.col("many") > FEW).alias("large")))
     rows = stored(every.join(met, "gram"), "shared-prefixes")
     discard(every)
-    x, y = rows.alias("x"), rows.where("short").alias("y")
+    away = stored(deviations(rows.where("large").select("pivot", "id").distinct(), texts, least, shared), "pivots")
+    links = stored(away.where("linked").select(F.col("pivot").alias("a"), F.col("id").alias("b")), "links")
+    now = regrouped(texts.select("id", "component"), links)
+    few = rows.where("not large").drop("component").join(now, "id")
+    x, y = few.alias("x"), few.where("short").alias("y")
     # at the first shared k-mer what follows in both texts must hold all that is needed
     need = least * (F.col("x.n") + F.col("y.n")) / (1 + least) - 1e-9
     on = ((F.col("x.gram") == F.col("y.gram")) & (F.col("x.component") != F.col("y.component"))
           & ((F.col("y.n") < F.col("x.n")) | ((F.col("y.n") == F.col("x.n")) & (F.col("y.id") < F.col("x.id"))))
           & (F.least(F.col("x.n") - F.col("x.place"), F.col("y.n") - F.col("y.place")) >= need))
-    pairs = stored(x.join(y, on).select(F.greatest("x.id", "y.id").alias("member"), F.least("x.id", "y.id").alias("rep")).distinct(),
-                   "mixed-candidates")
-    discard(rows)
-    return pairs
+    around = around_pivots(away.join(now, "id"), least)
+    pairs = stored(_pairs(x.join(y, on)).union(around).distinct(), "mixed-candidates")
+    discard(rows, away, around, now)
+    more = stored(links.union(verified(pairs, texts.select(F.col("id").alias("_row"), "text"), least)), "links")
+    discard(pairs, links)
+    return more
 
 
 def common_length(a: np.ndarray, b: np.ndarray, need: int) -> int:
@@ -313,16 +401,20 @@ def similar(a: np.ndarray, b: np.ndarray, least: float = SIMILARITY) -> bool:
     return got >= need and got >= least * (both - got) - 1e-9
 
 
-def verified(pairs: DataFrame, docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
-    """The (a, b) of ``pairs`` (member, rep) whose texts are similar; ``docs`` is (_row, text)."""
+def dealt(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+    """(rep, salt, side, _row, text) of ``pairs`` (member, rep) and ``docs`` (_row, text): each
+    rep in front of up to about ``PART`` of its members, in one task."""
     sizes = pairs.groupBy("rep").agg(F.ceil(F.count(F.lit(1)) / PART).cast("int").alias("parts"))
     salt = F.pmod(F.xxhash64("member"), F.col("parts")).cast("int")
     members = pairs.join(sizes, "rep").select(F.col("member").alias("_row"), "rep", salt.alias("salt"), F.lit(1).alias("side"))
     heads = members.select(F.col("rep").alias("_row"), "rep", "salt", F.lit(0).alias("side")).distinct()
     rows = docs.hint("shuffle_merge").join(members.union(heads), "_row").select("rep", "salt", "side", "_row", "text")
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = rows.repartition(parts, "rep", "salt").sortWithinPartitions("rep", "salt", "side")
+    return rows.repartition(parts, "rep", "salt").sortWithinPartitions("rep", "salt", "side")
+
 
+def verified(pairs: DataFrame, docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
+    """The (a, b) of ``pairs`` (member, rep) whose texts are similar; ``docs`` is (_row, text)."""
     def run(batches):
         head = None
         for batch in batches:
@@ -340,7 +432,7 @@ def verified(pairs: DataFrame, docs: DataFrame, least: float = SIMILARITY) -> Da
                         b.append(ident[i + j])
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
-    return dealt.mapInArrow(run, "a long, b long")
+    return dealt(pairs, docs).mapInArrow(run, "a long, b long")
 
 
 def _resketched(texts: DataFrame, classes: DataFrame) -> DataFrame:
@@ -386,9 +478,7 @@ def numbered_classes(src: DataFrame, least: float = SIMILARITY, exact: bool = Tr
     some = stored(texts.hint("shuffle_merge").join(left, "_row"), "mixed-texts")
     if exact:
         apart = some.join(classes.select(F.col("id").alias("_row"), "component"), "_row").withColumnRenamed("_row", "id")
-        pairs = unlinked(apart, least)
-        more = stored(verified(pairs, some, least), "links")
-        discard(pairs)
+        more = unlinked(apart, least)
     else:
         again = _resketched(some, classes)
         more = linked(again, some, RARE, least, RARE)
