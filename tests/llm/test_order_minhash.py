@@ -1,13 +1,15 @@
 """Order MinHash classes against all pairs, and the banded alignment against a plain one."""
 
 import re
+import tracemalloc
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from thermogrid.llm import order_minhash as M
-from thermogrid.llm.common import table
+from thermogrid.llm.common import table, text_chunks
 
 WORD = re.compile("[0-9a-z\x80-\U0010ffff]+")
 
@@ -225,3 +227,18 @@ def test_links_of_random_groups(spark):
     docs = spark.createDataFrame([(i, i, t) for i, t in enumerate(texts)], "id long, component long, text string")
     got = M.regrouped(docs.select("id", "component"), M.unlinked(docs, M.SIMILARITY))
     assert {r.id: r.component for r in got.collect()} == dict(enumerate(brute(texts)))
+
+
+def test_memory_of_a_batch():
+    """Signatures of 8 MB of text take a bounded part of it at a time."""
+    rng = np.random.default_rng(13)
+    texts = pa.array([" ".join(f"w{x}" for x in rng.integers(0, 10_000, 300)) for _ in range(5000)])
+    tracemalloc.start()
+    try:
+        for _, _, raw, offsets in text_chunks(texts):
+            h, n, _ = M.shingles(raw, offsets)
+            M.sketches(h, n)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 24 << 20, peak
